@@ -1,12 +1,13 @@
 """Embeddings: unit vectors of fixed length for texts.
 
 The default needs no model: words and the three-letter runs in them are hashed into ``DIM`` counts, scaled to unit
-length. It compares wording, not meaning. It is made of built-in functions. Another model plugs in as a function from a
+length, in Arrow batches. It compares wording, not meaning. Another model plugs in as a function from a
 list of texts to a matrix, loaded once in each Python worker and fed Arrow batches.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,25 +20,37 @@ DIM = 384
 WORD_WEIGHT, GRAM_WEIGHT = 2.0, 1.0
 
 
-def hashed_embedding(text: Column, dim: int = DIM) -> Column:
-    """``array<float>`` of unit length; all zeros for a text without words."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{Nd}]+"), lambda w: w != "")
-    grams = F.flatten(F.transform(words, lambda w: F.when(F.length(w) > 3, F.transform(F.sequence(F.lit(1), F.length(w) - 2), lambda k: F.substring(w, k, F.lit(3)))).otherwise(F.array().cast("array<string>"))))
-    place = lambda t, weight: F.struct(F.pmod(F.xxhash64(t), F.lit(dim)).cast("int").alias("at"), F.lit(weight).alias("w"))
-    entries = F.concat(F.transform(words, lambda t: place(t, WORD_WEIGHT)), F.transform(grams, lambda t: place(F.concat(F.lit("#"), t), GRAM_WEIGHT)))
-    # Sorted by place, equal places lie side by side: one walk adds them up, filling the gaps with zeros.
-    zeros = lambda n: F.when(n > 0, F.array_repeat(F.lit(0.0), n.cast("int"))).otherwise(F.array().cast("array<double>"))
-    start = F.struct(F.array().cast("array<double>").alias("out"), F.lit(-1).alias("at"), F.lit(0.0).alias("sum"))
+_WORD = re.compile(r"[^\W_]+")
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
-    def step(acc: Column, x: Column) -> Column:
-        same = acc["at"] == x["at"]
-        closed = F.when(acc["at"] < 0, zeros(x["at"])).otherwise(F.concat(acc["out"], F.array(acc["sum"]), zeros(x["at"] - acc["at"] - 1)))
-        return F.struct(F.when(same, acc["out"]).otherwise(closed).alias("out"), x["at"].alias("at"), F.when(same, acc["sum"] + x["w"]).otherwise(x["w"]).alias("sum"))
 
-    def finish(acc: Column) -> Column:
-        return F.when(acc["at"] < 0, zeros(F.lit(dim))).otherwise(F.concat(acc["out"], F.array(acc["sum"]), zeros(F.lit(dim - 1) - acc["at"])))
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * _STEP
+    return h ^ (h >> np.uint64(32))
 
-    return normalised(F.aggregate(F.array_sort(entries), start, step, finish))
+
+def hashed_vector(text: str, dim: int = DIM) -> np.ndarray:
+    """Hashed counts of the words and of the three-letter runs inside them, scaled to unit length."""
+    words = _WORD.findall(text.lower())
+    if not words:
+        return np.zeros(dim, np.float32)
+    chars = np.frombuffer(" ".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(w) for w in words])
+    starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+    # A word's hash: its characters' own, each by its place in the word, added up.
+    place = np.arange(len(chars)) - np.repeat(starts, sizes + 1)[: len(chars)]
+    each = _mixed(chars * np.uint64(1_000_003) + place.astype(np.uint64) * _STEP)
+    whole = np.add.reduceat(np.where(chars == 0x20, np.uint64(0), each), starts)
+    inside = (chars[:-2] != 0x20) & (chars[1:-1] != 0x20) & (chars[2:] != 0x20)
+    grams = _mixed((chars[:-2] * np.uint64(31) + chars[1:-1]) * np.uint64(1_000_033) + chars[2:] + np.uint64(7))[inside]
+    counts = WORD_WEIGHT * np.bincount((_mixed(whole) % np.uint64(dim)).astype(np.int64), minlength=dim) + GRAM_WEIGHT * np.bincount((grams % np.uint64(dim)).astype(np.int64), minlength=dim)
+    return (counts / np.linalg.norm(counts)).astype(np.float32)
+
+
+@F.pandas_udf(T.ArrayType(T.FloatType()))
+def hashed_embedding(texts: pd.Series) -> pd.Series:
+    """A unit vector for each text; all zeros for a text without words."""
+    return pd.Series([hashed_vector(t or "") for t in texts], dtype=object)
 
 
 def norm(vector: Column) -> Column:

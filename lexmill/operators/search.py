@@ -16,6 +16,10 @@ class IndexEmptyError(RuntimeError):
     """Raised where a search meets an index without vectors."""
 
 
+def _any_contains(values: Column, part: str) -> Column:
+    return F.exists(values, lambda x: F.contains(F.lower(x), F.lit(part.lower())))
+
+
 @dataclass(frozen=True)
 class Filters:
     """Conditions on cases. An unset one, and one on a field that a case lacks, lets the case through."""
@@ -43,7 +47,7 @@ class Filters:
                 tests.append((F.coalesce(name, F.lit("")) == "") | F.contains(F.lower(name), F.lit(value.lower())))
         for name, value in (("judges", self.judge_name), ("acts_cited", self.act_cited)):
             if value:
-                tests.append((F.coalesce(F.size(name), F.lit(0)) <= 0) | F.exists(F.col(name), lambda x, v=value: F.contains(F.lower(x), F.lit(v.lower()))))
+                tests.append((F.coalesce(F.size(name), F.lit(0)) <= 0) | _any_contains(F.col(name), value))
         out = tests[0]
         for t in tests[1:]:
             out = out & t
@@ -96,7 +100,7 @@ def search(index: DataFrame, chunks: DataFrame, cases: DataFrame, request: Reque
     # At most 5 * 50 rows.
     near = F.broadcast(near.select("vec_id", "score"))
     joined = chunks.select("vec_id", "case_id", "chunk_index", "text").join(near, "vec_id")
-    with_case = cases.join(F.broadcast(joined), "case_id")
+    with_case = cases.select(*SNIPPET).join(F.broadcast(joined), "case_id")
     kept = with_case if request.mode == "pre" else with_case.where(request.filters.condition())
     best = kept.orderBy(F.desc("score"), "vec_id").limit(request.top_k)
     ranked = best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "vec_id")))
