@@ -133,8 +133,13 @@ def tables_of(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFr
 
 
 def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, file_path, file_hash, text: a judgment for each order."""
-    return spark.sql(JUDGMENTS_SQL, **tables_of(spark, sf_dir, "orders", "customer"))
+    """doc_id, file_path, file_hash, text: a judgment for each order.
+
+    The small order rows are dealt to all cores before they grow into texts; a number of partitions that is given is kept.
+    """
+    tables = tables_of(spark, sf_dir, "orders", "customer")
+    tables["orders"] = tables["orders"].repartition(2 * spark.sparkContext.defaultParallelism, "o_orderkey")
+    return spark.sql(JUDGMENTS_SQL, **tables)
 
 
 def dirty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
