@@ -9,8 +9,8 @@ Each leaf then takes exactly its budget as a prefix of its token stream: whole e
 epoch, whose order is a hash of seed, epoch and document key. The last document of the prefix may be taken in part.
 
 Finding the cut needs no sort of a leaf: documents fall into ranges of the hash, the ranges' token sums are added up per
-leaf, and only the one range in which the budget ends is ordered. A leaf gets a range for each ``range_docs`` documents,
-so a hot source is spread like all others. Built-in functions only.
+leaf, and only the one range in which the budget ends is ordered. A leaf of n documents has about sqrt(n) ranges of sqrt(n)
+documents, so that neither the sums nor the ordered range of a hot source grow large. Built-in functions only.
 
 Nulls: a null text has no tokens, and null domains, languages or sources are leaves of their own. A document without
 tokens is in no prefix. Repeated rows share a hash and are taken in an unspecified order among themselves. An empty
@@ -26,7 +26,6 @@ from lexmill.llm.common import cut
 
 SEED = 20
 MAX_EPOCHS = 4
-RANGE_DOCS = 5_000
 LEVELS = ("domain", "lang", "source")
 
 
@@ -83,7 +82,7 @@ def _same_leaf(left: list[str], right: list[str]) -> list[Column]:
     return [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)]
 
 
-def plan(rows: DataFrame, budget: Column, weights: dict[str, dict[str, float]], *, max_epochs: int = MAX_EPOCHS, seed: int = SEED, range_docs: int = RANGE_DOCS) -> DataFrame:
+def plan(rows: DataFrame, budget: Column, weights: dict[str, dict[str, float]], *, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """Per leaf: whole epochs, the order (hash, key) at which the prefix of the next one ends, and the tokens taken of that document.
 
     ``rows``: _key, domain, lang, source, _tokens of each document, already materialised: it is read a few times.
@@ -96,7 +95,7 @@ def plan(rows: DataFrame, budget: Column, weights: dict[str, dict[str, float]],
         *mine,
         F.when(F.col("_tokens") > 0, F.floor(F.coalesce("_leaf_budget", F.lit(0)) / F.greatest("_tokens", F.lit(1))).cast("long")).otherwise(F.lit(0).cast("long")).alias("epochs"),
         F.when(F.col("_tokens") > 0, F.coalesce("_leaf_budget", F.lit(0)) % F.greatest("_tokens", F.lit(1))).otherwise(F.lit(0)).alias("_rest"),
-        F.greatest(F.lit(1), F.ceil(F.col("_docs") / range_docs)).cast("long").alias("_ranges"),
+        F.ceil(F.sqrt(F.col("_docs").cast("double"))).cast("long").alias("_ranges"),
     ))
     placed = with_leaf(rows, planned).withColumn("_hash", order_hash(F.col("_key"), F.col("epochs"), seed)).withColumn("_range", F.shiftright(F.col("_hash") * F.col("_ranges"), 32))
     sums = placed.where("_rest > 0").groupBy(*mine, "_rest", "_range").agg(F.sum("_tokens").alias("_t"))
@@ -132,20 +131,20 @@ def taken(docs: DataFrame, leaves: DataFrame, *, seed: int = SEED) -> DataFrame:
     return joined.withColumn("tokens_taken", (F.col("_tokens") * F.col("epochs") + part).cast("long")).drop("_hash", "_end_hash", "_end_key", "_part", *[f"_l_{c}" for c in LEVELS])
 
 
-def mix(docs: DataFrame, *, domain: Column, budget_share: float, weights: dict[str, dict[str, float]], key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", max_epochs: int = MAX_EPOCHS, seed: int = SEED, range_docs: int = RANGE_DOCS) -> DataFrame:
+def mix(docs: DataFrame, *, domain: Column, budget_share: float, weights: dict[str, dict[str, float]], key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """Per document: key, domain, lang, source, n_tokens, epochs (whole copies), tokens_taken (of all copies and the part)."""
     rows = cut(docs.select(F.col(key).alias("_key"), domain.alias("domain"), F.col(lang).alias("lang"), F.col(source).alias("source"), count_words(F.col(text)).alias("_tokens")))
-    leaves = plan(rows, F.floor(F.sum("_tokens") * budget_share), weights, max_epochs=max_epochs, seed=seed, range_docs=range_docs)
+    leaves = plan(rows, F.floor(F.sum("_tokens") * budget_share), weights, max_epochs=max_epochs, seed=seed)
     return taken(rows, leaves, seed=seed).select(F.col("_key").alias(key), "domain", "lang", "source", F.col("_tokens").alias("n_tokens"), "epochs", "tokens_taken")
 
 
-def mixed_documents(docs: DataFrame, *, domain: Column, budget_share: float, weights: dict[str, dict[str, float]], key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", max_epochs: int = MAX_EPOCHS, seed: int = SEED, range_docs: int = RANGE_DOCS) -> DataFrame:
+def mixed_documents(docs: DataFrame, *, domain: Column, budget_share: float, weights: dict[str, dict[str, float]], key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """The documents of which any token is taken, in their own columns, with ``mix_epochs`` and ``mix_tokens``.
 
     Texts are read where they lie: the leaves' plan meets them in a join without shuffling them.
     """
     slim = docs.select(F.col(key).alias("_key"), domain.alias("domain"), F.col(lang).alias("lang"), F.col(source).alias("source"), count_words(F.col(text)).alias("_tokens"))
-    leaves = plan(cut(slim), F.floor(F.sum("_tokens") * budget_share), weights, max_epochs=max_epochs, seed=seed, range_docs=range_docs)
+    leaves = plan(cut(slim), F.floor(F.sum("_tokens") * budget_share), weights, max_epochs=max_epochs, seed=seed)
     own = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).alias("_key"), domain.alias("domain"), F.col(lang).alias("lang"), F.col(source).alias("source"), count_words(F.col(text)).alias("_tokens"))
     kept = taken(own, leaves, seed=seed).where("tokens_taken > 0")
     return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns], F.col("epochs").alias("mix_epochs"), F.col("tokens_taken").alias("mix_tokens"))
