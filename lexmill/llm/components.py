@@ -8,17 +8,23 @@ from pyspark.sql import functions as F
 from lexmill.llm.common import cut
 
 
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Edges with the ``m`` of their u. The second key keeps the join from reusing the aggregation's partitions, which could
+    not be split: so adaptive execution may split a node of very many edges."""
+    return edges.withColumn("_k", F.xxhash64("u")).join(least.withColumn("_k", F.xxhash64("u")), ["u", "_k"])
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node's larger neighbours are tied to the smallest of the node and its neighbours."""
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_least(both.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are tied to the smallest of them. Edges have u > v."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    tied = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    tied = _with_least(edges, least).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return tied.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 
 
