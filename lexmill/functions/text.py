@@ -7,6 +7,7 @@ Patterns are written for both Java's and RE2's syntax, so that the same string r
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -54,9 +55,14 @@ def approx_tokens(words: Column) -> Column:
     return F.floor(words * 135 / 100).cast("int")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def find(c: Column, pattern: str, group: int = 0) -> Column:
-    """First match (or a group of it), null without one."""
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
+    """First match (or a group of it, which must not be empty), null without one."""
+    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
 
 
 def find_distinct(c: Column, pattern: str) -> Column:

@@ -13,6 +13,7 @@ from lexmill.operators import chunk, clean, embed, index, keyed, metadata, runs
 from lexmill.operators import search as searching
 from lexmill.plans import fixtures
 from lexmill.plans.fixtures import dirty_documents, judgments
+from lexmill.session import materialise
 from lexmill.sources import pdf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -411,7 +412,7 @@ query()(semantic_search)
 
 # --- search with metadata ---------------------------------------------------------------------------------------
 
-_FILTERS = searching.Filters(year_from=1993, year_to=1997, case_type="appeal", outcome="allow", act_cited="code")
+_FILTERS = searching.Filters(year_from=1993, year_to=1999, case_type="petition", outcome="allow", act_cited="act")
 
 
 def _cases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -424,13 +425,13 @@ def _search(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     rows = _index(spark, sf_dir).select("vec_id", F.concat(F.lit("case"), F.col("vec_id") + 1).alias("case_id"), F.lit(0).alias("chunk_index"), "embedding")
     chunks = rows.select("vec_id", "case_id", "chunk_index", F.concat(F.lit("chunk "), F.col("vec_id")).alias("text"))
     request = searching.Request("a question", K, _FILTERS, mode=mode)
-    hits = searching.search(rows, chunks, _cases(spark, sf_dir), request, _query(spark, sf_dir))
+    hits = searching.search(rows, chunks, materialise(_cases(spark, sf_dir)), request, _query(spark, sf_dir))
     return hits.select("rank", "score", F.col("case.case_id").alias("case_id"), F.col("case.case_type").alias("case_type"), F.col("case.outcome").alias("outcome"), F.col("case.year").alias("year"), "chunk_text")
 
 
 def _search_sql(mode: str) -> str:
     acts = _distinct("text", metadata.ACTS)
-    cond = "(coalesce(y, 0) = 0 OR (y >= 1993 AND y <= 1997)) AND (coalesce(ct, '') = '' OR contains(lower(ct), 'appeal')) AND (coalesce(oc, '') = '' OR contains(lower(oc), 'allow')) AND (acts = '' OR contains(lower(acts), 'code'))"
+    cond = "(coalesce(y, 0) = 0 OR (y >= 1993 AND y <= 1999)) AND (coalesce(ct, '') = '' OR contains(lower(ct), 'petition')) AND (coalesce(oc, '') = '' OR contains(lower(oc), 'allow')) AND (acts = '' OR contains(lower(acts), 'act'))"
     near = f"SELECT vec_id, s FROM (SELECT vec_id, {_SCORE} AS s FROM embeddings, {_Q})" + (f" ORDER BY s DESC, vec_id LIMIT {K * searching.OVERSAMPLE}" if mode == "post" else "")
     return f"""SELECT CAST(row_number() OVER (ORDER BY s DESC, vec_id) AS INT) AS rank, round(s, 4) AS score, 'case' || doc_id AS case_id, ct AS case_type, oc AS outcome, y AS year, 'chunk ' || vec_id AS chunk_text
     FROM ({near}) v JOIN (SELECT doc_id, y, {_TYPE} AS ct, {_OUTCOME} AS oc, {acts} AS acts FROM {_N}) c ON c.doc_id = v.vec_id + 1 WHERE {cond} ORDER BY s DESC, vec_id LIMIT {K}"""
