@@ -69,4 +69,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}-{name}")
         docs = spark.read.parquet(f"{base}/{k}-{name}")
+        if k:
+            _remove(spark, f"{base}/{k - 1}-{STAGES[k - 1][0]}")
     return docs
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete a stage's result once the next one is written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -15,7 +15,6 @@ document table gives an empty result, an empty benchmark leaves every document c
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -106,7 +105,6 @@ def _scan(sets) -> object:
             n_words, spans, items = [], [], []
             for _, _, data, offsets in text_chunks(batch.column(1)):
                 low, starts, ends, first = words_of(data, offsets)
-                inside = np.full(len(low), 0x20, np.uint8)
                 # One space after each word keeps words apart even where two texts meet.
                 lengths = ends - starts
                 to = np.concatenate([[0], np.cumsum(lengths + 1)])
@@ -115,7 +113,6 @@ def _scan(sets) -> object:
                     shift = np.repeat(to[:-1] - starts, lengths)
                     source = np.flatnonzero(_mask(len(low), starts, ends))
                     buffer[source + shift] = low[source]
-                del inside
                 ids = np.fromiter((lookup(w, -1) for w in buffer.tobytes().split()), np.int64, len(starts))
                 for k in range(len(offsets) - 1):
                     a, b = int(first[k]), int(first[k + 1])
@@ -238,7 +235,3 @@ def _filtered(docs: DataFrame, benchmark: DataFrame, what: str, *, text: str = "
         docs = docs.mapInArrow(keep, schema)
     return docs
 
-
-def sha_of(items: list[str]) -> str:
-    """The digest that ``report`` gives for a set of items."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

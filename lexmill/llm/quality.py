@@ -7,7 +7,7 @@ class counts, rows are scaled to unit length, and weights minimise the L2-regula
 descent. A logistic curve, fitted on labelled rows that the weights have not seen, turns margins into scores.
 
 The model is fitted on a sample of about ``max_rows`` labelled rows, chosen by a hash of the document key. It is fitted in one
-task, which the sample bounds; what reaches the driver is the weights: 4 MB. Scoring is a map over all rows without a shuffle.
+task, which the sample bounds; what reaches the driver is the model: 8 MB. Scoring is a map over all rows without a shuffle.
 
 Null texts count as empty; an empty text has no feature and the score of margin 0. Labels other than 0 and 1 and null keys
 are left out of the fit. Repeated rows are each scored; repeated labels each count. With one class only, or none, all scores are that class's share
@@ -153,12 +153,12 @@ def logistic_curve(margins: np.ndarray, positive: np.ndarray) -> tuple[float, fl
 
 
 def fit_rows(rows: list[np.ndarray], positive: np.ndarray, calibrate: np.ndarray, cost: float = 1.0) -> tuple[np.ndarray, float, float]:
-    """Weights on plain indicators (log ratios multiplied in), slope and intercept. ``calibrate``: rows kept for the curve."""
+    """Log ratios and weights on plain indicators (the ratios multiplied in), slope and intercept. ``calibrate``: rows kept for the curve."""
     share = float(positive.mean()) if len(positive) else 0.5
     if len(positive) == 0 or positive.all() or not positive.any():
-        return np.zeros(SIZE, np.float32), 0.0, float(np.log((share + 1e-6) / (1 - share + 1e-6)))
+        return np.zeros((2, SIZE), np.float32), 0.0, float(np.log((share + 1e-6) / (1 - share + 1e-6)))
     fit = ~calibrate if 0 < positive[~calibrate].sum() < (~calibrate).sum() and calibrate.any() else np.ones(len(positive), bool)
-    curve = calibrate if fit is not None and not fit.all() and 0 < positive[calibrate].sum() < calibrate.sum() else fit
+    curve = calibrate if not fit.all() and 0 < positive[calibrate].sum() < calibrate.sum() else fit
     used = [r for r, f in zip(rows, fit.tolist(), strict=True) if f]
     ratio = log_ratios(used, positive[fit])
     values = [ratio[r] for r in used]
@@ -168,11 +168,7 @@ def fit_rows(rows: list[np.ndarray], positive: np.ndarray, calibrate: np.ndarray
     costs = np.where(signs > 0, cost * len(signs) / (2 * n1), cost * len(signs) / (2 * n0))
     weights = dual_coordinate_descent(used, values, signs, costs)
     margins = np.array([margin(r, ratio, weights * ratio) for r, c in zip(rows, curve.tolist(), strict=True) if c])
-    return (*_packed(ratio, weights), *logistic_curve(margins, positive[curve]))
-
-
-def _packed(ratio: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray]:
-    return (np.stack([ratio, weights * ratio]).astype(np.float32),)
+    return np.stack([ratio, weights * ratio]).astype(np.float32), *logistic_curve(margins, positive[curve])
 
 
 def margin(row: np.ndarray, ratio: np.ndarray, scaled: np.ndarray) -> float:
@@ -213,8 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     found = rows.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(train, "weights binary, slope double, intercept double").collect()
     if not found:
         return np.zeros((2, SIZE), np.float32).tobytes(), 0.0, 0.0
-    weights = bytes(found[0]["weights"])
-    return weights if len(weights) == 8 * SIZE else np.zeros((2, SIZE), np.float32).tobytes(), found[0]["slope"], found[0]["intercept"]
+    return bytes(found[0]["weights"]), found[0]["slope"], found[0]["intercept"]
 
 
 def scorer(model) -> object:
