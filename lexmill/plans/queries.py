@@ -122,7 +122,11 @@ def extract_sufficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "documents").select("doc_id", pdf.sufficient_text(F.col("text")).alias("sufficient"))
 
 
-@query()
+@query(
+    f"""SELECT 'page/' || page_id AS file_path, CAST(page_id AS VARCHAR) AS file_name, CAST(CASE WHEN ok THEN 1 ELSE 0 END AS INT) AS page_count, CASE WHEN ok THEN 'untag' ELSE 'failed' END AS extraction_method,
+    sha256(html) AS file_hash, ok AS success, CAST(CASE WHEN ok THEN length(t) ELSE 0 END AS INT) AS n_chars
+    FROM (SELECT *, length({_sub('t', tx.rx(chr(92) + 's+'), '')}) >= {pdf.LEAST_CHARACTERS} AS ok FROM (SELECT *, regexp_replace(html, '<[^>]*>', ' ', 'g') AS t FROM pages))"""
+)
 def extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cascade over the bytes of web pages: the first extractor wants a PDF file and fails, the next takes tags out."""
     files = _t(spark, sf_dir, "pages").select(F.concat(F.lit("page/"), F.col("page_id")).alias("file_path"), F.encode("html", "UTF-8").alias("content"))
@@ -293,7 +297,18 @@ def meta_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metadata.extract(judgments(spark, sf_dir), text="text", as_of=AS_OF).select("doc_id", "extraction_confidence")
 
 
-@query()
+_CLEAN_J = f"WITH jc AS MATERIALIZED (SELECT doc_id, file_path, file_hash, {_cleaned('text')} AS text FROM ({J}))"
+_CASE_ID = f"CASE WHEN number IS NOT NULL AND y IS NOT NULL THEN substr(CASE WHEN ends_with({_SLUG}, CAST(y AS VARCHAR)) THEN {_SLUG} ELSE {_SLUG} || '_' || y END, 1, 120) ELSE 'sha_' || substr(file_hash, 1, 16) END"
+_BENCH = f"CASE WHEN len(l) > 0 THEN array_to_string(l, ' & ') ELSE {_squeeze(_find('substr(text, 1, 3000)', metadata.BENCH, 1))} END"
+_FIELDS = f"""SELECT n.doc_id, {_CASE_ID} AS case_id, number AS case_number, {_TYPE} AS case_type, y AS year, judgment_date, CAST(NULL AS DATE) AS filing_date, {_PETITIONER} AS petitioner, {_RESPONDENT} AS respondent,
+    {_BENCH} AS bench, names AS judges, {_distinct('text', metadata.ACTS)} AS acts_cited, {_distinct('text', metadata.CITATION)} AS citations, {_OUTCOME} AS outcome
+    FROM {_N} n JOIN (SELECT doc_id AS jd, names, l FROM {_JUDGES_SQL}) ON n.doc_id = jd JOIN (SELECT doc_id AS dd, judgment_date FROM ({_DATE_SQL})) ON n.doc_id = dd""".replace(f"({J})", "jc")
+
+
+@query(
+    f"""{_CLEAN_J} SELECT *, round((CASE WHEN case_number IS NOT NULL THEN 25 ELSE 0 END + CASE WHEN case_type IS NOT NULL THEN 15 ELSE 0 END + CASE WHEN year IS NOT NULL THEN 10 ELSE 0 END + CASE WHEN judges <> '' THEN 20 ELSE 0 END
+    + CASE WHEN outcome IS NOT NULL THEN 15 ELSE 0 END + CASE WHEN petitioner IS NOT NULL OR respondent IS NOT NULL THEN 10 ELSE 0 END + CASE WHEN citations <> '' THEN 5 ELSE 0 END) / 100, 2) AS extraction_confidence FROM ({_FIELDS})"""
+)
 def meta_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All fields of all judgments, after cleaning."""
     done = metadata.extract(clean.clean(judgments(spark, sf_dir), "text"), as_of=AS_OF)
