@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexmill.session import dealt
+
 NL = "chr(10)"
 
 
@@ -144,7 +146,7 @@ def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text: every document with noise around its text."""
-    return spark.sql(DIRTY_SQL, **tables_of(spark, sf_dir, "documents"))
+    return spark.sql(DIRTY_SQL, documents=dealt(tables_of(spark, sf_dir, "documents")["documents"]))
 
 
 def in_duckdb(sql: str) -> str:

@@ -13,7 +13,7 @@ from lexmill.operators import chunk, clean, embed, index, keyed, metadata, runs
 from lexmill.operators import search as searching
 from lexmill.plans import fixtures
 from lexmill.plans.fixtures import dirty_documents, judgments
-from lexmill.session import materialise
+from lexmill.session import dealt, materialise
 from lexmill.sources import pdf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +34,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return dealt(rows) if name in ("documents", "pages") else rows
 
 
 # --- SQL pieces -------------------------------------------------------------------------------------------------

@@ -23,3 +23,9 @@ def materialise(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexmill-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores if it comes in fewer partitions than there are cores (a few small files); else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
