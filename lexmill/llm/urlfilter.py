@@ -30,14 +30,20 @@ MIN_CONFIDENCE = 0.6
 MAX_BROADCAST_RULES = 20_000
 
 
+def _after_scheme(url: Column) -> Column:
+    """What follows the first ``://``, empty without one. Located, as a repeated group would recurse for each character of a long URL."""
+    at = F.locate("://", F.coalesce(url, F.lit("")))
+    return F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise("")
+
+
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; empty without ``://``."""
-    return ascii_lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^(?:(?!://).)*://([^/?#]*)", 1))
+    return ascii_lower(F.regexp_extract(_after_scheme(url), r"^([^/?#]*)", 1))
 
 
 def path_of(url: Column) -> Column:
     """What follows the host up to ``?``, ``#`` or the end."""
-    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^(?:(?!://).)*://[^/?#]*([^?#]*)", 1)
+    return F.regexp_extract(_after_scheme(url), r"^[^/?#]*([^?#]*)", 1)
 
 
 def tokens_of(url: Column) -> Column:

@@ -47,6 +47,12 @@ def test_hosts_paths_and_rules(pages, spark):
     assert u.judge(pages.limit(0), none, F.lit(True)).count() == 0
 
 
+def test_very_long_urls(spark):
+    urls = ["a" * 300_000, "é😀" * 100_000 + "://x.com/" + "p" * 300_000 + "?q", "http://" + "H." * 100_000, "x://" * 50_000]
+    rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").select("page_id", u.host_of(F.col("url")).alias("host"), u.path_of(F.col("url")).alias("path")).collect()
+    assert {r["page_id"]: (r["host"], r["path"]) for r in rows} == {k: parts(t) for k, t in enumerate(urls)}
+
+
 def labelled_urls():
     out = []
     for k in range(300):
