@@ -50,7 +50,7 @@ MORE = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
-    Rule("url_login", r"[a-z]+://[A-Za-z0-9._-]+:[^\s/:@]+@[A-Za-z0-9.-]+"),
+    Rule("url_login", r"[a-z]{1,20}://[A-Za-z0-9._-]+:[^\s/:@]+@[A-Za-z0-9.-]+"),
 )
 
 # A query is True (anything), a trigram, or ("and" | "or", frozenset of queries).
