@@ -10,7 +10,7 @@ The model is fitted on a sample of about ``max_rows`` labelled rows, chosen by a
 task, which the sample bounds; what reaches the driver is the model: 8 MB. Scoring is a map over all rows without a shuffle.
 
 Null texts count as empty; an empty text has no feature and the score of margin 0. Labels other than 0 and 1 and null keys
-are left out of the fit. Repeated rows are each scored; repeated labels each count. With one class only, or none, all scores are that class's share
+are left out of the fit. Repeated rows are each scored; in the fit a key's repeats count once for each label, by the least text of the key. With one class only, or none, all scores are that class's share
 (0.5 without labels). An empty table gives an empty result.
 """
 
@@ -193,13 +193,16 @@ def held_out(key: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS) -> tuple[bytes, float, float]:
     """Model (weights as bytes, slope, intercept) from labelled rows that are not held out, about ``max_rows`` of them."""
-    usable = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("label")).where("_key is not null and label in (0, 1)").where(~held_out(F.col("_key")))
+    usable = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("label")).where("_key is not null and label in (0, 1)").where(~held_out(F.col("_key"))).distinct()
     n = usable.count()
     share = min(1.0, max_rows / n) if n else 1.0
     place = F.pmod(F.xxhash64("_key"), F.lit(1 << 20))
     sample = usable.where(place < int(share * (1 << 20))).withColumn("calibrate", F.pmod(F.xxhash64("_key", F.lit(1)), F.lit(5)) == 0)
     # The sample is bounded by max_rows, so it may be sent to every executor; the documents stay where they are.
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text")).join(F.broadcast(sample), "_key").select("label", "calibrate", "_text").mapInArrow(_feature_rows, "label int, calibrate boolean, places binary")
+    met = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text")).join(F.broadcast(sample), "_key")
+    # One text for each key, so that a key of very many rows does not grow the fit.
+    once = met.groupBy("_key", "label", "calibrate").agg(F.min("_text").alias("_text"))
+    rows = once.select("label", "calibrate", "_text").mapInArrow(_feature_rows, "label int, calibrate boolean, places binary")
 
     def train(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["places", "label"], ignore_index=True)

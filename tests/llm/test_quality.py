@@ -46,6 +46,13 @@ def test_held_out_labels_and_other_columns_do_not_matter(tables):
     assert sorted(map(tuple, q.score(docs, labels).collect())) == sorted(map(tuple, q.score(other, turned).collect()))
 
 
+def test_repeats_of_a_key_do_not_grow_the_fit(tables):
+    docs, labels, _ = tables
+    hot = docs.where("doc_id = 1").crossJoin(docs.sparkSession.range(300)).drop("id")
+    more = labels.unionByName(labels.where("doc_id = 1").crossJoin(labels.sparkSession.range(300)).drop("id"))
+    assert q.fit(docs.unionByName(hot), more) == q.fit(docs, labels)
+
+
 def test_good_documents_stay(tables):
     docs, labels, truth = tables
     kept = q.good_documents(docs, labels)
