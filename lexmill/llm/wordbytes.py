@@ -32,7 +32,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverses
     if len(_powers) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 19)
         _powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, _BASE)]), dtype=np.uint64)
         _inverses = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, _INVERSE)]), dtype=np.uint64)
     return _powers, _inverses
@@ -54,7 +54,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return SpanHasher(data)(starts, ends)
 
 
-def text_chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_chunks(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Blocks of about ``limit`` bytes of whole texts: first row, last row + 1, bytes, offsets of the texts in them.
 
     A null counts as an empty text. A text longer than ``limit`` makes a block of its own.
