@@ -3,7 +3,8 @@
 A document is the set of its shingles (``width`` consecutive words; fewer words, but not none, are one shingle). Two
 documents are linked if the Jaccard similarity of their sets is ``threshold`` or more.
 
-1. Documents with equal sets are one class representative with a number of copies, so copies are never paired.
+1. Documents with equal sets are one class representative with a number of copies, so copies are never paired. It has a
+   number of its own, as a key may stand for several texts; numbers follow the smallest keys.
 2. Each representative has a path of MinHash values in each of ``trees`` prefix tries. Two sets of similarity s share a
    prefix of depth d in some trie with probability 1 - (1 - s^d)^trees. Matching starts at ``max_depth`` and the prefix is
    shortened until that reaches ``recall`` for the least similar pair that counts (``prefix_depth``).
@@ -12,13 +13,14 @@ documents are linked if the Jaccard similarity of their sets is ``threshold`` or
 4. In a group all pairs are verified on the whole sets. A group is dealt out in blocks of about ``block_shingles``, and
    each pair of blocks is one task-sized unit, in which a matrix product counts the common shingles. A unit gives each of
    its documents a number of links and a root, not pairs, so that a large group of near copies makes few rows.
-5. Roots are united to classes; a class is named by its smallest key.
+5. Roots are united to classes; a class is named by its smallest key, which is that of its smallest number.
 
-Texts move once, for the verification, where a shuffled hash join keeps those of candidate groups only.
+Texts move once, for the verification, where a shuffled hash join keeps one text (by key and hash) of each representative
+in a candidate group only.
 
 Null and wordless texts are linked to nothing and are a class each; so are rows with a null key, which have no class.
-Repeated rows (a key twice) are copies of each other if their texts are equal, and are each answered. An empty table
-gives an empty result.
+Repeated rows (a key twice) are copies of each other if their texts are equal, and are each answered; different texts
+under one key are classes of their own, though the key may name both. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -93,8 +95,13 @@ def _signed(values) -> np.ndarray:
     return np.array(values, np.uint64).view(np.int64)
 
 
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    own = F.col(text).cast("string")
+    return docs.select(F.col(key).alias("_key"), own.alias("_text"), F.xxhash64(own).alias("hash"))
+
+
 def signatures(docs: DataFrame, key: str, text: str, width: int, trees: int, depth: int) -> DataFrame:
-    """Per row: _key, n (shingles), m0 and m1 (marks of the set), p0 .. (trie nodes; null without words)."""
+    """Per row: _key, hash (of the text), n (shingles), m0 and m1 (marks of the set), p0 .. (trie nodes; 0 without words)."""
     kind = docs.schema[key].dataType.simpleString()
     names = [f"p{t}" for t in range(trees)]
 
@@ -107,10 +114,9 @@ def signatures(docs: DataFrame, key: str, text: str, width: int, trees: int, dep
                 marks.append(set_marks(s) if len(s) else (0, 0))
                 nodes.append(hashes.prefixes(s) if len(s) else np.zeros(trees, np.uint64))
             marks_, nodes_ = _signed(marks).reshape(-1, 2), _signed(np.array(nodes, np.uint64)).reshape(-1, trees)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), *[pa.array(c) for c in marks_.T.copy()], *[pa.array(c) for c in nodes_.T.copy()]], ["_key", "n", "m0", "m1", *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int32()), *[pa.array(c) for c in marks_.T.copy()], *[pa.array(c) for c in nodes_.T.copy()]], ["_key", "hash", "n", "m0", "m1", *names])
 
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
-    return rows.mapInArrow(scan, f"_key {kind}, n int, m0 long, m1 long, " + ", ".join(f"{c} long" for c in names))
+    return _texts(docs, key, text).mapInArrow(scan, f"_key {kind}, hash long, n int, m0 long, m1 long, " + ", ".join(f"{c} long" for c in names))
 
 
 def links_between(left: list[np.ndarray], right: list[np.ndarray] | None, threshold: float) -> np.ndarray:
@@ -168,9 +174,9 @@ def _roots(linked: np.ndarray) -> np.ndarray:
 def _verify(threshold: float, names: list[str]):
     def verify(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        keys, first, place = group.column("rep").to_pylist(), group.column("first").to_pylist(), {}
-        for k, (key, side) in enumerate(zip(keys, first, strict=True)):
-            place.setdefault((not side, key), k)  # a repeated row gives its text again: once is enough
+        reps, first, place = group.column("rep").to_pylist(), group.column("first").to_pylist(), {}
+        for k, (rep, side) in enumerate(zip(reps, first, strict=True)):
+            place.setdefault((not side, rep), k)  # a repeated row gives its set again: once is enough
         order = sorted(place)
         rows = [place[o] for o in order]
         sets = [np.frombuffer(s, np.uint64) for s in (group.column("shingles")[k].as_py() for k in rows)]
@@ -185,53 +191,67 @@ def _verify(threshold: float, names: list[str]):
         counts, roots = linked @ copies, _roots(linked)
         own = [o[1] for o in order]
         some = np.flatnonzero(linked.any(axis=1)).tolist()
-        # Within two sides the smallest row need not have the smallest key; any member will do as a root.
-        kind = group.schema.field("rep").type
-        return pa.table([pa.array([own[k] for k in some], kind), pa.array([int(counts[k]) for k in some], pa.int64()), pa.array([own[int(roots[k])] for k in some], kind)], names=names)
+        # Within two sides the smallest row need not have the smallest number; any member will do as a root.
+        return pa.table([pa.array(x, pa.int64()) for x in ([own[k] for k in some], [int(counts[k]) for k in some], [own[int(roots[k])] for k in some])], names=names)
 
     return verify
 
 
-def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, width: int = WIDTH, trees: int = TREES, max_depth: int = MAX_DEPTH, recall: float = RECALL, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """Per row: key, class_id (smallest key of its class), n_links (other documents it is linked to, copies included), n_copies."""
-    kind = docs.schema[key].dataType.simpleString()
+def _classed(docs: DataFrame, *, null_keys: bool = False, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, width: int = WIDTH, trees: int = TREES, max_depth: int = MAX_DEPTH, recall: float = RECALL, block_shingles: int = BLOCK_SHINGLES) -> tuple[DataFrame, DataFrame]:
+    """``signatures`` of all rows, and per representative: m0, m1, n, rep (number), least (key) and hash of one of its texts, copies, links (or null), root (number), class_id.
+
+    Rows with a null key are left out, or with ``null_keys`` are texts as any other, after all keys.
+    """
     depth = prefix_depth(threshold, trees, max_depth, recall)
     tree_names = [f"p{t}" for t in range(trees)]
     rows = cut(signatures(docs, key, text, width, trees, depth))
-    reps = cut(rows.where("n > 0 and _key is not null").groupBy("m0", "m1", "n").agg(F.min("_key").alias("rep"), F.count("*").alias("copies"), *[F.first(p).alias(p) for p in tree_names]))
+    sets_of = rows.where("n > 0" if null_keys else "n > 0 and _key is not null").groupBy("m0", "m1", "n").agg(
+        F.min("_key").alias("least"), F.coalesce(F.min_by("hash", "_key"), F.min("hash")).alias("hash"), F.count("*").alias("copies"), *[F.first(p).alias(p) for p in tree_names]
+    )
+    # Numbers are fixed by the cut, and follow the order: a class's smallest number has its smallest key.
+    reps = cut(sets_of.orderBy(F.asc_nulls_last("least"), "m0", "m1", "n").withColumn("rep", F.monotonically_increasing_id()))
 
     under = reps.select("rep", F.explode(F.array(*tree_names)).alias("node"))
     nodes = under.groupBy("node").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where("size > 1")
     ties = under.join(nodes, "node").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     groups = cut(components(ties))
 
-    sized = groups.join(reps.select("rep", "m0", "m1", "n", "copies"), groups["node"] == reps["rep"]).select("rep", "root", "m0", "m1", "n", "copies")
+    sized = groups.join(reps.select("rep", "m0", "m1", "n", "copies", "least", "hash"), groups["node"] == reps["rep"]).drop("node")
     weight = sized.groupBy("root").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"))
     members = sized.join(weight, "root").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int"))
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             sets, keep = [], []
-            for s, m0, m1 in zip(shingle_sets(batch.column(0), width), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                # A key that stands for several texts brings them all; the marks tell which one is meant.
-                sets.append(s.tobytes())
-                keep.append(_signed(set_marks(s)).tolist() == [m0, m1])
+            for s, m0, m1, rep in zip(shingle_sets(batch.column(0), width), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                # A row may come several times, and a key with another text of equal hash: the marks tell which text is meant.
+                keep.append(rep not in seen and _signed(set_marks(s)).tolist() == [m0, m1])
+                sets.append(s.tobytes() if keep[-1] else None)
+                if keep[-1]:
+                    seen.add(rep)
             yield pa.RecordBatch.from_arrays([*batch.columns[3:], pa.array(sets, pa.binary())], ["rep", "root", "copies", "blocks", "block", "shingles"]).filter(pa.array(keep, pa.bool_()))
 
-    texts = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
-    met = texts.join(members.hint("shuffle_hash"), texts["_key"] == members["rep"]).select("_text", "m0", "m1", "rep", "root", "copies", "blocks", "block")
-    sets = met.mapInArrow(with_sets, f"rep {kind}, root {kind}, copies long, blocks int, block int, shingles binary")
+    texts = _texts(docs, key, text)
+    met = texts.join(members.hint("shuffle_hash"), texts["_key"].eqNullSafe(members["least"]) & (texts["hash"] == members["hash"])).select("_text", "m0", "m1", "rep", "root", "copies", "blocks", "block")
+    sets = met.mapInArrow(with_sets, "rep long, root long, copies long, blocks int, block int, shingles binary")
     dealt = sets.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "copies", (F.col("block") <= F.col("other")).alias("first"), (F.col("block") == F.col("other")).alias("single"), "shingles"
     )
-    links = cut(dealt.groupBy("root", "i", "j").applyInArrow(_verify(threshold, ["rep", "links", "near"]), f"rep {kind}, links long, near {kind}"))
+    links = cut(dealt.groupBy("root", "i", "j").applyInArrow(_verify(threshold, ["rep", "links", "near"]), "rep long, links long, near long"))
     united = components(links.select(F.col("rep").alias("a"), F.col("near").alias("b")))
+    heads = united.join(reps.select(F.col("rep").alias("root"), F.col("least").alias("head")), "root").select(F.col("node").alias("rep"), "root", "head")
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    named = reps.select("m0", "m1", "n", "rep", "copies").join(counted, "rep", "left").join(united.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "m0", "m1", "n", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies"
-    )
+    named = reps.drop(*tree_names).join(counted, "rep", "left").join(heads, "rep", "left")
+    return rows, named.withColumn("class_id", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("head"))).withColumn("root", F.coalesce("root", "rep")).drop("head")
+
+
+def classes(docs: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
+    """Per row: key, class_id (smallest key of its class), n_links (other documents it is linked to, copies included), n_copies."""
+    rows, named = _classed(docs, key=key, **options)
+    answers = named.select("m0", "m1", "n", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies")
     slim = rows.select("_key", "m0", "m1", F.when(F.col("_key").isNotNull() & (F.col("n") > 0), F.col("n")).alias("n"))
-    return slim.join(named, ["m0", "m1", "n"], "left").select(
+    return slim.join(answers, ["m0", "m1", "n"], "left").select(
         F.col("_key").alias(key), F.coalesce("class_id", "_key").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies")
     )
 

@@ -79,6 +79,18 @@ def test_repeated_rows_and_empty_tables(docs_of):
     assert j.classes(docs_of([])).count() == 0
 
 
+def test_texts_under_one_key_have_their_own_links(docs_of):
+    """A key with several texts: each has the links and the copies of its own set."""
+    texts = corpus()
+    keys = [k % 7 if k % 3 else k for k in range(len(texts))]
+    docs = docs_of(texts)
+    shared = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("doc_id") % 7).otherwise(F.col("doc_id")))
+    of_rows = brute(texts)
+    least = {root: min(keys[k] for k, (r, _, _) in enumerate(of_rows) if r == root) for root, _, _ in of_rows}
+    got = sorted(tuple(r) for r in j.classes(shared, block_shingles=300).collect())
+    assert got == sorted((keys[k], least[root], links, copies) for k, (root, links, copies) in enumerate(of_rows))
+
+
 def test_depth_shortens_to_the_recall():
     assert j.prefix_depth() == 5 and j.prefix_depth(recall=0.5) == 8 and j.prefix_depth(threshold=0.3) == 1
     assert 1 - (1 - 0.8**5) ** 24 >= j.RECALL > 1 - (1 - 0.8**6) ** 24
