@@ -29,8 +29,8 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest key stays."""
-    return jaccard.one_of_each(docs)
+    """Of each class of near duplicates one row stays, under the smallest key; rows without a key are compared as well."""
+    return jaccard.one_of_each(docs, nulls_apart=False)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -256,8 +256,27 @@ def classes(docs: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
-    """The documents that name their class (the smallest key), in their own columns; rows that repeat a kept key stay, rows without a key too."""
-    kept = classes(docs, key=key, **options).where(F.col(key) == F.col("class_id")).select(F.col(key).alias("_kept"))
-    named = docs.join(kept.hint("shuffle_hash"), docs[key] == kept["_kept"], "left_semi")
-    return named.unionByName(docs.where(F.col(key).isNull()))
+def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", nulls_apart: bool = True, **options) -> DataFrame:
+    """One row of each class, in its own columns: a text under the smallest key; of rows that repeat key and text any one.
+
+    Wordless rows are a class each and stay. Rows with a null key stay as well, or without ``nulls_apart`` are compared as
+    any other, and left only where no text of their class has a key.
+    """
+    rows, named = _classed(docs, null_keys=not nulls_apart, key=key, text=text, **options)
+    heads = named.where("rep = root").select(F.col("least").alias("_kept"), F.col("hash").alias("_mark"))
+    seen = rows.where("n > 0 and _key is not null" if nulls_apart else "n > 0").groupBy(F.col("_key").alias("_again"), F.col("hash").alias("_copy")).count().where("count > 1").drop("count")
+    same = F.col("_kept").eqNullSafe(F.col("_again")) & (F.col("_mark") == F.col("_copy"))
+    repeated = cut(heads.join(seen, same, "left_semi"))
+    wordless = rows.where("n = 0 and _key is not null" if nulls_apart else "n = 0").select(F.col("_key").alias("_kept"), F.col("hash").alias("_mark")).distinct()
+    own = F.xxhash64(F.col(text).cast("string"))
+
+    def of(kept: DataFrame) -> DataFrame:
+        return docs.join(kept.hint("shuffle_hash"), docs[key].eqNullSafe(kept["_kept"]) & (own == kept["_mark"]), "left_semi")
+
+    out = of(heads.join(seen, same, "left_anti").unionAll(wordless))
+    if not repeated.isEmpty():
+        whole = of(repeated).select(F.struct(*docs.columns).alias("row"), F.col(key).alias("k"), own.alias("h"))
+        # Partial sums leave one row of a task, so a hot key's copies do not meet in one place.
+        once = whole.groupBy("k", "h").agg(F.first("row").alias("row"))
+        out = out.unionByName(once.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
+    return out.unionByName(docs.where(F.col(key).isNull())) if nulls_apart else out

@@ -3,6 +3,7 @@ import os
 import corpus_pipeline as p
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from test_decontaminate import words
 from test_jaccard import shingles
 
@@ -56,3 +57,17 @@ def test_stages_keep_columns_and_stand_empty_tables(spark, docs_of):
         assert out.columns == docs.columns
         assert sorted(r["doc_id"] for r in out.collect()) == ([0, 1, 2] if own is docs else [])
         assert p.mix(spark, out, "").columns == [*docs.columns, "mix_epochs", "mix_tokens"]
+
+
+def test_one_row_of_each_class_stays(spark, docs_of):
+    """Repeated rows, different texts under one key and rows without a key: one row of each class."""
+    a, near, b, c = ("a" + " w%d" * 60 % tuple(range(60)), "a" + " w%d" * 60 % tuple(range(60)) + " x", "quite another text that has its own words", "a third text without any key at all")
+    none = F.lit(None).cast("long")
+    docs = docs_of([a]).unionByName(docs_of([a])).unionByName(docs_of([b])).unionByName(docs_of([near, b], start=5))
+    docs = docs.unionByName(docs_of([near, a, c, c, ""]).withColumn("doc_id", none))
+    kept = p.deduplicate(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted((r["text"], r["doc_id"]) for r in kept.collect() if r["doc_id"] is not None) in ([(a, 0), (b, 0)], [(b, 0), (near, 0)])
+    assert sorted(r["text"] for r in kept.where("doc_id is null").collect()) == ["", c]
+    clash = docs_of([a]).unionByName(docs_of(["yet other words that stand under key one"], start=1)).unionByName(docs_of([near], start=1))
+    assert sorted((r["doc_id"], r["text"][:3]) for r in p.deduplicate(spark, clash, "").collect()) == [(0, "a w"), (1, "yet")]
