@@ -1,7 +1,10 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
 A file's candidate headers are its lines that hold a cue word (licence, copyright, ...), each run of such lines joined
-with the lines between two cues at most three lines apart, and the whole text of a licence file. A candidate and a template are sparse
+with the lines between two cues at most three lines apart, and the whole text of a licence file. So that line breaks do not
+matter, a template of ``NOTICE_WORDS`` or more is also held against windows of words: each of its sentences is laid over the
+text by every cue word they share, and the best windows together are its candidate, if they hold the names and numbers of
+the template. Where it matches, a template that is only some of its sentences does not count. A candidate and a template are sparse
 TF-IDF vectors; the file's licence is the template of the highest cosine, if that reaches ``threshold``. Document
 frequencies of the template words are counted over all documents; a word of no template weighs as the mean of those.
 
@@ -54,6 +57,11 @@ CUES = frozenset("license licence licenses licences licensed licensing copyright
 THRESHOLD = 0.75
 FILE_WORDS = 60
 JOIN_LINES = 3
+NOTICE_WORDS = 12
+# Words that name a licence: a window needs those of its template; of the kinds of one licence, it has no others.
+NAMING = frozenset("apache mit gnu bsd mozilla cc cc0 isc".split())
+KINDS = frozenset("lesser library affero".split())
+SENTENCE = re.compile(r"\.\s+(?=[A-Z])")
 WORD = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
 CUE = re.compile(r"(?<![0-9A-Za-z\x80-\U0010ffff])(?:" + "|".join(sorted(CUES, key=len, reverse=True)) + r")(?![0-9A-Za-z\x80-\U0010ffff])", re.IGNORECASE | re.ASCII)
 
@@ -73,6 +81,14 @@ class Matcher:
         self.idf, self.threshold = idf, threshold
         self.other = sum(idf.values()) / len(idf)
         self.templates = [(name, self.vector(words(t))) for name, t in TEMPLATES]
+        self.notices = []
+        for (name, t), (_, vector) in zip(TEMPLATES, self.templates, strict=True):
+            parts = [words(p) for p in SENTENCE.split(t)]
+            tokens = [w for p in parts for w in p]
+            if len(tokens) >= NOTICE_WORDS and all(CUES.intersection(p) for p in parts):
+                laid = [(len(p), [(w, k) for k, w in enumerate(p) if w in CUES], self.vector(p)) for p in parts]
+                needed = {w for w in tokens if w in NAMING or w in KINDS or w.isdigit()}
+                self.notices.append((name, vector, needed, laid, {tuple(p) for p in parts}))
 
     def vector(self, tokens: list[str]) -> dict[str, float]:
         v = {w: n * self.idf.get(w, self.other) for w, n in Counter(tokens).items()}
@@ -84,6 +100,36 @@ class Matcher:
         score, name = max(((sum(x * own.get(w, 0.0) for w, x in t.items()), n) for n, t in self.templates), key=lambda p: (round(p[0], 9), p[1]))
         return (name, round(score, 6)) if score >= self.threshold else (None, round(score, 6))
 
+    @staticmethod
+    def cosine(left: dict[str, float], right: dict[str, float]) -> float:
+        return sum(x * right.get(w, 0.0) for w, x in left.items())
+
+    def windows(self, text: str) -> tuple[list[tuple[str, float]], set[str]]:
+        """Licences whose notices occur in the text, however its lines are broken, and those that are only a part of them."""
+        tokens = words(text)
+        have, cues = set(tokens), {}
+        for q, w in enumerate(tokens):
+            if w in CUES:
+                cues.setdefault(w, []).append(q)
+        found = []
+        for name, vector, needed, laid, parts in self.notices:
+            if not needed <= have:
+                continue
+            header: list[str] = []
+            for size, at, part in laid:
+                starts = sorted({max(q - k, 0) for w, k in at for q in cues.get(w, ())})
+                score, a = max(((self.cosine(part, self.vector(tokens[a : a + size])), -a) for a in starts), default=(0.0, 0))
+                if score < self.threshold:
+                    break
+                header += tokens[-a : size - a]
+            else:
+                own = set(header)
+                score = round(self.cosine(vector, self.vector(header)), 6)
+                if score >= self.threshold and needed <= own and own & KINDS == needed & KINDS:
+                    found.append((name, score, parts))
+        inner = {n for n, _, p in found for m, _, o in found if n != m and p < o}
+        return [(n, s) for n, s, _ in found if n not in inner], inner
+
     def file(self, text: str | None, licence_file: bool) -> tuple[str | None, float]:
         """Licence and score of a whole text: its best candidate header."""
         if not text or not (licence_file or CUE.search(text)):
@@ -97,6 +143,8 @@ class Matcher:
         found = [self.best("\n".join(lines[a : b + 1])) for a, b in sorted(spans)]
         if licence_file:
             found.append(self.best(text))
+        whole, inner = self.windows(text)
+        found = [f for f in found if f[0] not in inner] + whole
         return max(found, key=lambda f: (f[0] is not None, f[1], f[0] or ""))
 
 

@@ -67,3 +67,49 @@ def test_cosine_is_one_for_a_template_and_falls_with_other_words():
 def test_frequencies_cover_all_documents(files):
     n, counts = lic.document_frequencies(files)
     assert n == len(FILES) and counts["license"] == sum("license" in lic.words(t or "") for _, t, _ in FILES)
+
+
+MIT_NOTICE = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+BSD_NOTICE = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL_NOTICE = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+
+
+@pytest.mark.parametrize("name, notice", [("MIT", MIT_NOTICE), ("BSD-2-Clause", BSD_NOTICE), ("BSD-3-Clause", BSD_NOTICE + BSD_THIRD), ("GPL-3.0", GPL_NOTICE)])
+@pytest.mark.parametrize("mark", ["", "# ", " * "])
+def test_hard_wrapped_notices(name, notice, mark):
+    matcher = lic.Matcher({w: 1.0 + k % 3 for k, w in enumerate(lic.template_words())})
+    text = "\n".join(mark + x for x in notice.split("\n")) + "\n\ncode " + "word " * 200
+    assert matcher.file(text, False)[0] == name
+    narrow = "\n".join(" ".join(notice.split()[k : k + 4]) for k in range(0, len(notice.split()), 4))
+    assert matcher.file(narrow, False)[0] == name
+
+
+def test_windows_need_the_names_of_their_template():
+    matcher = lic.Matcher({w: 1.0 for w in lic.template_words()})
+    for other in (GPL_NOTICE.replace("version 3", "version 2"), GPL_NOTICE.replace("GNU General", "GNU Lesser General")):
+        assert matcher.windows(other)[0] == []
