@@ -13,8 +13,8 @@ leaf, and only the one range in which the budget ends is ordered. A leaf of n do
 documents, so that neither the sums nor the ordered range of a hot source grow large. Built-in functions only.
 
 Nulls: a null text has no tokens, and null domains, languages or sources are leaves of their own. A document without
-tokens is in no prefix. Repeated rows share a hash and are taken in an unspecified order among themselves. An empty
-table gives an empty result.
+tokens is in no prefix. Rows with a null key have one place in the order, as have repeated rows: at the cut each of them
+gives its tokens' share of what is left, rounded down. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -83,7 +83,7 @@ def _same_leaf(left: list[str], right: list[str]) -> list[Column]:
 
 
 def plan(rows: DataFrame, budget: Column, weights: dict[str, dict[str, float]], *, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """Per leaf: whole epochs, the order (hash, key) at which the prefix of the next one ends, and the tokens taken of that document.
+    """Per leaf: whole epochs, the order (hash, key) at which the prefix of the next one ends, and how many of its tokens are taken.
 
     ``rows``: _key, domain, lang, source, _tokens of each document, already materialised: it is read a few times.
     """
@@ -102,11 +102,11 @@ def plan(rows: DataFrame, budget: Column, weights: dict[str, dict[str, float]],
     running = Window.partitionBy(*mine).orderBy("_range")
     ended = sums.withColumn("_to", F.sum("_t").over(running)).where("_to > _rest").groupBy(*mine).agg(F.min(F.struct("_range", (F.col("_to") - F.col("_t")).alias("_before"))).alias("_cut"))
     last = ended.select(*[F.col(m).alias(f"_c{m}") for m in mine], F.col("_cut._range").alias("_cut_range"), F.col("_cut._before").alias("_before"))
-    inside = _join_leaves(placed, last, _same_leaf(mine, [f"_c{m}" for m in mine])).where("_range = _cut_range").groupBy(*mine, "_rest", "_before", "_hash", "_key").agg(F.sum("_tokens").alias("_t"), F.count("*").alias("_n"))
+    inside = _join_leaves(placed, last, _same_leaf(mine, [f"_c{m}" for m in mine])).where("_range = _cut_range").groupBy(*mine, "_rest", "_before", "_hash", "_key").agg(F.sum("_tokens").alias("_t"))
     order = Window.partitionBy(*mine).orderBy("_hash", "_key")
-    at = inside.withColumn("_to", F.col("_before") + F.sum("_t").over(order)).where("_to > _rest").groupBy(*mine).agg(F.min(F.struct("_hash", "_key", F.floor((F.col("_rest") - F.col("_to") + F.col("_t")) / F.col("_n")).cast("long").alias("_part"))).alias("_end"))
+    at = inside.withColumn("_to", F.col("_before") + F.sum("_t").over(order)).where("_to > _rest").groupBy(*mine).agg(F.min(F.struct("_hash", "_key", (F.col("_rest") - F.col("_to") + F.col("_t")).alias("_left"), F.col("_t").alias("_all"))).alias("_end"))
     ends = at.select(*[F.col(m).alias(f"_c{m}") for m in mine], "_end")
-    return cut(planned.join(ends, _same_leaf(mine, [f"_c{m}" for m in mine]), "left").select(*mine, "epochs", F.col("_end._hash").alias("_end_hash"), F.col("_end._key").alias("_end_key"), F.coalesce("_end._part", F.lit(0)).cast("long").alias("_part")))
+    return cut(planned.join(ends, _same_leaf(mine, [f"_c{m}" for m in mine]), "left").select(*mine, "epochs", F.col("_end._hash").alias("_end_hash"), F.col("_end._key").alias("_end_key"), F.col("_end._left").alias("_end_left"), F.col("_end._all").alias("_end_all")))
 
 
 MAX_BROADCAST_LEAVES = 20_000
@@ -125,10 +125,12 @@ def with_leaf(rows: DataFrame, leaves: DataFrame) -> DataFrame:
 def taken(docs: DataFrame, leaves: DataFrame, *, seed: int = SEED) -> DataFrame:
     """``docs`` (with _key, domain, lang, source, _tokens) and the leaves' plan: adds epochs and tokens_taken."""
     joined = with_leaf(docs, leaves).withColumn("_hash", order_hash(F.col("_key"), F.col("epochs"), seed))
-    at_end = (F.col("_hash") == F.col("_end_hash")) & (F.col("_key") == F.col("_end_key"))
-    before = (F.col("_hash") < F.col("_end_hash")) | ((F.col("_hash") == F.col("_end_hash")) & (F.col("_key") < F.col("_end_key")))
-    part = F.when(at_end, F.col("_part")).when(before, F.col("_tokens")).otherwise(F.lit(0))
-    return joined.withColumn("tokens_taken", (F.col("_tokens") * F.col("epochs") + part).cast("long")).drop("_hash", "_end_hash", "_end_key", "_part", *[f"_l_{c}" for c in LEVELS])
+    at_end = (F.col("_hash") == F.col("_end_hash")) & F.col("_key").eqNullSafe(F.col("_end_key"))
+    before = (F.col("_hash") < F.col("_end_hash")) | ((F.col("_hash") == F.col("_end_hash")) & F.coalesce(F.col("_key") < F.col("_end_key"), F.col("_key").isNull() & F.col("_end_key").isNotNull()))
+    # Nulls come first, as in the plan's order. Repeated rows share what is left by their tokens.
+    share = F.expr("CAST(_tokens AS DECIMAL(18, 0)) * CAST(_end_left AS DECIMAL(18, 0)) div CAST(_end_all AS DECIMAL(18, 0))")
+    part = F.when(at_end, share).when(before, F.col("_tokens")).otherwise(F.lit(0))
+    return joined.withColumn("tokens_taken", (F.col("_tokens") * F.col("epochs") + part).cast("long")).drop("_hash", "_end_hash", "_end_key", "_end_left", "_end_all", *[f"_l_{c}" for c in LEVELS])
 
 
 def mix(docs: DataFrame, *, domain: Column, budget_share: float, weights: dict[str, dict[str, float]], key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:

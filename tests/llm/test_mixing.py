@@ -81,3 +81,10 @@ def test_repeated_rows_empty_tables_and_weights(rows, spark):
     assert m.mix(rows.limit(0), domain=F.col("domain_name"), budget_share=1.0, weights={}).count() == 0
     with pytest.raises(ValueError):
         m.mix(rows, domain=F.col("domain_name"), budget_share=1.0, weights={"lang": {"en": 0}})
+
+
+def test_null_keys_at_the_cut_get_their_share(spark):
+    texts = ["w " * (k + 1) for k in range(20)]
+    docs = spark.createDataFrame([(None, "d", "en", "s", t) for t in texts], "doc_id long, domain_name string, lang string, source string, text string")
+    got = m.mix(docs, domain=F.col("domain_name"), budget_share=0.5, weights={}).collect()
+    assert sorted((r["n_tokens"], r["tokens_taken"]) for r in got) == [(k + 1, (k + 1) // 2) for k in range(20)]
