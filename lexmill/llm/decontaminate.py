@@ -7,7 +7,7 @@ the hash of each remaining window is looked up, and each hit is verified on the
 
 The set grows with the benchmark, not with the documents. It is broadcast only while the benchmark's text has at most
 ``max_broadcast_bytes``; a larger benchmark goes in blocks of that size, one pass over the documents' words for each
-(``hit_spans``), whose hits are united by an aggregation on the document key.
+(``hit_spans``), whose hits are united on a number that each row is given, so rows that share a key or have none stay apart.
 
 Nulls: a null text has no words; a null or empty item has no windows; items with equal texts are all counted. An empty
 document table gives an empty result, an empty benchmark leaves every document clean. Repeated rows are each judged.
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.llm.common import cut
 from lexmill.llm.wordbytes import mix, text_chunks, words_of
 
 WIDTH = 10
@@ -153,8 +154,11 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", tex
     kind = docs.schema[key].dataType.simpleString()
     schema = f"_key {kind}, n_words long, spans array<struct<from_word:int,to_word:int,from_byte:long,to_byte:long>>, items array<string>"
     rows = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
-    parts = []
-    for block in blocks_of(benchmark, item, item_text, max_broadcast_bytes):
+    blocks, parts = blocks_of(benchmark, item, item_text, max_broadcast_bytes), []
+    if len(blocks) > 1:
+        rows = cut(rows.select(F.struct(F.monotonically_increasing_id().alias("row"), "_key").alias("_key"), "_text"))
+        schema = schema.replace(f"_key {kind}", f"_key struct<row:bigint,_key:{kind}>", 1)
+    for block in blocks:
         held = spark.sparkContext.broadcast(WindowSet(block, width))
         parts.append(rows.mapInArrow(_scan(held), schema))
     if len(parts) == 1:
@@ -173,7 +177,7 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", tex
                     F.try_element_at(acc, F.lit(-1))["from_byte"].alias("from_byte"), F.greatest(F.try_element_at(acc, F.lit(-1))["to_byte"], x["to_byte"]).alias("to_byte")))))
             .otherwise(F.concat(acc, F.array(x))),
         )
-        out = spread.select("_key", "n_words", joined.alias("spans"), F.array_sort("items").alias("items"))
+        out = spread.select("_key._key", "n_words", joined.alias("spans"), F.array_sort("items").alias("items"))
     return out.withColumnRenamed("_key", key)
 
 

@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexmill.llm import decontaminate as d
 
@@ -51,3 +52,12 @@ def test_empty_tables(spark, docs_of, bench):
     assert d.report(docs_of([]), bench).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
     assert {r["contaminated"] for r in d.report(docs_of(TEXTS), none).collect()} == {False}
+
+
+@pytest.mark.parametrize("max_bytes", [d.MAX_BROADCAST_BYTES, 60])
+def test_repeated_and_null_keys_are_each_judged(docs_of, bench, max_bytes):
+    texts = [TEXTS[k] for k in (3, 3, 6, 7, 2)] + ["x clean item y", "clean words only here"]
+    keys = F.when(F.col("doc_id") < 2, 5).when(F.col("doc_id") < 5, F.lit(None)).otherwise(6).cast("long")
+    docs = docs_of(texts).withColumn("doc_id", keys)
+    got = sorted((str(r["doc_id"]), *tuple(r)[1:]) for r in d.report(docs, bench, max_broadcast_bytes=max_bytes).collect())
+    assert got == sorted((str(5 if k < 2 else None if k < 5 else 6), *brute(t)) for k, t in enumerate(texts))
