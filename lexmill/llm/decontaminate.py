@@ -9,8 +9,8 @@ The set grows with the benchmark, not with the documents. It is broadcast only w
 ``max_broadcast_bytes``; a larger benchmark goes in blocks of that size, one pass over the documents' words for each
 (``hit_spans``), whose hits are united on a number that each row is given, so rows that share a key or have none stay apart.
 
-Nulls: a null text has no words; a null or empty item has no windows; items with equal texts are all counted. An empty
-document table gives an empty result, an empty benchmark leaves every document clean. Repeated rows are each judged.
+Nulls: a null text has no words; a null or empty item has no windows; items with equal texts are all counted; the windows of an item
+with a null id are hit as any, and only the list of ids leaves it out. An empty document table gives an empty result, an empty benchmark leaves every document clean. Repeated rows are each judged.
 """
 
 from __future__ import annotations
@@ -34,9 +34,9 @@ _STEP = 0x9E3779B97F4A7C15
 class WindowSet:
     """Windows of a block of benchmark items, by the numbers of their words."""
 
-    def __init__(self, items: list[tuple[str, str]], width: int):
+    def __init__(self, items: list[tuple[str | None, str]], width: int):
         self.vocabulary: dict[bytes, int] = {}
-        self.windows: dict[tuple[int, ...], list[str]] = defaultdict(list)
+        self.windows: dict[tuple[int, ...], list[str | None]] = defaultdict(list)
         for item, text in items:
             data = np.frombuffer(text.encode(), np.uint8)
             low, starts, ends, _ = words_of(data, np.array([0, len(data)]))
@@ -62,7 +62,7 @@ class WindowSet:
             out = (out + ids[k : k + m].astype(np.uint64) + np.uint64(1)) * np.uint64(_STEP)
         return mix(out)
 
-    def hits(self, ids: np.ndarray) -> list[tuple[int, int, list[str]]]:
+    def hits(self, ids: np.ndarray) -> list[tuple[int, int, list[str | None]]]:
         """First word, last word + 1 and items of each window that occurs in a text."""
         found = []
         known = np.zeros(len(ids) + 1, np.int64)
@@ -120,7 +120,7 @@ def _scan(sets) -> object:
                     n_words.append(b - a)
                     hits = held.hits(ids[a:b]) if b > a else []
                     spans.append([(s, e, int(starts[a + s] - offsets[k]), int(ends[a + e - 1] - offsets[k])) for s, e in merged([h[:2] for h in hits])])
-                    items.append(sorted({i for h in hits for i in h[2]}))
+                    items.append(sorted({i for h in hits for i in h[2] if i is not None}))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n_words, pa.int64()), pa.array([[dict(zip(_HIT.names, s, strict=True)) for s in x] for x in spans], pa.list_(_HIT)), pa.array(items, pa.list_(pa.string()))],
                 ["_key", "n_words", "spans", "items"],
@@ -136,15 +136,15 @@ def _mask(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(edges[:-1], dtype=np.int8).astype(bool)
 
 
-def blocks_of(benchmark: DataFrame, item: str, text: str, max_bytes: int) -> list[list[tuple[str, str]]]:
+def blocks_of(benchmark: DataFrame, item: str, text: str, max_bytes: int) -> list[list[tuple[str | None, str]]]:
     """The benchmark in blocks of at most ``max_bytes`` of text; one item alone may be longer. Sizes are checked before any text is fetched."""
-    sizes = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).where("i is not null and t is not null and t <> ''")
+    sizes = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).where("t is not null and t <> ''")
     total = sizes.agg(F.sum(F.octet_length("t")).alias("b")).first()["b"] or 0
     n = max(1, -(-total // max_bytes))
     out = []
     for k in range(n):
-        rows = (sizes if n == 1 else sizes.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k)).collect()
-        out.append(sorted((r["i"], r["t"]) for r in rows))
+        rows = (sizes if n == 1 else sizes.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)).collect()
+        out.append(sorted(((r["i"], r["t"]) for r in rows), key=lambda p: (p[0] is not None, p[0] or "", p[1])))
     return out
 
 

@@ -61,3 +61,12 @@ def test_repeated_and_null_keys_are_each_judged(docs_of, bench, max_bytes):
     docs = docs_of(texts).withColumn("doc_id", keys)
     got = sorted((str(r["doc_id"]), *tuple(r)[1:]) for r in d.report(docs, bench, max_broadcast_bytes=max_bytes).collect())
     assert got == sorted((str(5 if k < 2 else None if k < 5 else 6), *brute(t)) for k, t in enumerate(texts))
+
+
+@pytest.mark.parametrize("max_bytes", [d.MAX_BROADCAST_BYTES, 20])
+def test_items_without_an_id_are_hit(spark, docs_of, max_bytes):
+    items = spark.createDataFrame([(None, "secret test passage"), (None, "another one of them"), (4, "short item")], "item_id long, text string")
+    docs = docs_of(["a secret test passage here", "no passage", "short item, another one of them"])
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in d.report(docs, items, max_broadcast_bytes=max_bytes).collect()}
+    assert got == {0: (3, 0, True), 1: (0, 0, False), 2: (6, 1, True)}
+    assert [r["doc_id"] for r in d.clean_documents(docs, items, max_broadcast_bytes=max_bytes).collect()] == [1]
