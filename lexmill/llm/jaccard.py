@@ -1,13 +1,14 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard join by MinHash banding with exact verification.
 
 A document is the set of its shingles (``width`` consecutive words; fewer words, but not none, are one shingle). Two
 documents are linked if the Jaccard similarity of their sets is ``threshold`` or more.
 
 1. Documents with equal sets are one class representative with a number of copies, so copies are never paired. It has a
    number of its own, as a key may stand for several texts; numbers follow the smallest keys.
-2. Each representative has a path of MinHash values in each of ``trees`` prefix tries. Two sets of similarity s share a
-   prefix of depth d in some trie with probability 1 - (1 - s^d)^trees. Matching starts at ``max_depth`` and the prefix is
-   shortened until that reaches ``recall`` for the least similar pair that counts (``prefix_depth``).
+2. Each representative has a prefix of MinHash values in each of ``trees`` bands (the levels of an LSH forest at one fixed
+   depth; no tries are built). Two sets of similarity s share a prefix of depth d in some band with probability
+   1 - (1 - s^d)^trees. The depth is the greatest, up to ``max_depth``, at which that reaches ``recall`` for the least
+   similar pair that counts (``prefix_depth``), whatever the data.
 3. Nodes of the tries at that depth tie their representatives to the node's smallest one. Connected ties are candidate
    groups: a linked pair shares a node, so it lies in one group, and no pair has been listed.
 4. In a group all pairs are verified on the whole sets. A group is dealt out in blocks of about ``block_shingles``, and
