@@ -20,6 +20,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+FEW_ROWS = 100_000
+
+
+def few(df: DataFrame, most: int = FEW_ROWS) -> DataFrame:
+    """``df`` materialised, and marked to be broadcast if it has at most ``most`` (short) rows; else a join shuffles it."""
+    held = cut(df)
+    return F.broadcast(held) if held.limit(most + 1).count() <= most else held
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,80 +1,113 @@
-"""N-gram Jaccard join by MinHash banding with exact verification.
+"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
 
 A document is the set of its shingles (``width`` consecutive words; fewer words, but not none, are one shingle). Two
 documents are linked if the Jaccard similarity of their sets is ``threshold`` or more.
 
-1. Documents with equal sets are one class representative with a number of copies, so copies are never paired. It has a
-   number of its own, as a key may stand for several texts; numbers follow the smallest keys.
-2. Each representative has a prefix of MinHash values in each of ``trees`` bands (the levels of an LSH forest at one fixed
-   depth; no tries are built). Two sets of similarity s share a prefix of depth d in some band with probability
-   1 - (1 - s^d)^trees. The depth is the greatest, up to ``max_depth``, at which that reaches ``recall`` for the least
-   similar pair that counts (``prefix_depth``), whatever the data.
-3. Nodes of the tries at that depth tie their representatives to the node's smallest one. Connected ties are candidate
-   groups: a linked pair shares a node, so it lies in one group, and no pair has been listed.
-4. In a group all pairs are verified on the whole sets. A group is dealt out in blocks of about ``block_shingles``, and
-   each pair of blocks is one task-sized unit, in which a matrix product counts the common shingles. A unit gives each of
-   its documents a number of links and a root, not pairs, so that a large group of near copies makes few rows.
-5. Roots are united to classes; a class is named by its smallest key, which is that of its smallest number.
-
-Texts move once, for the verification, where a shuffled hash join keeps one text (by key and hash) of each representative
-in a candidate group only.
+1. Documents with equal sets are one representative with a number of copies, so copies are never paired. It has a number
+   of its own, as a key may stand for several texts; numbers follow the smallest keys.
+2. The forest has ``trees`` prefix tries. A representative's path in a trie is ``max_depth`` MinHash values; the paths of
+   all trees are its signature. Representatives that share the first d values of a tree share its node of depth d.
+3. The join starts at the deepest nodes and shortens the matched prefixes until the recall is met. A pair of similarity s
+   is met at depth d in some tree with chance p(s, d) = 1 - (1 - s^d)^trees, so the links found so far say how many are
+   still unseen: each stands for 1 / p(s, d) - 1 others, and one more of just ``threshold`` is assumed. The next depth is
+   the greatest one at which that leaves no more than the recall allows; the least depth, at which p(threshold, d)
+   itself reaches ``recall`` whatever the data (``prefix_depth``), ends the descent at the latest.
+4. Pairs are compared inside trie nodes only, each pair in one place: where it has shared a longer prefix in any tree, or
+   one of this length in an earlier tree, it was met before. Two steps do this. The first has signatures only and tells
+   which members of a node have anyone new that can be linked to them (set sizes, and at least ``LEAST_SHARED`` of the
+   signature alike: a linked pair misses that with a chance below one in ten million). The second has the whole sets of
+   those members and verifies the same pairs exactly.
+5. A unit of work is a node, or for a large node two of its blocks of about ``block_rows`` members and ``block_shingles``
+   shingles, so that no node is gathered whole. A unit gives each member a number of links and a root, not pairs.
+6. Roots are united to classes; a class is named by its smallest key, which is that of its smallest number.
 
 Null and wordless texts are linked to nothing and are a class each; so are rows with a null key, which have no class.
 Repeated rows (a key twice) are copies of each other if their texts are equal, and are each answered; different texts
-under one key are classes of their own, though the key may name both. An empty table gives an empty result.
+under one key are classes of their own, though the key may name both. Very long texts are read in slices; a set takes
+eight bytes a shingle. Ties (pairs of just the threshold) are links. Sets hold 64-bit hashes made of BLAKE2b hashes of the
+words. Extra columns may have any name. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import cut
+from lexmill.llm.common import cut, few
 from lexmill.llm.components import components
-from lexmill.llm.wordbytes import SpanHasher, mix, text_chunks, text_shingles, words_of
+from lexmill.llm.wordbytes import WordHashes, mix, text_shingles, text_words
 
 WIDTH = 5
 THRESHOLD = 0.8
 TREES = 24
 MAX_DEPTH = 8
 RECALL = 0.9999
-BLOCK_SHINGLES = 65_536
-COLUMNS = 4_096
+# The measured recall has to leave a tenth of what the wanted recall allows, as it is an estimate.
+MARGIN = 0.1
+BLOCK_ROWS = 1_024
+BLOCK_SHINGLES = 1 << 19
+COLUMNS = 2_048
+PAIRS = 1 << 14
+# Of the values of two signatures, the share that has to be equal: the threshold less six standard deviations.
+LEAST_SHARED = 6.0
+
+
+def chance(similarity: float | np.ndarray, depth: int, trees: int = TREES):
+    """The chance that a pair of this similarity shares a prefix of this depth in one of the trees."""
+    return 1 - (1 - similarity**depth) ** trees
 
 
 def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, max_depth: int = MAX_DEPTH, recall: float = RECALL) -> int:
     """The greatest depth at which a pair of just ``threshold`` shares a prefix in some trie with probability ``recall``."""
     depth = max_depth
-    while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
+    while depth > 1 and chance(threshold, depth, trees) < recall:
         depth -= 1
     return depth
 
 
+def least_shared(threshold: float, values: int) -> int:
+    """How many of so many MinHash values a pair of ``threshold`` shares all but surely."""
+    return max(0, int(values * threshold - LEAST_SHARED * np.sqrt(values * threshold * (1 - threshold))))
+
+
 class Hashes:
-    """MinHash values of all tries, cut to prefixes of one depth."""
+    """MinHash values of all tries: 16 bits of each, ``depth`` of them for each tree."""
 
     def __init__(self, trees: int, depth: int):
         rng = np.random.default_rng(11)
         n = trees * depth
         self.trees, self.depth = trees, depth
-        self.factors = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
-        self.shifts = rng.integers(0, 1 << 63, n, np.uint64)
+        self.factors = rng.integers(0, 1 << 31, n, np.uint32) * np.uint32(2) + np.uint32(1)
+        self.shifts = rng.integers(0, 1 << 32, n, np.uint32)
+
+    def signature(self, shingles: np.ndarray) -> np.ndarray:
+        """The paths of all trees, one after the other; of no shingles: zeros."""
+        if not len(shingles):
+            return np.zeros(len(self.factors), np.uint16)
+        small = (shingles >> np.uint64(32)).astype(np.uint32)
+        least = np.full(len(self.factors), np.iinfo(np.uint32).max, np.uint32)
+        for at in range(0, len(small), 1024):
+            values = self.factors[:, None] * small[None, at : at + 1024] + self.shifts[:, None]
+            np.minimum(least, values.min(axis=1), out=least)
+        return ((least * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
 
     def prefixes(self, shingles: np.ndarray) -> np.ndarray:
-        """The trie node of each tree that a set lies under, as one number that no other tree has."""
-        least = np.full(len(self.factors), np.iinfo(np.uint64).max, np.uint64)
-        for at in range(0, len(shingles), 512):
-            values = self.factors[:, None] * shingles[None, at : at + 512] + self.shifts[:, None]
-            np.minimum(least, values.min(axis=1), out=least)
-        paths = least.reshape(self.trees, self.depth)
-        node = mix(np.arange(1, self.trees + 1, dtype=np.uint64))
-        for d in range(self.depth):
-            node = mix(node * np.uint64(0x9E3779B97F4A7C15) + paths[:, d])
-        return node
+        """The node of each tree that a set lies under at full depth, as one number."""
+        return codes(self.signature(shingles)[None, :], self.trees, self.depth)[0]
+
+
+def codes(signatures: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """For each signature and tree a number of its first ``depth`` values; equal prefixes have equal numbers."""
+    paths = signatures.reshape(len(signatures), trees, -1).astype(np.uint64)
+    out = np.zeros(paths.shape[:2], np.uint64)
+    for d in range(depth):
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + paths[:, :, d] + np.uint64(1))
+    return out
 
 
 def set_marks(shingles: np.ndarray) -> tuple[int, int]:
@@ -83,13 +116,10 @@ def set_marks(shingles: np.ndarray) -> tuple[int, int]:
         return int(mix(shingles).sum(dtype=np.uint64)), int(mix(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64))
 
 
-def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
+def shingle_sets(column: pa.Array, width: int, known: WordHashes) -> Iterator[np.ndarray]:
     """The sorted distinct shingles of each text of a column."""
-    for _, _, data, offsets in text_chunks(column):
-        low, starts, ends, first = words_of(data, offsets)
-        hashes = SpanHasher(low)(starts, ends) if len(starts) else np.zeros(0, np.uint64)
-        for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-            yield text_shingles(hashes[a:b], width)
+    for words in text_words(column, known):
+        yield text_shingles(words, width)
 
 
 def _signed(values) -> np.ndarray:
@@ -102,148 +132,278 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def signatures(docs: DataFrame, key: str, text: str, width: int, trees: int, depth: int) -> DataFrame:
-    """Per row: _key, hash (of the text), n (shingles), m0 and m1 (marks of the set), p0 .. (trie nodes; 0 without words)."""
+    """Per row: _key, hash (of the text), n (shingles), m0 and m1 (marks of the set), sig (16-bit values, tree by tree)."""
     kind = docs.schema[key].dataType.simpleString()
-    names = [f"p{t}" for t in range(trees)]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes(trees, depth)
+        hashes, known = Hashes(trees, depth), WordHashes()
         for batch in batches:
-            sizes, marks, nodes = [], [], []
-            for s in shingle_sets(batch.column(1), width):
+            sizes, marks, paths = [], [], []
+            for s in shingle_sets(batch.column(1), width, known):
                 sizes.append(len(s))
                 marks.append(set_marks(s) if len(s) else (0, 0))
-                nodes.append(hashes.prefixes(s) if len(s) else np.zeros(trees, np.uint64))
-            marks_, nodes_ = _signed(marks).reshape(-1, 2), _signed(np.array(nodes, np.uint64)).reshape(-1, trees)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int32()), *[pa.array(c) for c in marks_.T.copy()], *[pa.array(c) for c in nodes_.T.copy()]], ["_key", "hash", "n", "m0", "m1", *names])
-
-    return _texts(docs, key, text).mapInArrow(scan, f"_key {kind}, hash long, n int, m0 long, m1 long, " + ", ".join(f"{c} long" for c in names))
-
-
-def links_between(left: list[np.ndarray], right: list[np.ndarray] | None, threshold: float) -> np.ndarray:
-    """Boolean matrix of which sets of ``left`` are linked to which of ``right`` (None: of ``left`` itself)."""
-    own = right is None
-    right = left if own else right
-    a_size, b_size = np.array([len(s) for s in left]), np.array([len(s) for s in right])
+                paths.append(hashes.signature(s).tobytes())
+            marks_ = _signed(marks).reshape(-1, 2).T.copy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int32()), pa.array(marks_[0]), pa.array(marks_[1]), pa.array(paths, pa.binary())], ["_key", "hash", "n", "m0", "m1", "sig"])
+
+    return _texts(docs, key, text).mapInArrow(scan, f"_key {kind}, hash long, n int, m0 long, m1 long, sig binary")
+
+
+def whole_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables that hold whole units, from batches sorted by ``unit``; a table has the rows of a batch and of a unit at most."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        units = batch.column("unit").to_numpy()
+        at = int(np.searchsorted(units, units[-1], "left"))
+        if held and held[-1].column("unit")[0].as_py() != units[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        if at:
+            yield pa.Table.from_batches([*held, batch.slice(0, at)])
+            held = []
+        held.append(batch.slice(at))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class Members:
+    """The members of some units, which come sorted by unit and half (0: a node by itself; 1, 2: two blocks of one)."""
+
+    def __init__(self, table: pa.Table, trees: int, depth: int, deeper: int | None):
+        self.table, n = table, table.num_rows
+        self.unit, half, self.tree, self.size = (table.column(c).to_numpy() for c in ("unit", "half", "tree", "n"))
+        self.signatures = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(n, -1)
+        self.here = codes(self.signatures, trees, depth)
+        self.below = codes(self.signatures, trees, deeper) if deeper else None
+        end = np.searchsorted(self.unit, self.unit, "right")
+        # The second half of a unit begins after its rows of half 0 or 1.
+        firsts = np.concatenate([[0], np.cumsum(half < 2)])
+        begin = np.searchsorted(self.unit, self.unit, "left")
+        second = begin + firsts[end] - firsts[begin]
+        rows = np.arange(n)
+        self.low = np.where(half == 0, rows + 1, second)
+        self.high = np.where(half == 2, self.low, end)
+
+    def pairs(self, threshold: float, shared: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows that are met here for the first time and can be linked, some at a time, in the order of units."""
+        count = np.maximum(self.high - self.low, 0)
+        ends = np.cumsum(count)
+        at = 0
+        while at < len(count):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
+            own = count[at:to]
+            a = np.repeat(np.arange(at, to), own)
+            b = np.arange(len(a)) - np.repeat(np.cumsum(own) - own, own) + np.repeat(self.low[at:to], own)
+            at = to
+            small, large = np.minimum(self.size[a], self.size[b]), np.maximum(self.size[a], self.size[b])
+            can = (small >= threshold * large - 1e-9) & (self.tree[a] == self.tree[b])
+            a, b = a[can], b[can]
+            alike = self.here[a] == self.here[b]
+            # The first tree in which the two share a node of this depth has to be that of the unit.
+            new = alike.any(axis=1) & (alike.argmax(axis=1) == self.tree[a])
+            if self.below is not None:
+                new &= ~(self.below[a] == self.below[b]).any(axis=1)
+            a, b = a[new], b[new]
+            near = np.count_nonzero(self.signatures[a] == self.signatures[b], axis=1) >= shared
+            yield a[near], b[near]
+
+
+def _wanted(threshold: float, trees: int, values: int, depth: int, deeper: int | None):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_units(batches):
+            members = Members(table, trees, depth, deeper)
+            needed = np.zeros(table.num_rows, bool)
+            for a, b in members.pairs(threshold, least_shared(threshold, values)):
+                needed[a] = needed[b] = True
+            yield from members.table.select(["unit", "half", "tree", "rep"]).filter(pa.array(needed)).to_batches()
+
+    return scan
+
+
+def common(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many shingles the sets of each pair of rows have in common."""
+    rows_a, a = np.unique(a, return_inverse=True)
+    rows_b, b = np.unique(b, return_inverse=True)
+    if len(a) <= 4 * (len(rows_a) + len(rows_b)):
+        out = np.zeros(len(a), np.int64)
+        for k, (x, y) in enumerate(zip(rows_a[a].tolist(), rows_b[b].tolist(), strict=True)):
+            small, large = (sets[x], sets[y]) if len(sets[x]) <= len(sets[y]) else (sets[y], sets[x])
+            out[k] = np.count_nonzero(large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small)
+        return out
+    # Many pairs of few rows: products of indicator matrices, some of the common shingles at a time.
+    left, right = [sets[k] for k in rows_a.tolist()], [sets[k] for k in rows_b.tolist()]
     a_all, b_all = np.concatenate(left), np.concatenate(right)
-    a_row, b_row = np.repeat(np.arange(len(left)), a_size), np.repeat(np.arange(len(right)), b_size)
-    if own:
-        shared, where, counts = np.unique(a_all, return_inverse=True, return_counts=True)
-        common = counts > 1
-    else:
-        shared = np.intersect1d(a_all, b_all)
-        common = np.ones(len(shared), bool)
-    number = np.cumsum(common) - 1
-    n_common = int(common.sum())
-
-    def numbered(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    shared = np.intersect1d(a_all, b_all)
+
+    def places(values: np.ndarray, owners: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.repeat(np.arange(len(owners)), [len(s) for s in owners])
         at = np.minimum(np.searchsorted(shared, values), max(len(shared) - 1, 0))
-        keep = (shared[at] == values) & common[at] if len(shared) else np.zeros(len(values), bool)
-        return rows[keep], number[at[keep]]
+        keep = shared[at] == values if len(shared) else np.zeros(len(values), bool)
+        rows, at = rows[keep], at[keep]
+        order = np.argsort(at, kind="stable")
+        return rows[order], at[order]
 
-    (ar, ac), (br, bc) = numbered(a_all, a_row), numbered(b_all, b_row)
-    order_a, order_b = np.argsort(ac, kind="stable"), np.argsort(bc, kind="stable")
-    ar, ac, br, bc = ar[order_a], ac[order_a], br[order_b], bc[order_b]
+    (ar, ac), (br, bc) = places(a_all, left), places(b_all, right)
     both = np.zeros((len(left), len(right)), np.float32)
-    for at in range(0, n_common, COLUMNS):
+    for at in range(0, len(shared), COLUMNS):
         a_lo, a_hi = np.searchsorted(ac, [at, at + COLUMNS])
         b_lo, b_hi = np.searchsorted(bc, [at, at + COLUMNS])
-        width = min(COLUMNS, n_common - at)
+        width = min(COLUMNS, len(shared) - at)
         x, y = np.zeros((len(left), width), np.float32), np.zeros((len(right), width), np.float32)
         x[ar[a_lo:a_hi], ac[a_lo:a_hi] - at] = 1
         y[br[b_lo:b_hi], bc[b_lo:b_hi] - at] = 1
         both += x @ y.T
-    union = a_size[:, None] + b_size[None, :] - both.astype(np.float64)
-    linked = (both > 0) & (both / union >= threshold - 1e-12)
-    if own:
-        np.fill_diagonal(linked, False)
-    return linked
+    return both[a, b].astype(np.int64)
 
 
-def _roots(linked: np.ndarray) -> np.ndarray:
-    """For each row of a symmetric link matrix the smallest row of its component."""
-    root = np.arange(len(linked))
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n rows the smallest row that the pairs connect it to."""
+    root = np.arange(n)
     while True:
-        best = np.where(linked, root[None, :], len(root)).min(axis=1, initial=len(root))
-        new = np.minimum(root, best)
+        new = root.copy()
+        least = np.minimum(root[a], root[b])
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
         new = new[new]
         if (new == root).all():
             return root
         root = new
 
 
-def _verify(threshold: float, names: list[str]):
-    def verify(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        reps, first, place = group.column("rep").to_pylist(), group.column("first").to_pylist(), {}
-        for k, (rep, side) in enumerate(zip(reps, first, strict=True)):
-            place.setdefault((not side, rep), k)  # a repeated row gives its set again: once is enough
-        order = sorted(place)
-        rows = [place[o] for o in order]
-        sets = [np.frombuffer(s, np.uint64) for s in (group.column("shingles")[k].as_py() for k in rows)]
-        copies = np.array([group.column("copies")[k].as_py() for k in rows], np.int64)
-        n_left = sum(not o[0] for o in order)
-        linked = np.zeros((len(rows), len(rows)), bool)
-        if 0 < n_left < len(rows):
-            linked[:n_left, n_left:] = links_between(sets[:n_left], sets[n_left:], threshold)
-            linked[n_left:, :n_left] = linked[:n_left, n_left:].T
-        elif len(rows) > 1 and group.column("single")[0].as_py():
-            linked = links_between(sets, None, threshold)
-        counts, roots = linked @ copies, _roots(linked)
-        own = [o[1] for o in order]
-        some = np.flatnonzero(linked.any(axis=1)).tolist()
-        # Within two sides the smallest row need not have the smallest number; any member will do as a root.
-        return pa.table([pa.array(x, pa.int64()) for x in ([own[k] for k in some], [int(counts[k]) for k in some], [own[int(roots[k])] for k in some])], names=names)
-
-    return verify
-
-
-def _classed(docs: DataFrame, *, null_keys: bool = False, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, width: int = WIDTH, trees: int = TREES, max_depth: int = MAX_DEPTH, recall: float = RECALL, block_shingles: int = BLOCK_SHINGLES) -> tuple[DataFrame, DataFrame]:
-    """``signatures`` of all rows, and per representative: m0, m1, n, rep (number), least (key) and hash of one of its texts, copies, links (or null), root (number), class_id.
+LINKS = "rep long, links long, near long, pairs long, unseen array<double>"
 
-    Rows with a null key are left out, or with ``null_keys`` are texts as any other, after all keys.
-    """
-    depth = prefix_depth(threshold, trees, max_depth, recall)
-    tree_names = [f"p{t}" for t in range(trees)]
-    rows = cut(signatures(docs, key, text, width, trees, depth))
-    sets_of = rows.where("n > 0" if null_keys else "n > 0 and _key is not null").groupBy("m0", "m1", "n").agg(
-        F.min("_key").alias("least"), F.coalesce(F.min_by("hash", "_key"), F.min("hash")).alias("hash"), F.count("*").alias("copies"), *[F.first(p).alias(p) for p in tree_names]
-    )
-    # Numbers are fixed by the cut, and follow the order: a class's smallest number has its smallest key.
-    reps = cut(sets_of.orderBy(F.asc_nulls_last("least"), "m0", "m1", "n").withColumn("rep", F.monotonically_increasing_id()))
-
-    under = reps.select("rep", F.explode(F.array(*tree_names)).alias("node"))
-    nodes = under.groupBy("node").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where("size > 1")
-    ties = under.join(nodes, "node").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    groups = cut(components(ties))
 
-    sized = groups.join(reps.select("rep", "m0", "m1", "n", "copies", "least", "hash"), groups["node"] == reps["rep"]).drop("node")
-    weight = sized.groupBy("root").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"))
-    members = sized.join(weight, "root").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int"))
+def _verify(threshold: float, trees: int, values: int, depth: int, deeper: int | None, depths: list[int]):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_units(batches):
+            members = Members(table, trees, depth, deeper)
+            n, column = table.num_rows, members.table.column("shingles")
+            sets: dict[int, np.ndarray] = {}
+            copies, reps = members.table.column("copies").to_numpy(), members.table.column("rep").to_numpy()
+            links, pairs, unseen = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, len(depths)))
+            linked = []
+            for a, b in members.pairs(threshold, least_shared(threshold, values)):
+                edges = [0, *(np.flatnonzero(np.diff(members.unit[a])) + 1).tolist(), len(a)]
+                for lo, hi in pairwise(edges):
+                    if lo == hi:
+                        continue
+                    rows = np.unique(np.concatenate([a[lo:hi], b[lo:hi]])).tolist()
+                    # Sets of units that are done are let go.
+                    sets = {k: sets[k] if k in sets else np.frombuffer(column[k].as_py(), np.uint64) for k in rows}
+                    both = common(sets, a[lo:hi], b[lo:hi])
+                    ratio = both / (members.size[a[lo:hi]] + members.size[b[lo:hi]] - both)
+                    yes = ratio >= threshold - 1e-12
+                    x, y = a[lo:hi][yes], b[lo:hi][yes]
+                    np.add.at(links, x, copies[y])
+                    np.add.at(links, y, copies[x])
+                    np.add.at(pairs, x, 1)
+                    for k, d in enumerate(depths):
+                        np.add.at(unseen[:, k], x, 1 / chance(ratio[yes], d, trees) - 1)
+                    linked.append((x, y))
+            if not linked:
+                continue
+            roots = _roots(n, *(np.concatenate(c) for c in zip(*linked, strict=True)))
+            some = np.flatnonzero(links > 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(reps[some]), pa.array(links[some]), pa.array(reps[roots[some]]), pa.array(pairs[some]), pa.array(unseen[some].tolist(), pa.list_(pa.float64()))], ["rep", "links", "near", "pairs", "unseen"]
+            )
+
+    return scan
+
+
+def measured_recall(pairs: int, unseen: float, threshold: float, depth: int, trees: int) -> float:
+    """Share of the links that are found, by the found ones and one that is assumed to have just the threshold."""
+    return (pairs + chance(threshold, depth, trees)) / (pairs + unseen + 1)
+
+
+def _by_unit(rows: DataFrame) -> DataFrame:
+    return rows.repartition("unit").sortWithinPartitions("unit", "half", "rep")
+
+
+def forest_links(reps: DataFrame, docs: DataFrame, key: str, text: str, width: int, threshold: float, trees: int, max_depth: int, recall: float, block_rows: int, block_shingles: int) -> DataFrame:
+    """Rows rep, links, near: in several rows, the number of links of each linked representative and others of its class."""
+    floor = prefix_depth(threshold, trees, max_depth, recall)
+    depths, found = list(range(max_depth, floor - 1, -1)), []
+    depth, deeper = max_depth, None
+    while True:
+        new = cut(_level(reps, docs, key, text, width, threshold, trees, max_depth, depth, deeper, depths, block_rows, block_shingles))
+        found.append(new)
+        sums = [r for r in (f.agg(F.sum("pairs").alias("pairs"), *[F.sum(F.col("unseen")[k]).alias(f"u{k}") for k in range(len(depths))]).first() for f in found)]
+        pairs = sum(r["pairs"] or 0 for r in sums)
+        reached = {d: measured_recall(pairs, sum(r[f"u{k}"] or 0.0 for r in sums), threshold, d, trees) >= 1 - MARGIN * (1 - recall) for k, d in enumerate(depths)}
+        if depth == floor or reached[depth]:
+            break
+        depth, deeper = next((d for d in depths if d < depth and reached[d]), floor), depth
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _level(reps: DataFrame, docs: DataFrame, key: str, text: str, width: int, threshold: float, trees: int, max_depth: int, depth: int, deeper: int | None, depths: list[int], block_rows: int, block_shingles: int) -> DataFrame:
+    """Links of the pairs that share a node of this depth, but of no greater depth that was visited."""
+
+    def node(t: int, d: int):
+        return F.xxhash64(F.lit(t), F.substring("sig", 2 * max_depth * t + 1, 2 * d))
+
+    under = reps.select("rep", "n", F.posexplode(F.array(*[F.struct(node(t, depth).alias("node"), (node(t, deeper) if deeper else F.lit(0).cast("long")).alias("child")) for t in range(trees)])).alias("tree", "x")).select("rep", "n", "tree", "x.*")
+    blocks = F.greatest(F.ceil(F.count("*") / block_rows), F.ceil(F.sum("n") / block_shingles)).cast("int")
+    sized = under.groupBy("node").agg(F.count("*").alias("size"), F.min("child").alias("c0"), F.max("child").alias("c1"), blocks.alias("blocks"))
+    # All pairs of a node with one child were met in that child.
+    nodes = sized.where("size > 1 and c0 <> c1" if deeper else "size > 1").select("node", "blocks")
+    # The second key keeps the join from reusing the aggregation's partitions, so adaptive execution may split a hot node.
+    live = under.select("rep", "tree", "node").withColumn("_k", F.xxhash64("node")).join(nodes.withColumn("_k", F.xxhash64("node")), ["node", "_k"])
+    places = live.groupBy("rep").agg(F.collect_list(F.struct("tree", "node", "blocks")).alias("places"))  # at most one for each tree
+    placed = places.join(reps.select("rep", "n", "sig"), "rep").select("rep", "n", "sig", F.explode("places").alias("p")).select("rep", "n", "sig", "p.*")
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int")
+    dealt = placed.withColumn("block", block).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    units = dealt.select(
+        F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other")).alias("unit"),
+        F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("half"), "tree", "rep", "n", "sig",
+    )
+    kept = "unit long, half int, tree int, rep long"
+    wanted = cut(_by_unit(units).mapInArrow(_wanted(threshold, trees, trees * max_depth, depth, deeper), kept))
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
+        seen, known, hashes = set(), WordHashes(), Hashes(trees, max_depth)
         for batch in batches:
-            sets, keep = [], []
-            for s, m0, m1, rep in zip(shingle_sets(batch.column(0), width), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            sets, paths, keep = [], [], []
+            for s, m0, m1, rep in zip(shingle_sets(batch.column(0), width, known), *(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
                 # A row may come several times, and a key with another text of equal hash: the marks tell which text is meant.
                 keep.append(rep not in seen and _signed(set_marks(s)).tolist() == [m0, m1])
                 sets.append(s.tobytes() if keep[-1] else None)
+                paths.append(hashes.signature(s).tobytes() if keep[-1] else None)
                 if keep[-1]:
                     seen.add(rep)
-            yield pa.RecordBatch.from_arrays([*batch.columns[3:], pa.array(sets, pa.binary())], ["rep", "root", "copies", "blocks", "block", "shingles"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[3:], pa.array(paths, pa.binary()), pa.array(sets, pa.binary())], ["rep", "n", "copies", "sig", "shingles"]).filter(pa.array(keep, pa.bool_()))
 
+    asked = few(reps.join(wanted.select("rep").distinct(), "rep", "left_semi").select("m0", "m1", "rep", "n", "copies", "least", "hash"))
     texts = _texts(docs, key, text)
-    met = texts.join(members.hint("shuffle_hash"), texts["_key"].eqNullSafe(members["least"]) & (texts["hash"] == members["hash"])).select("_text", "m0", "m1", "rep", "root", "copies", "blocks", "block")
-    sets = met.mapInArrow(with_sets, "rep long, root long, copies long, blocks int, block int, shingles binary")
-    dealt = sets.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "copies", (F.col("block") <= F.col("other")).alias("first"), (F.col("block") == F.col("other")).alias("single"), "shingles"
+    met = texts.join(asked, texts["_key"].eqNullSafe(asked["least"]) & (texts["hash"] == asked["hash"])).select("_text", "m0", "m1", "rep", "n", "copies")
+    # Rows of one key and text may lie in several tasks: one of them stays.
+    sets = met.mapInArrow(with_sets, "rep long, n int, copies long, sig binary, shingles binary").dropDuplicates(["rep"])
+    full = wanted.join(sets, "rep")
+    return _by_unit(full).mapInArrow(_verify(threshold, trees, trees * max_depth, depth, deeper, depths), LINKS)
+
+
+def _classed(docs: DataFrame, *, null_keys: bool = False, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, width: int = WIDTH, trees: int = TREES, max_depth: int = MAX_DEPTH, recall: float = RECALL, block_rows: int = BLOCK_ROWS, block_shingles: int = BLOCK_SHINGLES) -> tuple[DataFrame, DataFrame]:
+    """``signatures`` of all rows, and per representative: m0, m1, n, rep (number), least (key) and hash of one of its texts, copies, links (or null), root (number), class_id.
+
+    Rows with a null key are left out, or with ``null_keys`` are texts as any other, after all keys.
+    """
+    rows = cut(signatures(docs, key, text, width, trees, max_depth))
+    sets_of = rows.where("n > 0" if null_keys else "n > 0 and _key is not null").groupBy("m0", "m1", "n").agg(
+        F.min("_key").alias("least"), F.coalesce(F.min_by("hash", "_key"), F.min("hash")).alias("hash"), F.count("*").alias("copies"), F.first("sig").alias("sig")
     )
-    links = cut(dealt.groupBy("root", "i", "j").applyInArrow(_verify(threshold, ["rep", "links", "near"]), "rep long, links long, near long"))
+    # Numbers are fixed by the cut, and follow the order: a class's smallest number has its smallest key.
+    reps = cut(sets_of.orderBy(F.asc_nulls_last("least"), "m0", "m1", "n").withColumn("rep", F.monotonically_increasing_id()))
+    links = forest_links(reps, docs, key, text, width, threshold, trees, max_depth, recall, block_rows, block_shingles)
     united = components(links.select(F.col("rep").alias("a"), F.col("near").alias("b")))
     heads = united.join(reps.select(F.col("rep").alias("root"), F.col("least").alias("head")), "root").select(F.col("node").alias("rep"), "root", "head")
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    named = reps.drop(*tree_names).join(counted, "rep", "left").join(heads, "rep", "left")
+    named = reps.drop("sig").join(counted, "rep", "left").join(heads, "rep", "left")
     return rows, named.withColumn("class_id", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("head"))).withColumn("root", F.coalesce("root", "rep")).drop("head")
 
 

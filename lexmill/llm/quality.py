@@ -9,14 +9,16 @@ descent. A logistic curve, fitted on labelled rows that the weights have not see
 The model is fitted on a sample of about ``max_rows`` labelled rows, chosen by a hash of the document key. It is fitted in one
 task, which the sample bounds; what reaches the driver is the model: 8 MB. Scoring is a map over all rows without a shuffle.
 
-Null texts count as empty; an empty text has no feature and the score of margin 0. Labels other than 0 and 1 and null keys
-are left out of the fit. Repeated rows are each scored; in the fit a key's repeats count once for each label, by the least text of the key. With one class only, or none, all scores are that class's share
+Null texts count as empty; an empty text has no feature and the score of margin 0. Long texts are read in slices. Labels
+other than 0 and 1 and null keys are left out of the fit; a null key is not held out. Equal texts have equal scores, and a
+score of just the threshold is good. Extra columns may have any name. Repeated rows are each scored; in the fit a key's repeats count once for each label, by the least text of the key. With one class only, or none, all scores are that class's share
 (0.5 without labels). An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -24,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.wordbytes import IS_WORD, LOWER, SpanHasher, mix, text_chunks
+from lexmill.llm.wordbytes import IS_WORD, LOWER, SLICE, WordHashes, apart, mix, slices, text_chunks
 
 BITS = 20
 SIZE = 1 << BITS
 MAX_ROWS = 10_000
 THRESHOLD = 0.3
+# Tokens that a slice of a long text has from the one before it; n-grams have four at most.
+CARRIED = 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -44,13 +48,13 @@ def _kinds() -> np.ndarray:
 
 
 KIND = _kinds()
+# Bytes of tokens as they are, A-Z lower-cased; all others as a space. A new line, which is a token, becomes a byte that is in no token.
+NEW_LINE = 1
+TOKENS_ONLY = bytes(NEW_LINE if KIND[b] == 3 else int(LOWER[b]) if KIND[b] else 0x20 for b in range(256))
 
 
-def features_of(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """Sorted distinct feature places of each text."""
-    n_texts = len(offsets) - 1
-    if not len(data):
-        return [np.zeros(0, np.int32)] * n_texts
+def tokens_of(data: np.ndarray, offsets: np.ndarray, known: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Kind, hash and shape of each token, and for each text the index of its first token (one more at the end)."""
     kind = KIND[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[0] = edge[-1] = True
@@ -60,33 +64,42 @@ def features_of(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     starts, ends = bounds[:-1], bounds[1:]
     solid = kind[starts] > 0
     starts, ends = starts[solid], ends[solid]
-    first = np.searchsorted(starts, offsets)
-    low = LOWER[data]
-    hashes = SpanHasher(low)(starts, ends)
-    own = kind[starts]
-    upper = np.concatenate([[0], np.cumsum((data >= 0x41) & (data <= 0x5A))])
-    digit = np.concatenate([[0], np.cumsum((data >= 0x30) & (data <= 0x39))])
-    sizes, ups, digits = ends - starts, upper[ends] - upper[starts], digit[ends] - digit[starts]
+    own, sizes = kind[starts], ends - starts
+    hashes = known.of(apart(np.frombuffer(data.tobytes().translate(TOKENS_ONLY), np.uint8), starts, ends).split(b" ")[:-1])
+    upper = np.concatenate([[0], np.cumsum((data >= 0x41) & (data <= 0x5A), dtype=np.int32)])
+    digit = np.concatenate([[0], np.cumsum((data >= 0x30) & (data <= 0x39), dtype=np.int32)])
+    ups, digits = upper[ends] - upper[starts], digit[ends] - digit[starts]
     shape = np.where(ups == 0, 1, np.where(ups == sizes, 2, 3)) + 3 * (digits > 0) + 6 * np.minimum(sizes // 8, 2)
     shape = np.where(own == 1, shape, np.where(own == 3, 90, 0)).astype(np.uint64)
-    shape = np.where(own == 2, hashes, mix(shape))
+    return own, hashes, np.where(own == 2, hashes, mix(shape)), np.searchsorted(starts, offsets)
+
+
+def grams_of(own: np.ndarray, hashes: np.ndarray, shape: np.ndarray) -> list[np.ndarray]:
+    """Places of the n-grams that begin at each token: of one and two tokens, of three and four shapes."""
     words = np.flatnonzero(own == 1)
-    same = np.zeros(len(starts), np.uint64)
+    same = np.zeros(len(own), np.uint64)
     if len(words) > 1:
         same[words[1:]] = hashes[words[1:]] == hashes[words[:-1]]
     shape = mix(shape + same * np.uint64(977))
     nxt = lambda h, k: np.concatenate([h[k:], np.zeros(min(k, len(h)), np.uint64)])
-    one = hashes
     two = mix(hashes * _STEP + nxt(hashes, 1))
     three = mix((shape * _STEP + nxt(shape, 1)) * _STEP + nxt(shape, 2) + np.uint64(3))
     four = mix(((shape * _STEP + nxt(shape, 1)) * _STEP + nxt(shape, 2)) * _STEP + nxt(shape, 3) + np.uint64(4))
     shift = np.uint64(64 - BITS)
-    grams = [(g >> shift).astype(np.int32) for g in (one, two, three, four)]
-    out = []
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        n = b - a
-        out.append(np.concatenate([g[a : a + max(0, n - k)] for k, g in enumerate(grams)]) if n else np.zeros(0, np.int32))
-    return out
+    return [(g >> shift).astype(np.int32) for g in (hashes, two, three, four)]
+
+
+def _places(grams: list[np.ndarray], a: int, b: int) -> np.ndarray:
+    return np.concatenate([g[a : a + max(0, b - a - k)] for k, g in enumerate(grams)]) if b > a else np.zeros(0, np.int32)
+
+
+def features_of(data: np.ndarray, offsets: np.ndarray, known: WordHashes | None = None) -> list[np.ndarray]:
+    """The feature places of each text, with repeats."""
+    if not len(data):
+        return [np.zeros(0, np.int32)] * (len(offsets) - 1)
+    own, hashes, shape, first = tokens_of(data, offsets, WordHashes() if known is None else known)
+    grams = grams_of(own, hashes, shape)
+    return [_places(grams, a, b) for a, b in pairwise(first.tolist())]
 
 
 class Distinct:
@@ -101,6 +114,30 @@ class Distinct:
         return values[self.mark[values] == order]
 
 
+class Features:
+    """The distinct feature places of texts, for one task."""
+
+    def __init__(self) -> None:
+        self.known, self.distinct = WordHashes(), Distinct()
+
+    def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
+        for _, _, data, offsets in text_chunks(column):
+            if len(data) > SLICE:
+                yield self.long(data)
+            else:
+                yield from map(self.distinct, features_of(data, offsets, self.known))
+
+    def long(self, data: np.ndarray) -> np.ndarray:
+        """Those of one long text, in slices; a slice starts with the last tokens of the one before it."""
+        seen, held = np.zeros(SIZE, bool), None
+        for raw in slices(data, KIND):
+            part = np.frombuffer(raw, np.uint8)
+            now = tokens_of(part, np.array([0, len(part)]), self.known)[:3]
+            held = now if held is None else tuple(np.concatenate([h[-CARRIED:], n]) for h, n in zip(held, now, strict=True))
+            seen[_places(grams_of(*held), 0, len(held[0]))] = True
+        return np.flatnonzero(seen).astype(np.int32)
+
+
 def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], signs: np.ndarray, costs: np.ndarray, *, epochs: int = 12, tolerance: float = 1e-3, seed: int = 7) -> np.ndarray:
     """Weights that minimise |w|^2 / 2 + sum of cost * hinge loss. A row: places and values; its dual variable stays in [0, cost]."""
     weights, alpha = np.zeros(SIZE), np.zeros(len(rows))
@@ -173,22 +210,22 @@ def fit_rows(rows: list[np.ndarray], positive: np.ndarray, calibrate: np.ndarray
 
 def margin(row: np.ndarray, ratio: np.ndarray, scaled: np.ndarray) -> float:
     """Weights times the unit-length row of scaled indicators."""
-    r = ratio[row]
+    r = ratio[row].astype(np.float64)
     norm = float(np.sqrt(r @ r))
-    return float(scaled[row].sum() / norm) if norm else 0.0
+    return float(scaled[row].sum(dtype=np.float64) / norm) if norm else 0.0
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(label, calibrate, text) to (label, calibrate, places)."""
-    distinct = Distinct()
+    features = Features()
     for batch in batches:
-        places = [distinct(f) for _, _, data, offsets in text_chunks(batch.column(2)) for f in features_of(data, offsets)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([p.tobytes() for p in places], pa.binary())], ["label", "calibrate", "places"])
+        places = [p.tobytes() for p in features(batch.column(2))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(places, pa.binary())], ["label", "calibrate", "places"])
 
 
 def held_out(key: Column) -> Column:
-    """Rows that the fit never sees: CRC-32 of the key's text divisible by 5."""
-    return F.crc32(key.cast("string")) % 5 == 0
+    """Rows that the fit never sees: CRC-32 of the key's text divisible by 5. A null key is none of them (nor in the fit)."""
+    return F.coalesce(F.crc32(key.cast("string")) % 5 == 0, F.lit(False))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS) -> tuple[bytes, float, float]:
@@ -219,43 +256,35 @@ def scorer(model) -> object:
     """Function from a text column to scores, for one task; ``model``: the broadcast of what ``fit`` returns."""
     weights, slope, intercept = model.value
     ratio, scaled = np.frombuffer(weights, np.float32).reshape(2, SIZE)
-    squares = np.ascontiguousarray(ratio * ratio)
-    distinct = Distinct()
+    features = Features()
 
     def score(column: pa.Array) -> np.ndarray:
-        margins = []
-        for _, _, data, offsets in text_chunks(column):
-            for f in features_of(data, offsets):
-                f = distinct(f)
-                norm = float(np.sqrt(squares[f].sum(dtype=np.float64)))
-                margins.append(float(scaled[f].sum(dtype=np.float64)) / norm if norm else 0.0)
+        margins = [margin(f, ratio, scaled) for f in features(column)]
         return 1 / (1 + np.exp(-np.clip(slope * np.array(margins, np.float64) + intercept, -700, 700)))
 
     return score
 
 
-def score(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Per row: key, held_out, score, predicted (1 if score >= threshold)."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, key=key, text=text, label=label, max_rows=max_rows))
-    kind = docs.schema[key].dataType.simpleString()
+def _score_column(model):
+    """A column function from texts to scores; batches cross as Arrow arrays, and only the texts do."""
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = scorer(model)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own(batch.column(1)), pa.float64())], ["_key", "score"])
+        for texts in batches:
+            yield pa.array(own(texts), pa.float64())
 
-    scored = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text")).mapInArrow(scan, f"_key {kind}, score double")
-    return scored.select(F.col("_key").alias(key), held_out(F.col("_key")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scores
 
 
-def good_documents(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:
-    """The documents that score ``threshold`` or more, in their own columns."""
+def score(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Per row: key, held_out, score, predicted (1 if score >= threshold)."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, key=key, text=text, label=label, max_rows=max_rows))
-    place = docs.columns.index(text)
+    scored = docs.select(F.col(key).alias("_key"), _score_column(model)(F.col(text).cast("string")).alias("score"))
+    return scored.select(F.col("_key").alias(key), held_out(F.col("_key")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = scorer(model)
-        for batch in batches:
-            yield batch.filter(pa.array(own(batch.column(place)) >= threshold, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+def good_documents(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:
+    """The documents that score ``threshold`` or more, in their own columns. Only texts go to Python, and only scores come back."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, key=key, text=text, label=label, max_rows=max_rows))
+    return docs.where(_score_column(model)(F.col(text).cast("string")) >= threshold)

@@ -12,7 +12,8 @@ the longest prefix within a budget) are answered from the stored counts without
 solved as NumPy arrays over many texts at once; each distinct piece is solved once and kept in a bounded table.
 
 Nulls count as empty texts, which have no tokens. A special token's string inside a text is one token, as the
-tokenizers library handles it by default. Repeated rows are each counted; an empty table gives an empty result.
+tokenizers library handles it by default. Long texts are counted in slices that begin where a piece must. Repeated rows are
+each counted, and a count of just the limit is not over it; extra columns may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.wordbytes import SpanHasher, span_hashes, text_chunks
+from lexmill.llm.wordbytes import mix, text_chunks
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 # The characters with Unicode's White_Space property.
@@ -36,11 +38,36 @@ WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0              
 # The endings that stay with an apostrophe as one piece.
 ONE_LETTER_ENDINGS, TWO_LETTER_ENDINGS = "stmd", ("re", "ve", "ll")
 LONGEST_VECTOR_PIECE = 32
-KEPT_PIECES = 1_000_000
+LONGEST_KEPT_PIECE = 256
+KEPT_PIECES = 300_000
+PIECES_AT_ONCE, SOLVED_AT_ONCE = 1 << 18, 1 << 15
 NEVER = 1 << 40
 GROUP_BYTES = 8 << 20
 
 
+PLAIN = np.zeros(256, bool)
+PLAIN[[*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]] = True
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+class SpanHasher:
+    """64-bit hashes of short non-empty spans of one byte array; equal bytes have equal hashes.
+
+    For spans of at most LONGEST_VECTOR_PIECE bytes, of an array of some megabytes: its tables take 24 bytes a byte, and sums
+    of powers of an odd number modulo 2^64 are only known to clash for spans of 1,024 bytes and more.
+    """
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _BASE)]), dtype=np.uint64)
+        self.inverses = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(pow(int(_BASE), -1, 1 << 64)))]), dtype=np.uint64)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:n], out=self.sums[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))
+
+
 @lru_cache(1)
 def character_classes() -> np.ndarray:
     kinds = {"L": LETTER, "N": NUMBER}
@@ -94,16 +121,18 @@ class PrefixCounter:
         self.tokens = sorted({raw(s) for s in spec["model"]["vocab"] if all(c in back for c in s) and s not in self.specials})
         self.ids = {t: k for k, t in enumerate(self.tokens)}
         self.longest = max(map(len, self.tokens))
-        ends = np.cumsum([len(t) for t in self.tokens])
-        hashes = span_hashes(np.frombuffer(b"".join(self.tokens), np.uint8), ends - [len(t) for t in self.tokens], ends)
+        # Tokens that are longer than a piece of the vector path are only looked up by their bytes.
+        short = [k for k, t in enumerate(self.tokens) if len(t) <= LONGEST_VECTOR_PIECE]
+        ends = np.cumsum([len(self.tokens[k]) for k in short])
+        hashes = SpanHasher(np.frombuffer(b"".join(self.tokens[k] for k in short), np.uint8))(ends - [len(self.tokens[k]) for k in short], ends)
         order = np.argsort(hashes)
-        self._token_hashes, self._token_ids = hashes[order], order.astype(np.int32)
+        self._token_hashes, self._token_ids = hashes[order], np.array(short, np.int32)[order]
         self._maybe = np.zeros(1 << 22, bool)
         self._maybe[hashes >> np.uint64(42)] = True
         self.made_of = {a + b: (a, b) for (a, b) in reversed(self.ranks)}
         self._spines: tuple[dict, dict] = {}, {}
         self._pair_keys, self._pair_fits = np.zeros(0, np.int64), np.zeros(0, bool)
-        self._kept: dict[int, int] = {}
+        self._kept: dict[bytes, int] = {}
 
     def encode(self, word: bytes) -> list[bytes]:
         """Plain BPE of one piece: merge the pair of lowest rank until none is left."""
@@ -177,7 +206,7 @@ class PrefixCounter:
         """The recurrence for many short pieces at once: a row of prefix counts for each."""
         order = np.argsort(starts - ends, kind="stable")  # longest first: those that reach position i are a front part
         begin, size = starts[order], (ends - starts)[order]
-        most = int(size[0]) if len(size) else 0
+        most = int(size[0]) if len(size) else 0  # LONGEST_VECTOR_PIECE at most
         counts, last = np.zeros((len(begin), most + 1), np.uint8), np.full((len(begin), most + 1), -1, np.int32)
         for i in range(1, most + 1):
             live = int(np.searchsorted(-size, -i, "right"))
@@ -203,25 +232,26 @@ class PrefixCounter:
         out[order] = counts
         return out
 
-    def piece_totals(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Token count of each piece; each distinct piece is solved once."""
-        hasher = SpanHasher(data)
-        hashes = hasher(starts, ends)
-        distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
+    def piece_totals(self, pieces: list[bytes]) -> np.ndarray:
+        """Token count of each piece; each distinct piece is solved once, and known by its bytes."""
         kept = self._kept
-        totals = np.fromiter((kept.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
-        new = np.flatnonzero(totals < 0)
-        if len(new):
-            s, e = starts[where[new]], ends[where[new]]
-            short = e - s <= LONGEST_VECTOR_PIECE
-            totals[new[~short]] = [self.piece_prefixes(data[a:b].tobytes())[-1] for a, b in zip(s[~short].tolist(), e[~short].tolist(), strict=True)]
-            if short.any():
-                table = self.pieces_prefixes(hasher, s[short], e[short])
-                totals[new[short]] = table[np.arange(len(table)), (e - s)[short]]
-            if len(kept) + len(new) > KEPT_PIECES:
-                kept.clear()
-            kept.update(zip(distinct[new].tolist(), totals[new].tolist(), strict=True))
-        return totals[back]
+        new = [p for p in set(pieces) if p not in kept]
+        if len(kept) + len(new) > KEPT_PIECES:
+            kept.clear()
+            new = list(set(pieces))
+        # A very long piece is not kept: its total is worked out where it stands.
+        totals = {p: int(self.piece_prefixes(p)[-1]) for p in new if len(p) > LONGEST_VECTOR_PIECE}
+        kept.update((p, n) for p, n in totals.items() if len(p) <= LONGEST_KEPT_PIECE)
+        short = [p for p in new if len(p) <= LONGEST_VECTOR_PIECE]
+        for at in range(0, len(short), SOLVED_AT_ONCE):
+            part = short[at : at + SOLVED_AT_ONCE]
+            sizes = np.array([len(p) for p in part])
+            ends = np.cumsum(sizes)
+            table = self.pieces_prefixes(SpanHasher(np.frombuffer(b"".join(part), np.uint8)), ends - sizes, ends)
+            kept.update(zip(part, table[np.arange(len(part)), sizes].tolist(), strict=True))
+        if len(totals) > 0:
+            return np.fromiter((kept[p] if p in kept else totals[p] for p in pieces), np.int64, len(pieces))
+        return np.fromiter(map(kept.__getitem__, pieces), np.int64, len(pieces))
 
     def _split(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Byte position of each piece's start, and for each text the index of its first piece (one more at the end)."""
@@ -232,13 +262,22 @@ class PrefixCounter:
         starts = leads[piece_starts(chars, text_starts[leads])]
         return starts, np.searchsorted(starts, offsets)
 
-    def counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Tokens of each text, special strings aside."""
+    def counts(self, data: np.ndarray, offsets: np.ndarray, most: int = GROUP_BYTES) -> np.ndarray:
+        """Tokens of each text, special strings aside. Texts beyond ``most`` bytes are counted in slices."""
+        if len(data) <= most:
+            return self._counts(data, offsets)
+        return np.array([sum(int(self._counts(part, np.array([0, len(part)]))[0]) for part in _slices(data[a:b], most)) for a, b in pairwise(offsets.tolist())], np.int64)
+
+    def _counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if not len(data):
             return np.zeros(len(offsets) - 1, np.int64)
         starts, first = self._split(data, offsets)
+        raw, bounds = data.tobytes(), np.append(starts, len(data)).tolist()
         sums = np.zeros(len(starts) + 1, np.int64)
-        np.cumsum(self.piece_totals(data, starts, np.append(starts[1:], len(data))), out=sums[1:])
+        for at in range(0, len(starts), PIECES_AT_ONCE):
+            own = bounds[at : at + PIECES_AT_ONCE + 1]
+            sums[at + 1 : at + len(own)] = self.piece_totals([raw[a:b] for a, b in pairwise(own)])
+        np.cumsum(sums, out=sums)
         return sums[first[1:]] - sums[first[:-1]]
 
     def text_counts(self, texts: list[str]) -> list[int]:
@@ -299,6 +338,23 @@ class PrefixCounter:
         return out
 
 
+def _slices(data: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """A text in slices that begin with a space between two ASCII letters or digits, where a piece always begins."""
+    at = 0
+    while at < len(data):
+        to, end = at + size, len(data)
+        while to < len(data) - 1:
+            part = data[to - 1 : to + size + 1]
+            solid = PLAIN[part]
+            found = np.flatnonzero((part[1:-1] == 0x20) & solid[:-2] & solid[2:])
+            if len(found):
+                end = to + int(found[0])
+                break
+            to += size
+        yield data[at:end]
+        at = end
+
+
 def _byte_letters() -> list[str]:
     """The printable character that stands for each byte in a byte-level vocabulary: itself, or else the next from U+0100 on."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}

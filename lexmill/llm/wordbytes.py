@@ -7,6 +7,7 @@ byte of a multi-byte character is 0x80 or more, words can be found on bytes with
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +18,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers = np.ones(1, np.uint64)
-_inverses = np.ones(1, np.uint64)
+# Every byte that is in no word as a space, A-Z lower-cased.
+WORDS_ONLY = bytes(int(LOWER[b]) if IS_WORD[b] else 0x20 for b in range(256))
+KEPT_WORDS, LONGEST_KEPT = 100_000, 64
+SLICE = 1 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -29,29 +31,19 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers, _inverses
-    if len(_powers) < n:
-        size = max(n, 1 << 19)
-        _powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, _BASE)]), dtype=np.uint64)
-        _inverses = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, _INVERSE)]), dtype=np.uint64)
-    return _powers, _inverses
+class WordHashes(dict):
+    """64-bit BLAKE2b hashes of words. Frequent words are worked out once; the table is bounded in words and in bytes."""
 
+    def __missing__(self, word: bytes) -> int:
+        value = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= LONGEST_KEPT:
+            if len(self) >= KEPT_WORDS:
+                self.clear()
+            self[word] = value
+        return value
 
-class SpanHasher:
-    """64-bit hashes of non-empty spans of one byte array; equal bytes have equal hashes."""
-
-    def __init__(self, data: np.ndarray):
-        powers, self.inverses = _power_tables(len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=self.sums[1:])
-
-    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))
-
-
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return SpanHasher(data)(starts, ends)
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def text_chunks(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -88,6 +80,45 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return low, starts, ends, np.searchsorted(starts, offsets)
 
 
+def text_words(column: pa.Array, known: WordHashes) -> Iterator[np.ndarray]:
+    """The hashes of each text's words, in order. Long texts are read in slices that end between words."""
+    for _, _, data, offsets in text_chunks(column):
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            if b - a <= SLICE:
+                yield known.of(data[a:b].tobytes().translate(WORDS_ONLY).split())
+            else:
+                yield np.concatenate([known.of(s.translate(WORDS_ONLY).split()) for s in slices(data[a:b])])
+
+
+def slices(data: np.ndarray, kinds: np.ndarray = IS_WORD, size: int = SLICE) -> Iterator[bytes]:
+    """A text's bytes in pieces of about ``size`` that end at a byte of kind 0 (in no word); a longer word stays whole."""
+    at = 0
+    while at < len(data):
+        to = at + size
+        while to < len(data):
+            gap = np.flatnonzero(kinds[data[to : to + size]] == 0)
+            if len(gap):
+                to += int(gap[0])
+                break
+            to += size
+        yield data[at:to].tobytes()
+        at = to
+
+
+def apart(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """The bytes of the given spans, one space after each, which keeps them apart even where two texts meet."""
+    lengths = ends - starts
+    to = np.concatenate([[0], np.cumsum(lengths + 1)])
+    out = np.full(int(to[-1]), 0x20, np.uint8)
+    if len(starts):
+        edges = np.zeros(len(low) + 1, np.int8)
+        edges[starts] += 1
+        np.subtract.at(edges, ends, 1)
+        source = np.flatnonzero(np.cumsum(edges[:-1], dtype=np.int8))
+        out[source + np.repeat(to[:-1] - starts, lengths)] = low[source]
+    return out.tobytes()
+
+
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """Hashes of all windows of ``width`` consecutive word hashes (none if there are fewer)."""
     n = len(words) - width + 1

@@ -1,3 +1,6 @@
+import tracemalloc
+
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -56,3 +59,37 @@ def test_tokens_that_merge_do_not_fit(pair):
 def test_store_keeps_keys(docs_of):
     stored = tc.store_prefix_counts(docs_of(["ab", "ab"]), PATH)
     assert stored.select(F.size("prefix_tokens")).distinct().collect()[0][0] == 3
+
+
+def thue_morse(n):
+    return bytes(0x61 + bin(k).count("1") % 2 for k in range(n)).decode()
+
+
+def test_words_whose_sums_of_powers_are_equal_are_told_apart(docs_of):
+    """Polynomial hashes modulo 2^64 give both words of each pair one value."""
+    texts = [t for n in (1024, 2048, 4096) for t in (thue_morse(n), thue_morse(n).translate({0x61: 0x62, 0x62: 0x61}))]
+    assert tc.counter(PATH).text_counts(texts) == [count(t) for t in texts]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from([" ", "  ", "\n", "'s", "the", " abc", "中 a", "é", "1 2", "a b", "!? x"]), max_size=60).map("".join), st.integers(2, 40))
+def test_slices_do_not_change_counts(text, size):
+    data = np.frombuffer(text.encode(), np.uint8)
+    assert tc.counter(PATH).counts(data, np.array([0, len(data)]), size).tolist() == [count(text)]
+
+
+def test_a_very_long_text_is_counted_within_bounds(docs_of):
+    text = "Some words, a few numbers 12 and one more line.\n" * 400_000
+    tracemalloc.start()
+    try:
+        got = tc.counter(PATH).counts(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got.tolist() == [400_000 * count("Some words, a few numbers 12 and one more line.\n")]
+    assert peak < 300 << 20
+
+
+def test_repeated_and_null_keys(docs_of):
+    docs = docs_of(["one two", "one two", "three"]).withColumn("doc_id", F.when(F.col("doc_id") < 2, F.lit(None)).otherwise(9).cast("long"))
+    assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in tc.count_tokens(docs, PATH).collect()) == [("9", count("three"))] + [("None", count("one two"))] * 2
