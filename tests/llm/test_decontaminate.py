@@ -1,5 +1,6 @@
 import hashlib
 import re
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,3 +71,40 @@ def test_items_without_an_id_are_hit(spark, docs_of, max_bytes):
     got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in d.report(docs, items, max_broadcast_bytes=max_bytes).collect()}
     assert got == {0: (3, 0, True), 1: (0, 0, False), 2: (6, 1, True)}
     assert [r["doc_id"] for r in d.clean_documents(docs, items, max_broadcast_bytes=max_bytes).collect()] == [1]
+
+
+def test_long_documents_and_items_are_read_in_slices(spark, docs_of):
+    """A window across the edge of a slice or of an item's piece is found as any other."""
+    item = " ".join(f"i{k}" for k in range(d.PIECE_WORDS + 40))
+    hit = " ".join(f"i{k}" for k in range(d.PIECE_WORDS - 5, d.PIECE_WORDS + 5))
+    fill = "x" * (d.SLICE - 40)
+    texts = [fill + " " + hit + " end", "y " * (d.SLICE // 2 - 10) + hit + " z " * 700_000 + hit, hit]
+    got = {r["doc_id"]: r for r in d.hit_spans(docs_of(texts), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    for k, t in enumerate(texts):
+        assert got[k]["n_words"] == len(t.split()) and got[k]["items"] == ["1"]
+        assert [t.encode()[s["from_byte"] : s["to_byte"]].decode() for s in got[k]["spans"]] == [hit] * t.count(hit)
+        assert [t.split()[s["from_word"] : s["to_word"]] for s in got[k]["spans"]] == [hit.split()] * t.count(hit)
+
+
+def test_a_set_is_bounded_by_what_is_built():
+    words = [f"word{k}" for k in range(60_000)]
+    text = " ".join(words[(k * 7919) % len(words)] for k in range(400_000))
+    tracemalloc.start()
+    held = d.WindowSet([(str(k), text[k * 30_000 : (k + 1) * 30_000]) for k in range(len(text) // 30_000)], d.WIDTH)
+    size = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert size < (d.BUILT + 2) * len(text) and len(held.hashes[d.WIDTH]) > 300_000
+
+
+def test_a_window_of_many_items_takes_one_place_for_each(spark, docs_of):
+    items = spark.createDataFrame([(k, "the very same ten words stand in all of these items") for k in range(3000)], "item_id long, text string")
+    got = d.report(docs_of(["the very same ten words stand in all of these items"] * 3), items).collect()
+    assert {r["n_items"] for r in got} == {3000} and {r["n_hit"] for r in got} == {11}
+
+
+def test_extra_columns_and_blocks_keep_documents_apart(docs_of, bench):
+    docs = docs_of(TEXTS).unionByName(docs_of(TEXTS))
+    one, many = (sorted(map(str, d.hit_spans(docs, bench, max_broadcast_bytes=b).collect())) for b in (d.MAX_BROADCAST_BYTES, 40))
+    assert one == many and len(one) == 2 * len(TEXTS)
+    kept = [sorted(map(str, d.clean_documents(docs, bench, max_broadcast_bytes=b).collect())) for b in (d.MAX_BROADCAST_BYTES, 40)]
+    assert kept[0] == kept[1]
