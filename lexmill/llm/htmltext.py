@@ -1,21 +1,27 @@
 """HTML extraction: parser events, text-to-tag ratios by line, Gaussian smoothing and threshold clustering.
 
 The standard library's streaming parser gives events; block elements cut the page into lines, each with its text, the
-number of tags on it and its chain of open elements. Lines inside menus, headers, footers, sidebars, notices, adverts,
-forms, comments and the like are noise by their elements. Of the others, the ratio of characters to tags is smoothed
-with a Gaussian kernel and split in two clusters by a threshold (the deviation of the smoothed ratios); the lines above
-it are the seeds of the content. The content region is the innermost element that holds nearly all text of the seeds, or
-the articles in it if there are some; all lines of the region that are not noise are the text, so that short paragraphs
-of an article stay.
-
-Null, empty and tagless pages: no text, or the whole page as one line. Damaged markup is read as browsers do, as far as
-the parser can; a reference cut off at the end of a page stays as it is. Repeated rows are each extracted.
+number of tags on it, the letters of it that are links, and its element. The ratio of characters to tags is smoothed over
+all lines of the page with a Gaussian kernel and split in two clusters by a threshold (the deviation of the smoothed
+ratios). Lines inside menus, headers, footers, sidebars, notices, adverts, forms, comments and the like are noise by their
+elements; the lines of the upper cluster that are not are the seeds of the content, and without seeds there is none.
+
+The content region is the innermost element that holds nearly all text of the seeds. In an article it is that article, and
+around articles it is those with seeds: all lines that are not noise are the text, so that short paragraphs of an article
+stay. On pages without articles it runs from the first seed to the last and on in both directions, as long as lines are
+more text than links.
+
+Null and empty pages have no text; a page without tags is one line. Damaged markup is read as browsers do, as far as the
+parser can; a reference cut off at the end of a page stays as it is. Work and memory are linear in a page's length and
+depth. Ties in a ratio do not matter, as all lines at the threshold are seeds. Repeated rows are each extracted, extra
+columns may have any name, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -41,19 +47,23 @@ _WORD = re.compile(r"[a-z]+")
 
 
 @dataclass
-class Element:
+class Open:
+    """An open element."""
+
     tag: str
     number: int
-    noise: bool
-    silent: bool
+    noise: bool = False
+    silent: bool = False
+    inside: bool = False  # an article or the main part
 
 
 @dataclass
 class Line:
     parts: list[str] = field(default_factory=list)
-    chain: tuple[int, ...] = ()
+    element: int = 0
     noise: bool = False
     tags: int = 0
+    linked: int = 0
     text: str = ""
 
 
@@ -74,33 +84,45 @@ def _is_noise(tag: str, attrs: list, inside_article: bool) -> bool:
 
 
 class PageReader(HTMLParser):
-    """Cuts the event stream into lines."""
+    """Cuts the event stream into lines. Elements are numbered as they open, so those inside one have the numbers up to its last."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[Element] = [Element("", 0, False, False)]
-        self.tags_of: list[str] = [""]
+        self.tags, self.parents, self.last = [""], [0], [0]
+        self.open = [Open("", 0)]
+        self.places: dict[str, list[int]] = {}  # of each tag, its places in ``open``
+        self.blocks: list[int] = []  # places of block elements
         self.lines: list[Line] = []
-        self.line = Line(chain=(0,))
+        self.line = Line()
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![`` begins a comment up to the next ``>``, whatever follows."""
+        return self.parse_bogus_comment(i)
+
+    def parse_html_declaration(self, i: int) -> int:
+        """One that does not end takes the rest of the page, which is fed as a whole."""
+        to = super().parse_html_declaration(i)
+        return to if to >= 0 else len(self.rawdata)
 
     def _end_line(self) -> None:
         if self.line.parts:
             self.line.text = " ".join("".join(self.line.parts).split())
             if self.line.text:
                 self.lines.append(self.line)
-        top = self.open[-1]
-        self.line = Line(chain=tuple(e.number for e in self.open), noise=top.noise)
+        self.line = Line(element=self.open[-1].number, noise=self.open[-1].noise)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.line.tags += 1
-        if tag == "p" or tag in ENDS_PARAGRAPH:
-            self._close_implied(("p",), BLOCKS - {"p"})
+        if (tag == "p" or tag in ENDS_PARAGRAPH) and self.blocks and self.open[self.blocks[-1]].tag == "p":
+            self._pop_to(self.blocks[-1])
         if tag == "li":
-            self._close_implied(("li",), {"ul", "ol", "menu"})
+            self._close_implied(("li",), ("ul", "ol", "menu"))
         elif tag in ("dt", "dd"):
-            self._close_implied(("dt", "dd"), {"dl"})
-        elif tag in ("td", "th", "tr"):
-            self._close_implied(("td", "th", "tr") if tag == "tr" else ("td", "th"), {"table"})
+            self._close_implied(("dt", "dd"), ("dl",))
+        elif tag in ("td", "th"):
+            self._close_implied(("td", "th"), ("table",))
+        elif tag == "tr":
+            self._close_implied(("td", "th", "tr"), ("table",), outermost=True)
         if tag == "br":
             self.line.parts.append(" ")
         if tag in VOID:
@@ -108,9 +130,14 @@ class PageReader(HTMLParser):
                 self._end_line()
             return
         top = self.open[-1]
-        inside = any(e.tag in ("article", "main") for e in self.open)
-        self.open.append(Element(tag, len(self.tags_of), top.noise or _is_noise(tag, attrs, inside), top.silent or tag in SILENT))
-        self.tags_of.append(tag)
+        inside = top.inside or top.tag in ("article", "main")
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.open))
+        self.open.append(Open(tag, len(self.tags), top.noise or _is_noise(tag, attrs, inside), top.silent or tag in SILENT, inside))
+        self.tags.append(tag)
+        self.parents.append(top.number)
+        self.last.append(0)
         if tag in BLOCKS or self.open[-1].noise != top.noise:
             self._end_line()
 
@@ -121,37 +148,41 @@ class PageReader(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.line.tags += 1
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag == tag:
-                self._pop_to(k)
-                return
-            if self.open[k].tag in BLOCKS and tag not in BLOCKS:
-                return
-        if tag in BLOCKS:
+        places = self.places.get(tag)
+        if places and (tag in BLOCKS or not self.blocks or places[-1] > self.blocks[-1]):
+            self._pop_to(places[-1])
+        elif tag in BLOCKS:
             self._end_line()
 
-    def _close_implied(self, tags: tuple[str, ...], scope) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag in tags:
-                self._pop_to(k)
-                if tags != ("td", "th", "tr"):
-                    return
-            elif self.open[k].tag in scope:
-                return
+    def _close_implied(self, tags: tuple[str, ...], scope: tuple[str, ...], outermost: bool = False) -> None:
+        """Close the innermost element of ``tags`` (or all of them) inside the innermost one of ``scope``."""
+        floor = max((self.places[s][-1] for s in scope if self.places.get(s)), default=0)
+        inner = [p for t in tags if (p := self.places.get(t)) and p[-1] > floor]
+        if inner:
+            self._pop_to(min(p[bisect_right(p, floor)] for p in inner) if outermost else max(p[-1] for p in inner))
 
     def _pop_to(self, k: int) -> None:
         gone = self.open[k:]
         del self.open[k:]
+        for e in reversed(gone):
+            self.places[e.tag].pop()
+            self.last[e.number] = len(self.tags) - 1
+            if e.tag in BLOCKS:
+                self.blocks.pop()
         if any(e.tag in BLOCKS for e in gone) or any(e.noise for e in gone) != self.open[-1].noise:
             self._end_line()
 
     def handle_data(self, data: str) -> None:
         if not self.open[-1].silent:
             self.line.parts.append(data)
+            if self.places.get("a"):
+                self.line.linked += len(data)
 
     def close(self) -> None:
         super().close()
         self._end_line()
+        for e in self.open:
+            self.last[e.number] = len(self.tags) - 1
 
 
 def smoothed(values: list[float], sigma: float = 1.0) -> list[float]:
@@ -167,14 +198,64 @@ def smoothed(values: list[float], sigma: float = 1.0) -> list[float]:
 
 
 def seeds_of(lines: list[Line], sigma: float = 1.0) -> list[int]:
-    """Lines whose smoothed ratio reaches the deviation of all smoothed ratios; never none of some."""
+    """The lines that are not noise and whose smoothed ratio reaches the deviation of all smoothed ratios; never none of some."""
     ratios = smoothed([len(x.text) / max(1, x.tags) for x in lines], sigma)
+    clean = [i for i, x in enumerate(lines) if not x.noise]
+    if not clean:
+        return []
     mean = sum(ratios) / len(ratios)
-    threshold = min(math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios)), max(ratios))
-    return [i for i, r in enumerate(ratios) if r >= threshold]
+    threshold = min(math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios)), max(ratios[i] for i in clean))
+    return [i for i in clean if ratios[i] >= threshold]
 
 
 REGION_SHARE = 0.9
+LINKED_SHARE = 0.5
+# Elements too small to be a region.
+PARTS = frozenset("p li dt dd h1 h2 h3 h4 h5 h6 td th tr b i a span em strong".split())
+
+
+def region_of(reader: PageReader, seeds: list[int]) -> tuple[int, list[int]]:
+    """The innermost element that holds nearly all text of the seeds, and the length of the seeds' text in each element."""
+    weight = [0] * len(reader.tags)
+    for i in seeds:
+        weight[reader.lines[i].element] += len(reader.lines[i].text)
+    total = sum(weight)
+    for e in range(len(weight) - 1, 0, -1):
+        weight[reader.parents[e]] += weight[e]
+    return max(e for e, w in enumerate(weight) if e == 0 or w >= REGION_SHARE * total and reader.tags[e] not in PARTS), weight
+
+
+def content_lines(reader: PageReader, seeds: list[int]) -> list[Line]:
+    """The lines of the content around the seeds."""
+    if not seeds:
+        return []
+    region, weight = region_of(reader, seeds)
+    holder, e = None, region
+    while e:
+        holder = e if reader.tags[e] == "article" else holder
+        e = reader.parents[e]
+    if holder is not None:
+        articles = [holder]
+    else:
+        articles = [e for e in range(region, reader.last[region] + 1) if reader.tags[e] in ("article", "main")]
+        articles = [e for e in articles if weight[e]] or articles
+    if articles:
+        ends, kept = 0, []
+        for e in articles:  # in page order: one that begins before the last one's end is inside it
+            if reader.last[e] > ends:
+                ends = reader.last[e]
+                kept.append((e, ends))
+        return [x for x in reader.lines if not x.noise and (k := bisect_right(kept, (x.element, len(reader.tags)))) and x.element <= kept[k - 1][1]]
+    inside = [i for i, x in enumerate(reader.lines) if not x.noise and region <= x.element <= reader.last[region]]
+    own = set(seeds)
+    first = next(k for k, i in enumerate(inside) if i in own)
+    last = next(k for k in range(len(inside) - 1, -1, -1) if inside[k] in own)
+    text = lambda k: reader.lines[inside[k]].linked < LINKED_SHARE * len(reader.lines[inside[k]].text)
+    while first > 0 and text(first - 1):
+        first -= 1
+    while last < len(inside) - 1 and text(last + 1):
+        last += 1
+    return [reader.lines[i] for i in inside[first : last + 1]]
 
 
 def main_text(html: str | None) -> str:
@@ -184,27 +265,7 @@ def main_text(html: str | None) -> str:
     reader = PageReader()
     reader.feed(html)
     reader.close()
-    lines = [x for x in reader.lines if not x.noise]
-    if not lines:
-        return ""
-    weight: dict[int, int] = {}
-    seeds = seeds_of(lines)
-    total = sum(len(lines[i].text) for i in seeds)
-    for i in seeds:
-        for e in lines[i].chain:
-            weight[e] = weight.get(e, 0) + len(lines[i].text)
-    region = max((e for e, w in weight.items() if w >= REGION_SHARE * total and reader.tags_of[e] not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "tr", "b", "i", "a", "span", "em", "strong")), default=0)
-    chain = next(lines[i].chain for i in seeds if region in lines[i].chain)
-    holder = next((e for e in chain[: chain.index(region) + 1] if reader.tags_of[e] == "article"), None)
-    if holder is not None:
-        return "\n".join(x.text for x in lines if holder in x.chain)
-    articles = {e for x in lines if region in x.chain for e in x.chain if reader.tags_of[e] in ("article", "main")}
-    if articles:
-        return "\n".join(x.text for x in lines if articles.intersection(x.chain))
-    # Without an article, a list of links around the content is not part of it: the region runs from the first seed to the last.
-    inside = [i for i, x in enumerate(lines) if region in x.chain]
-    first, last = max(inside[0], 0), inside[-1]
-    return "\n".join(x.text for x in lines[first : last + 1] if region in x.chain)
+    return "\n".join(x.text for x in content_lines(reader, seeds_of(reader.lines)))
 
 
 @F.pandas_udf(T.StringType())

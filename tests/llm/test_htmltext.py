@@ -1,6 +1,7 @@
 import html
 import os
 import re
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -52,3 +53,37 @@ def test_smoothing_and_threshold():
     assert h.smoothed([5.0] * 7) == pytest.approx([5.0] * 7)
     lines = [h.Line(text="x" * n, tags=1) for n in (3, 2, 200, 300, 250, 3, 2)]
     assert {2, 3, 4} <= set(h.seeds_of(lines)) and 0 not in h.seeds_of(lines)
+
+
+def plain(pages=80):
+    """A page without an article: menus of links, then text, then more links, none of them told by tag or class."""
+    links = "".join(f"<li><a href=/{k}>Go to page {k}</a></li>" for k in range(12))
+    return f"<body><ul>{links}</ul><h1>A heading</h1><p>{LONG}</p><p>Short one.</p><p>{LONG}</p><p>The end.</p><ul>{links}</ul></body>"
+
+
+def test_clusters_decide_where_markup_does_not():
+    assert h.main_text(plain()) == f"A heading\n{LONG.strip()}\nShort one.\n{LONG.strip()}\nThe end."
+
+
+@pytest.mark.parametrize("seeds", [lambda lines: [0], lambda lines: [len(lines) - 1], lambda lines: list(range(len(lines)))])
+def test_other_seeds_give_other_text(monkeypatch, seeds):
+    before = h.main_text(plain())
+    monkeypatch.setattr(h, "seeds_of", seeds)
+    assert h.main_text(plain()) != before
+
+
+def test_of_several_articles_those_with_seeds_are_content():
+    page = f"<body><article><a href=/1>Teaser</a></article><article><p>{LONG}</p><p>Tiny.</p></article><article><a href=/2>More</a></article></body>"
+    assert h.main_text(page) == f"{LONG.strip()}\nTiny."
+
+
+@pytest.mark.parametrize(("page", "want"), [("<p>a</p><![foo[bar]]><p>b</p>", "a\nb"), ("<p>a<![if x]>b<![endif]></p>", "ab"), ("<p>a</p><![", "a"), ("<p>a</p><!", "a"), ("a<![CDATA[x", "a")])
+def test_marked_sections_are_comments(page, want):
+    assert h.main_text(page) == want
+
+
+@pytest.mark.parametrize("page", ["<div>a" * 170_000, "<b>a" * 170_000 + "</i>" * 1000, "<div>" * 100_000 + "</p>" * 100_000 + "x", "<table><tr><td>a" * 60_000, "<ul><li>a" * 90_000, "<p>word word word</p>" * 50_000])
+def test_a_megabyte_of_nesting_takes_linear_time(page):
+    began = time.process_time()
+    assert h.main_text(page)
+    assert time.process_time() - began < 6
