@@ -4,16 +4,20 @@
 lower-cased trigrams, from literal runs, alternatives and small classes, as in indexed code search. A rule without a
 mandatory trigram scans fully.
 
-The index holds, for each trigram that some rule asks for, which documents contain it. Its postings are kept document
-by document as the bits of one number (``postings``), so that intersecting and uniting the posting lists of a query is a
-bitwise test where the text already lies, and no text is shuffled to meet a list of candidates. ``postings_table`` gives
-the same postings as (trigram, key) rows, to be stored for later rule sets; ``candidates`` intersects either.
-
-Candidates are verified with the expression itself. Offsets are code points and come from the lengths of the matches and
-of the text between them. Built-in functions only.
-
-A null text counts as empty and has no spans; a text may be of any length; repeated rows are each scanned; an empty
-table gives an empty result.
+``postings_table`` is the index: for each trigram that some rule asks for, the documents that contain it (known by a hash of
+their text, so equal texts are one). ``rules_met`` merges the posting lists by document, whose trigrams become the bits of
+numbers, and tests each rule's query on them: intersections and unions of the lists. What is left are the candidates, with
+the rules they are candidates of; only these texts are verified, each with those rules' expressions. Texts whose hashes
+clash share their postings, which can add candidates but not lose one.
+
+Candidates meet their texts in a join: they are broadcast if they are few, else texts are shuffled by their hash, where
+adaptive execution can split a text of very many copies. Offsets are code points, running sums of the lengths of matches and
+of the text between them; sums and replacements take time linear in a text's length, but for a square of its number of
+matches over ``STRIDE``. Built-in functions only.
+
+A null text counts as empty and has no spans (redaction leaves it null); a text may be of any length; repeated rows are each
+scanned; of spans with one start the order of the rules decides; extra columns may have any name; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +30,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import text_or_empty
+from lexmill.functions.text import let
+from lexmill.llm.common import cut, few, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -157,18 +162,8 @@ def vocabulary(rules) -> list[str]:
     return sorted(set().union(*[trigrams_of(trigram_query(r.pattern)) for r in rules]))
 
 
-def postings(text: Column, grams: list[str]) -> Column:
-    """The document's row of the index: for each 63 trigrams a number whose bits say which of them the text has."""
-    low = F.lower(text)  # lowers A-Z like any other letter, so it can add candidates but not lose one
-    words = []
-    for at in range(0, max(len(grams), 1), 63):
-        bits = [F.when(F.contains(low, F.lit(g)), F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k, g in enumerate(grams[at : at + 63])]
-        words.append(reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0).cast("long")))
-    return F.array(*words)
-
-
 def matches(bits: Column, query: Query, grams: list[str]) -> Column:
-    """Whether a document's postings satisfy the query: intersections and unions of posting lists, bit by bit."""
+    """Whether a document's bits satisfy the query: intersections and unions of posting lists, bit by bit."""
     if query is True:
         return F.lit(True)
     if isinstance(query, str):
@@ -186,39 +181,73 @@ def matches(bits: Column, query: Query, grams: list[str]) -> Column:
 
 def postings_table(docs: DataFrame, rules=BASE + MORE, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The index by trigram: a row (trigram, key) for each trigram of the rules in each document."""
-    low = F.lower(text_or_empty(text))
+    low = F.lower(text_or_empty(text))  # lowers A-Z like any other letter, so it can add candidates but not lose one
     held = docs.select(F.col(key), low.alias("_low"))
     return held.select(F.explode(F.filter(F.array(*[F.lit(g) for g in vocabulary(rules)]), lambda g: F.contains(F.col("_low"), g))).alias("trigram"), key)
 
 
+def merged_postings(table: DataFrame, grams: list[str], *, key: str = "doc_id") -> DataFrame:
+    """Per document of the posting lists of ``grams``: key, _bits (for each 63 trigrams a number whose bits say which of them it has)."""
+    place = F.array_position(F.array(*[F.lit(g) for g in grams]), F.col("trigram")).cast("int") - 1
+    placed = table.where(F.col("trigram").isin(grams)).withColumn("_place", place)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_place") % 63)
+    words = [F.bit_or(F.when(F.floor(F.col("_place") / 63) == w, bit).otherwise(F.lit(0).cast("long"))) for w in range(-(-len(grams) // 63))]
+    return placed.groupBy(key).agg(F.array(*words).alias("_bits"))
+
+
 def candidates(table: DataFrame, rule: Rule, *, key: str = "doc_id") -> DataFrame:
-    """Keys whose postings in a stored table satisfy the rule's query. A rule without mandatory trigrams has no such list."""
+    """Keys whose postings satisfy the rule's query. A rule without mandatory trigrams has no such list."""
     query = trigram_query(rule.pattern)
     if query is True:
         raise ValueError(f"{rule.kind} has no mandatory trigram: scan all documents")
     grams = sorted(trigrams_of(query))
-    bits = F.bit_or(reduce(lambda acc, k: acc.when(F.col("trigram") == grams[k], F.lit(1 << k).cast("long")), range(1, len(grams)), F.when(F.col("trigram") == grams[0], F.lit(1).cast("long"))))
-    met = table.where(F.col("trigram").isin(grams)).groupBy(key).agg(F.array(bits).alias("_bits"))
-    return met.where(matches(F.col("_bits"), query, grams)).select(key)
+    return merged_postings(table, grams, key=key).where(matches(F.col("_bits"), query, grams)).select(key)
+
+
+def rules_met(table: DataFrame, rules=BASE + MORE, *, key: str = "doc_id") -> DataFrame:
+    """Documents that are candidates of any rule: key, _met (the rules' bits)."""
+    grams = vocabulary(rules)
+    queries = [(k, trigram_query(r.pattern)) for k, r in enumerate(rules)]
+    met = [F.when(matches(F.col("_bits"), q, grams), F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k, q in queries if q is not True]
+    return merged_postings(table, grams, key=key).select(key, reduce(lambda a, b: a.bitwiseOR(b), met).alias("_met")).where("_met <> 0")
 
 
 SPAN = "array<struct<start:int,ord:int,end:int,kind:string>>"
 
 
+STRIDE = 256
+
+
+def running(values: Column, start, add) -> Column:
+    """For each element what ``add`` makes of ``start`` and those before it, and at last of all of them. Elements go in strides, as arrays can only grow by a copy."""
+    first = lambda: F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+    step = lambda acc, x: F.struct(add(acc["at"], x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out"))
+    strides = F.transform(F.sequence(F.lit(0), F.ceil(F.size(values) / STRIDE).cast("int")), lambda k: F.slice(values, k * STRIDE + 1, STRIDE))
+    inner = F.transform(strides, lambda s: F.aggregate(s, first(), step))
+
+    def joined_up(parts: Column) -> Column:
+        outer = F.aggregate(parts, first(), lambda acc, p: step(acc, p["at"]))
+        return let(outer, lambda o: F.array_append(F.flatten(F.zip_with(parts, o["out"], lambda p, base: F.transform(p["out"], lambda v: add(base, v)))), o["at"]))
+
+    return let(inner, joined_up)
+
+
 def spans_of(text: Column, rule: Rule, order: int) -> Column:
     """Spans (start, order of the kind, end, kind) of the rule's matches that count, leftmost and without overlap."""
     pattern = f"(?s){rule.pattern}"
-    whole, part = F.regexp_extract_all(text, F.lit(pattern), 0), F.regexp_extract_all(text, F.lit(pattern), rule.group)
-    lengths = F.arrays_zip(F.transform(F.split(text, pattern, -1), F.length).alias("gap"), F.transform(whole, F.length).alias("size"), F.transform(part, F.length).alias("part"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    lengths = lambda found: F.transform(found, F.length)
+    sizes = lengths(F.regexp_extract_all(text, F.lit(pattern), 0))
+    counted = lengths(F.regexp_extract_all(text, F.lit(pattern), rule.group)) if rule.group else sizes
+    gaps = lengths(F.split(text, pattern, -1))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + x["gap"]
-        end = begin + F.coalesce(x["size"], F.lit(0))
-        span = F.struct(begin.alias("start"), F.lit(order).alias("ord"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-        return F.struct(end.alias("at"), F.when(x["part"] >= rule.least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+    def placed(m: Column) -> Column:
+        moves = F.zip_with(m["gap"], m["size"], lambda g, s: g + F.coalesce(s, F.lit(0)))
+        at = running(moves, F.lit(0), lambda a, b: a + b)
+        found = F.transform(F.arrays_zip(F.slice(at, 1, F.size(m["size"])).alias("at"), F.slice(m["gap"], 1, F.size(m["size"])).alias("gap"), m["size"].alias("size"), m["part"].alias("part")), lambda x: F.when(
+            x["part"] >= rule.least, F.struct((x["at"] + x["gap"]).alias("start"), F.lit(order).alias("ord"), (x["at"] + x["gap"] + x["size"]).alias("end"), F.lit(rule.kind).alias("kind"))))
+        return F.filter(found, lambda x: x.isNotNull()).cast(SPAN)
 
-    return F.aggregate(lengths, start, step)["out"]
+    return let(F.struct(gaps.alias("gap"), sizes.alias("size"), counted.alias("part")), placed)
 
 
 def _full_scan(text: Column, rule: Rule) -> Column:
@@ -228,14 +257,21 @@ def _full_scan(text: Column, rule: Rule) -> Column:
 
 def found_spans(docs: DataFrame, rules=BASE + MORE, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, _text, spans (sorted by start, then by the order of ``rules``)."""
-    grams = vocabulary(rules)
-    held = docs.select(F.col(key).alias("_key"), text_or_empty(F.col(text).cast("string")).alias("_text")).withColumn("_bits", postings(F.col("_text"), grams))
+    return _found(docs.select(F.col(key).alias("_key"), F.struct(F.col(text).cast("string").alias("text")).alias("_row")), "text", rules).select("_key", "_text", "spans")
+
+
+def _found(rows: DataFrame, text: str, rules) -> DataFrame:
+    """``rows`` (with a struct _row) and the _text and spans of its field ``text``."""
+    own = text_or_empty(F.col("_row").getField(text).cast("string"))
+    marked = rows.withColumn("_mark", F.xxhash64(own))
+    index = cut(postings_table(marked.select("_mark", own.alias("_text")), rules, key="_mark", text="_text"))
+    met = few(rules_met(index, rules, key="_mark").withColumnRenamed("_mark", "_candidate"))
+    held = marked.join(met, F.col("_mark") == F.col("_candidate"), "left").withColumn("_text", own)
     parts = []
     for order, rule in enumerate(rules):
-        query = trigram_query(rule.pattern)
-        gate = _full_scan(F.col("_text"), rule) if query is True else matches(F.col("_bits"), query, grams)
+        gate = _full_scan(F.col("_text"), rule) if trigram_query(rule.pattern) is True else F.coalesce(F.col("_met"), F.lit(0)).bitwiseAND(F.lit(1 << order).cast("long")) != 0
         parts.append(F.when(gate, spans_of(F.col("_text"), rule, order)).otherwise(F.array().cast(SPAN)))
-    return held.select("_key", "_text", F.array_sort(F.concat(*parts)).alias("spans"))
+    return held.withColumn("spans", F.array_sort(F.concat(*parts)))
 
 
 def joined(spans: Column) -> Column:
@@ -250,16 +286,26 @@ def report(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataF
     return found.select(F.col("_key").alias(key), *[count(r.kind) for r in BASE], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
-def redacted(docs: DataFrame, rules=BASE + MORE, *, text: str = "text", mark: str = "[secret]") -> DataFrame:
-    """``docs`` with each span of the text replaced by ``mark``; overlapping spans are one. A null text stays null."""
-    found = found_spans(docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_value")), rules, key="_row", text="_value")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def without_spans(text: Column, spans: Column, mark: str) -> Column:
+    """``text`` with each span replaced by ``mark``; overlapping spans are one.
+
+    The text is cut in its UTF-32 form, where a place is found without reading what lies before it. A letter in front keeps
+    the decoder from taking a first U+FEFF for a byte order mark.
+    """
+    def put(m: Column) -> Column:
+        hidden = F.lit(mark.encode("utf-32-be").hex().upper())
+        piece = lambda a, n: F.hex(F.substring(m["raw"], a * 4 + 1, n * 4))
+        done = running(F.transform(spans, lambda s: s["end"]), F.lit(0), F.greatest)
+        pieces = F.zip_with(spans, F.slice(done, 1, F.size(spans)), lambda s, at: F.when(s["start"] >= at, F.concat(piece(at, s["start"] - at), hidden)).otherwise(""))
+        rest = F.hex(F.substring(m["raw"], F.element_at(done, -1) * 4 + 1, F.octet_length(m["raw"])))
+        return F.substring(F.decode(F.unhex(F.concat(F.lit("00000078"), F.array_join(pieces, ""), rest)), "UTF-32"), F.lit(2), F.lit(2**31 - 1))
 
-    def step(acc: Column, s: Column) -> Column:
-        before = F.when(s["start"] >= acc["at"], F.concat(F.substring(F.col("_text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], before).alias("out"))
+    return let(F.struct(F.encode(text, "UTF-32").alias("raw")), put)
 
-    new = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("_text"), acc["at"] + 1, F.length("_text"))))
-    own = F.col("_key")
-    value = F.when(F.size("spans") > 0, new).otherwise(own.getField(text))
+
+def redacted(docs: DataFrame, rules=BASE + MORE, *, text: str = "text", mark: str = "[secret]") -> DataFrame:
+    """``docs`` with each span of the text replaced by ``mark``; overlapping spans are one. A null text stays null."""
+    found = _found(docs.select(F.struct(*docs.columns).alias("_row")), text, rules)
+    own = F.col("_row")
+    value = F.when(F.size("spans") > 0, without_spans(F.col("_text"), F.col("spans"), mark)).otherwise(own.getField(text))
     return found.select(*[(value if c == text else own.getField(c)).alias(c) for c in docs.columns])
