@@ -1,16 +1,22 @@
 """URL filters: FP-growth rules over URL tokens, matched by an inverted index, below explicit host and path rules.
 
-Mining: each labelled URL is a basket of its host and path tokens, with one more item where the label says block.
-FP-growth finds the frequent baskets; rules that conclude "block" are kept if they reach the least support
-(a share of the labelled URLs, and a count below which chance decides) and confidence, and a rule goes when a more general one (fewer tokens) is at least as confident.
-
-Matching: the index holds each rule under its rarest token, so a URL meets only rules that share that token; a rule
-fires when all its tokens are in the URL. Built-in functions and joins only; nothing is gathered on the driver but
-what FP-growth itself keeps there (the frequent single tokens, at most the mean basket size / the least support).
-
-The rules are broadcast only while there are at most ``max_broadcast_rules``; otherwise the join shuffles, with hot
-tokens split by adaptive execution. Null URLs have an empty host and path and no token. Repeated rows are each judged;
-an empty table gives an empty result; without labels no rule is mined and the method allows all.
+Mining: each labelled URL is a basket of its host and path tokens, with one more item where the label says block. Tokens
+that stand in exactly the same baskets are one group: any of them stands for all, so mining has one item for each group, and
+many repeats of one URL do not make a number of item sets that is exponential in its tokens. FP-growth finds the frequent
+baskets; rules that conclude "block" are kept if they reach the least support (a share of the labelled URLs, and a count
+below which chance decides) and confidence, and a rule goes when a more general one (fewer groups) is at least as confident.
+A rule is a list of groups and fires when a URL has a token of each; that is the same as all rules of one token of each
+group (``mine_rules`` lists these).
+
+Matching: the index holds each rule under the tokens of its rarest group, so a URL meets only rules that share such a token.
+Built-in functions and joins only; nothing is gathered on the driver but what FP-growth itself keeps there (the frequent
+single items, at most the mean basket size / the least support).
+
+The rules are broadcast only while the index has at most ``max_broadcast_rules`` entries; otherwise the join shuffles, with
+hot tokens split by adaptive execution. Null URLs have an empty host and path and no token; URLs may be of any length.
+Repeated rows are each judged; of several rules that fire the strongest confidence is given, of explicit rules the longest
+decides (no two of one length fit a URL). Extra columns may have any name. An empty table gives an empty result; without
+labels no rule is mined and the method allows all.
 """
 
 from __future__ import annotations
@@ -62,31 +68,54 @@ def tokens_of(url: Column) -> Column:
     ))
 
 
-def mine_rules(labelled: DataFrame, url: str, blocked: Column, *, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (rule_tokens, n_tokens, confidence, support) that conclude "block". ``labelled``: a row for each labelled URL."""
-    baskets = cut(labelled.select(tokens_of(F.col(url)).alias("_t"), blocked.alias("_b")).select(
-        F.when(F.col("_b"), F.concat("_t", F.array(F.lit(BLOCK_ITEM)))).otherwise(F.col("_t")).alias("items")).where(F.size("items") > 0))
+def token_groups(tokens: DataFrame, least: int) -> DataFrame:
+    """Groups of tokens that stand in the same baskets: first (the least token, which stands for the group), members. ``tokens``: _id, token.
+
+    Groups of fewer than ``least`` baskets are left out. A group has no more members than the URL they all stand in.
+    """
+    marks = [F.bit_xor(F.xxhash64("_id", F.lit(k))).alias(f"_m{k}") for k in range(2)]
+    sets = tokens.groupBy("token").agg(F.count("*").alias("_n"), *marks).where(F.col("_n") >= least)
+    return sets.groupBy("_n", "_m0", "_m1").agg(F.array_sort(F.collect_list("token")).alias("members")).select(F.col("members")[0].alias("first"), "members")
+
+
+def mine_groups(labelled: DataFrame, url: str, blocked: Column, *, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Rules (groups, n_tokens, confidence, support) that conclude "block". ``labelled``: a row for each labelled URL."""
+    rows = labelled.select(tokens_of(F.col(url)).alias("_t"), F.coalesce(blocked, F.lit(False)).alias("_b"))
+    baskets = cut(rows.where("_b or size(_t) > 0").withColumn("_id", F.monotonically_increasing_id()))
     n = baskets.count()
     if n < min_count:
-        return labelled.sparkSession.createDataFrame([], "rule_tokens array<string>, n_tokens int, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence).fit(baskets)
+        return labelled.sparkSession.createDataFrame([], "groups array<array<string>>, n_tokens int, confidence double, support double")
+    support = max(min_support, min_count / n)
+    tokens = baskets.select("_id", F.explode("_t").alias("token"))
+    groups = cut(token_groups(tokens, int(support * n)))
+    own = tokens.join(groups.select(F.col("first").alias("token")), "token", "left_semi").groupBy("_id").agg(F.collect_list("token").alias("_own"))
+    items = F.concat(F.coalesce("_own", F.array().cast("array<string>")), F.when(F.col("_b"), F.array(F.lit(BLOCK_ITEM))).otherwise(F.array().cast("array<string>")))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(cut(baskets.join(own, "_id", "left").select(items.alias("items"))))
     found = model.associationRules.where(F.col("consequent")[0] == BLOCK_ITEM)
-    rules = cut(found.select(F.array_sort("antecedent").alias("rule_tokens"), F.size("antecedent").alias("n_tokens"), "confidence", "support"))
+    rules = cut(found.select(F.array_sort("antecedent").alias("rule_tokens"), "confidence", "support"))
     # A more general rule has a subset of the tokens: it is met under each of the longer rule's tokens it starts with.
     general = rules.select(F.col("rule_tokens")[0].alias("_first"), F.col("rule_tokens").alias("_g"), F.col("confidence").alias("_c"))
     long = rules.select("rule_tokens", "confidence", F.explode("rule_tokens").alias("_first"))
     beaten = long.join(general, "_first").where((F.size("_g") < F.size("rule_tokens")) & (F.size(F.array_except("_g", "rule_tokens")) == 0) & (F.col("_c") >= F.col("confidence"))).select("rule_tokens").distinct()
-    return rules.join(beaten, "rule_tokens", "left_anti")
+    kept = rules.join(beaten, "rule_tokens", "left_anti").withColumn("first", F.explode("rule_tokens"))
+    return kept.join(groups, "first").groupBy("rule_tokens", "confidence", "support").agg(F.array_sort(F.collect_list("members")).alias("groups")).select("groups", F.size("groups").alias("n_tokens"), "confidence", "support")
+
+
+def mine_rules(labelled: DataFrame, url: str, blocked: Column, **options) -> DataFrame:
+    """The mined rules token by token (rule_tokens, n_tokens, confidence, support): one for each choice from a rule's groups."""
+    choices = F.aggregate("groups", F.array(F.array().cast("array<string>")), lambda acc, g: F.flatten(F.transform(acc, lambda a: F.transform(g, lambda t: F.array_append(a, t)))))
+    return mine_groups(labelled, url, blocked, **options).select(F.explode(choices).alias("_c"), "n_tokens", "confidence", "support").select(F.array_sort("_c").alias("rule_tokens"), "n_tokens", "confidence", "support")
 
 
 def rule_index(rules: DataFrame, urls: DataFrame, url: str) -> DataFrame:
-    """Posting entries (token, rule_tokens, confidence): each rule under the token that fewest URLs have."""
+    """Posting entries (token, groups, confidence): each rule under the tokens of the group that fewest URLs have."""
     frequency = urls.select(F.explode(tokens_of(F.col(url))).alias("token")).groupBy("token").count()
-    spread = rules.select("rule_tokens", "confidence", F.explode("rule_tokens").alias("token"))
-    wanted = spread.select("token").distinct()
-    counts = frequency.join(wanted, "token", "left_semi")
-    ranked = spread.join(counts, "token").groupBy("rule_tokens", "confidence").agg(F.min(F.struct("count", "token")).alias("m"))
-    return ranked.select(F.col("m.token").alias("token"), "rule_tokens", "confidence")
+    spread = rules.select("groups", "confidence", F.explode("groups").alias("_g")).select("*", F.explode("_g").alias("token"))
+    counts = frequency.join(spread.select("token").distinct(), "token", "left_semi")
+    # A token that no URL has makes its group no larger.
+    sized = spread.join(counts, "token", "left").groupBy("groups", "confidence", "_g").agg(F.sum(F.coalesce("count", F.lit(0))).alias("_n"))
+    rarest = sized.groupBy("groups", "confidence").agg(F.min(F.struct("_n", "_g")).alias("m"))
+    return rarest.select(F.explode("m._g").alias("token"), "groups", "confidence")
 
 
 def explicit_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
@@ -105,14 +134,14 @@ def explicit_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> t
 
 def judge(pages: DataFrame, labelled: DataFrame, blocked: Column, *, explicit: list[tuple[str, str]] = (), key: str = "page_id", url: str = "url", label_url: str = "url", min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE, max_broadcast_rules: int = MAX_BROADCAST_RULES) -> DataFrame:
     """Per page: key, host, path, rule, verdict, mined_confidence (of the strongest mined rule that fires, else null)."""
-    rules = cut(mine_rules(labelled, label_url, blocked, min_support=min_support, min_count=min_count, min_confidence=min_confidence))
+    rules = cut(mine_groups(labelled, label_url, blocked, min_support=min_support, min_count=min_count, min_confidence=min_confidence))
     own = pages.select(F.col(key).alias("_key"), F.col(url).cast("string").alias("_url"))
     index = cut(rule_index(rules, own, "_url"))
     if index.count() <= max_broadcast_rules:
         index = F.broadcast(index)
     # Equal URLs fire the same rules: they are matched once.
     distinct = own.where("_url is not null").select("_url").distinct().select("_url", tokens_of(F.col("_url")).alias("_t"))
-    fired = distinct.select("_url", "_t", F.explode("_t").alias("token")).join(index, "token").where(F.size(F.array_except("rule_tokens", "_t")) == 0)
+    fired = distinct.select("_url", "_t", F.explode("_t").alias("token")).join(index, "token").where(F.forall("groups", lambda g: F.arrays_overlap(g, F.col("_t"))))
     strongest = fired.groupBy("_url").agg(F.max("confidence").alias("mined_confidence"))
     joined = own.join(strongest, "_url", "left").select("_key", host_of(F.col("_url")).alias("host"), path_of(F.col("_url")).alias("path"), "mined_confidence")
     rule, verdict = explicit_rule(F.col("host"), F.col("path"), list(explicit))

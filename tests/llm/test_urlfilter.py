@@ -88,3 +88,22 @@ def test_mined_rules_and_matches_are_those_of_brute_force(spark):
         for r in judged:
             fires = [x for c, x in want.items() if set(c) <= set(tokens[r["page_id"]])]
             assert r["verdict"] == ("block" if fires else "allow") and r["mined_confidence"] == (round(max(fires), 6) if fires else None)
+
+
+@pytest.mark.parametrize("n", [12, 25, 60])
+def test_repeats_of_a_long_url_are_mined_at_once(spark, n):
+    """Words that always stand together are one item: not 2^n sets."""
+    long = "http://bad.example.com/" + "/".join(f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(n))
+    half = "http://bad.example.com/" + "/".join(f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(n // 2))
+    rows = [(long, True)] * 10 + [(half, k < 2) for k in range(10)] + [(f"http://fine.example.com/p{'abcdefghij'[k % 10]}x", False) for k in range(20)]
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    rules = u.mine_groups(labelled, "url", F.col("bad"), min_count=10, min_confidence=0.6).collect()
+    last = f"p:word{chr(97 + (n - 1) // 26)}{chr(97 + (n - 1) % 26)}"
+    assert any(r["confidence"] == 1.0 and len(r["groups"]) == 1 and last in r["groups"][0] for r in rules)
+    judged = {r["host"] + r["path"]: r["verdict"] for r in u.judge(labelled.withColumn("page_id", F.lit(1)), labelled, F.col("bad")).collect()}
+    assert judged["bad.example.com" + long.split(".com")[1]] == "block" and judged["fine.example.com/pax"] == "allow"
+
+
+def test_null_labels_do_not_block(spark):
+    labelled = spark.createDataFrame([("http://a.example.com/x", None)] * 20, "url string, bad boolean")
+    assert u.mine_groups(labelled, "url", F.col("bad")).count() == 0
