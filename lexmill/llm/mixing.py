@@ -14,7 +14,8 @@ documents, so that neither the sums nor the ordered range of a hot source grow l
 
 Nulls: a null text has no tokens, and null domains, languages or sources are leaves of their own. A document without
 tokens is in no prefix. Rows with a null key have one place in the order, as have repeated rows: at the cut each of them
-gives its tokens' share of what is left, rounded down. An empty table gives an empty result.
+gives its tokens' share of what is left, rounded down. Texts may be of any length, and extra columns may have any name but
+``mix_epochs`` and ``mix_tokens``, which are replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,16 +40,37 @@ def order_hash(key: Column, epoch: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), key.cast("string"))), 1, 8), 16, 10).cast("long")
 
 
+STEPS_AN_OCTAVE = 64
+
+
 def fill(nodes: DataFrame, parent: list) -> DataFrame:
-    """Budgets of siblings: ``nodes`` has the parent's columns, _w, _cap and the parent's _budget; adds _share."""
-    w = Window.partitionBy(*parent).orderBy(F.col("_cap") / F.col("_w"), *[c for c in nodes.columns if c in LEVELS])
-    before, on = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = (F.col("_budget") - F.coalesce(F.sum("_cap").over(before), F.lit(0))) / F.sum("_w").over(on)
-    stepped = nodes.withColumn("_level", level).withColumn("_full", F.col("_level") * F.col("_w") >= F.col("_cap"))
+    """Budgets of siblings: ``nodes`` has the parent's columns, _w, _cap and the parent's _budget; adds _share.
+
+    Siblings fall into steps of capacity / weight, and only sums by step are put in order. A step whose members are all full
+    needs no order, nor do those after the first step that is not; that one's members alone are sorted.
+    """
+    kept, names = nodes.columns, [f"_up{k}" for k in range(len(parent))]
+    own = [p if isinstance(p, Column) else F.col(p) for p in parent]
+    ratio = F.col("_cap") / F.col("_w")
+    nodes = cut(nodes.withColumn("_ratio", ratio).withColumn("_step", F.floor(F.log2(ratio) * STEPS_AN_OCTAVE)))
+    sums = nodes.groupBy(*[p.alias(n) for p, n in zip(own, names, strict=True)], "_step").agg(F.sum("_cap").alias("_caps"), F.sum("_w").alias("_ws"), F.max("_ratio").alias("_most"), F.first("_budget").alias("_b"))
+    order = Window.partitionBy(*names).orderBy("_step")
+    before = F.coalesce(F.sum("_caps").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    after = F.coalesce(F.sum("_ws").over(order.rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0))
+    not_full = sums.withColumn("_before", before).withColumn("_after", after).where(F.col("_b") - F.col("_before") - F.col("_caps") < F.col("_most") * F.col("_after"))
+    opened = not_full.groupBy(*names).agg(F.min(F.struct("_step", "_before", (F.col("_after") + F.col("_ws")).alias("_on"), "_most")).alias("_open"))
+    met = nodes.join(opened, [p.eqNullSafe(F.col(n)) for p, n in zip(own, names, strict=True)], "left")
+    w = Window.partitionBy(*names).orderBy("_ratio", *[c for c in kept if c in LEVELS]).rowsBetween(Window.unboundedPreceding, -1)
+    caps, ws = F.coalesce(F.sum("_cap").over(w), F.lit(0)), F.coalesce(F.sum("_w").over(w), F.lit(0.0))
+    level = (F.col("_budget") - F.col("_open._before") - caps) / (F.col("_open._on") - ws)
     # Levels fall from the first node that is not full on: that one's level is what all after it get per weight.
-    open_level = F.max(F.when(~F.col("_full"), F.col("_level"))).over(Window.partitionBy(*parent))
-    share = F.when(F.col("_full"), F.col("_cap").cast("double")).otherwise(F.greatest(open_level, F.lit(0.0)) * F.col("_w"))
-    return stepped.withColumn("_share", share).drop("_level", "_full")
+    cuts = met.where("_step = _open._step").withColumn("_level", level).where(F.col("_level") * F.col("_w") < F.col("_cap"))
+    levels = cuts.groupBy(*[F.col(n).alias(f"_c{n}") for n in names]).agg(F.max("_level").alias("_level"))
+    out = met.join(levels, [F.col(n).eqNullSafe(F.col(f"_c{n}")) for n in names], "left")
+    # Without an open step all nodes are full; rounding may leave none open in one, and then its own ratio is the level.
+    reached = F.coalesce("_level", "_open._most")
+    share = F.when(F.col("_open").isNull() | (F.col("_ratio") <= reached), F.col("_cap").cast("double")).otherwise(F.greatest(reached, F.lit(0.0)) * F.col("_w"))
+    return out.withColumn("_share", share).select(*kept, "_share")
 
 
 def leaf_budgets(leaves: DataFrame, budget: Column, weights: dict[str, dict[str, float]], max_epochs: int) -> DataFrame:
@@ -149,4 +171,20 @@ def mixed_documents(docs: DataFrame, *, domain: Column, budget_share: float, wei
     leaves = plan(cut(slim), F.floor(F.sum("_tokens") * budget_share), weights, max_epochs=max_epochs, seed=seed)
     own = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).alias("_key"), domain.alias("domain"), F.col(lang).alias("lang"), F.col(source).alias("source"), count_words(F.col(text)).alias("_tokens"))
     kept = taken(own, leaves, seed=seed).where("tokens_taken > 0")
-    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns], F.col("epochs").alias("mix_epochs"), F.col("tokens_taken").alias("mix_tokens"))
+    own_columns = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("mix_epochs", "mix_tokens")]
+    return kept.select(*own_columns, F.col("epochs").alias("mix_epochs"), F.col("tokens_taken").alias("mix_tokens"))
+
+
+def epoch_texts(mixed: DataFrame, *, text: str = "text", epoch: str = "mix_epoch") -> DataFrame:
+    """The rows of ``mixed_documents`` as the stream of tokens that they stand for: one for each epoch, in the documents' own columns and ``epoch``.
+
+    Whole epochs have the whole text; the last one has its first tokens, up to ``mix_tokens`` in all.
+    """
+    tokens = count_words(F.col(text))
+    part = F.col("mix_tokens") - F.col("mix_epochs") * tokens
+    # Behind each token the text may be cut; white space before a token stays with it.
+    prefix = F.array_join(F.slice(F.split(F.col(text), r"(?<=[^ \t\r\n])(?=[ \t\r\n])"), F.lit(1), F.col("_part").cast("int")), "")
+    rows = mixed.withColumn("_part", part).withColumn("_tokens", tokens)
+    spread = rows.withColumn(epoch, F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_epochs")))).where((F.col(epoch) < F.col("mix_epochs")) | (F.col("_part") > 0))
+    own = F.when((F.col(epoch) < F.col("mix_epochs")) | (F.col("_part") >= F.col("_tokens")), F.col(text)).otherwise(prefix)
+    return spread.withColumn(text, own).drop("_part", "_tokens", "mix_epochs", "mix_tokens")

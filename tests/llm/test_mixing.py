@@ -88,3 +88,29 @@ def test_null_keys_at_the_cut_get_their_share(spark):
     docs = spark.createDataFrame([(None, "d", "en", "s", t) for t in texts], "doc_id long, domain_name string, lang string, source string, text string")
     got = m.mix(docs, domain=F.col("domain_name"), budget_share=0.5, weights={}).collect()
     assert sorted((r["n_tokens"], r["tokens_taken"]) for r in got) == [(k + 1, (k + 1) // 2) for k in range(20)]
+
+
+@pytest.mark.parametrize("share", [0.37, 2.5])
+def test_epochs_give_the_tokens_that_were_taken(rows, share):
+    """Whole copies and one prefix: their tokens are those taken, and each is the start of its text."""
+    mixed = m.mixed_documents(rows, domain=F.col("domain_name"), budget_share=share, weights=WEIGHTS)
+    taken = {r["doc_id"]: (r["mix_epochs"], r["mix_tokens"]) for r in mixed.collect()}
+    texts = {k: t for k, *_, t in ROWS}
+    out = defaultdict(dict)
+    for r in m.epoch_texts(mixed).collect():
+        out[r["doc_id"]][r["mix_epoch"]] = r["text"]
+    assert set(out) == set(taken)
+    for k, epochs in out.items():
+        whole, tokens = taken[k]
+        assert sum(len(t.split()) for t in epochs.values()) == tokens and set(epochs) <= set(range(whole + 1))
+        assert all(epochs[e] == texts[k] for e in range(whole)) and texts[k].startswith(epochs.get(whole, ""))
+
+
+def test_many_siblings_share_as_water_does(spark):
+    """More siblings than steps, with ties and far ratios."""
+    nodes = [(0, f"s{k}", 1 + (k * 7919) % 1000 ** (1 + k % 3), float(1 + k % 5)) for k in range(3000)]
+    table = spark.createDataFrame(nodes, "domain int, source string, _cap long, _w double")
+    for budget in (0.0, 5.0, 1e4, 1e7, 1e12):
+        got = {r["source"]: r["_share"] for r in m.fill(table.withColumn("_budget", F.lit(budget)), ["domain"]).collect()}
+        want = water(budget, [(c, w) for _, _, c, w in nodes])
+        assert [got[s] for _, s, _, _ in nodes] == pytest.approx(want, rel=1e-9, abs=1e-9)
