@@ -21,6 +21,18 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 FEW_ROWS = 100_000
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session sends Python workers at most 16 MB at a time from now on, unless it has a size of its own.
+
+    Texts differ much in length; Spark's 64 MB are held several times over on both sides of the pipe.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_BYTES, None) is None:
+        conf.set(BATCH_BYTES, "16m")
+    return df
 
 
 def few(df: DataFrame, most: int = FEW_ROWS) -> DataFrame:

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.llm.common import small_batches
 from lexmill.llm.wordbytes import SLICE, WORDS_ONLY, apart, mix, slices, text_chunks, words_of
 
 WIDTH = 10
@@ -181,7 +182,7 @@ def blocks_of(benchmark: DataFrame, item: str, text: str, width: int, max_bytes:
 
 def window_sets(docs: DataFrame, benchmark: DataFrame, item: str, item_text: str, width: int, max_bytes: int) -> list:
     """A broadcast window set for each block, made one after the other."""
-    return [docs.sparkSession.sparkContext.broadcast(WindowSet(block, width)) for block in blocks_of(benchmark, item, item_text, width, max_bytes)]
+    return [small_batches(docs).sparkSession.sparkContext.broadcast(WindowSet(block, width)) for block in blocks_of(benchmark, item, item_text, width, max_bytes)]
 
 
 SPANS = "array<struct<from_word:int,to_word:int,from_byte:long,to_byte:long>>"

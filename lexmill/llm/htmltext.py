@@ -25,11 +25,13 @@ from bisect import bisect_right
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexmill.llm.common import small_batches
+
 # Element and class names of HTML pages.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -268,12 +270,12 @@ def main_text(html: str | None) -> str:
     return "\n".join(x.text for x in content_lines(reader, seeds_of(reader.lines)))
 
 
-@F.pandas_udf(T.StringType())
-def main_text_column(pages: pd.Series) -> pd.Series:
-    return pages.map(main_text, na_action=None).astype(object)
+@F.arrow_udf(T.StringType())
+def main_text_column(pages: pa.Array) -> pa.Array:
+    return pa.array([main_text(page.as_py()) for page in pages], pa.string())
 
 
 def extract(pages: DataFrame, *, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per page: key, url, text (empty if there is none), n_chars."""
-    read = pages.select(F.col(key).alias("_key"), F.col(url).alias("_url"), main_text_column(F.col(html).cast("string")).alias("_text"))
+    read = small_batches(pages).select(F.col(key).alias("_key"), F.col(url).alias("_url"), main_text_column(F.col(html).cast("string")).alias("_text"))
     return read.select(F.col("_key").alias(key), F.col("_url").alias("url"), F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))

@@ -24,7 +24,7 @@ documents are linked if the Jaccard similarity of their sets is ``threshold`` or
 Null and wordless texts are linked to nothing and are a class each; so are rows with a null key, which have no class.
 Repeated rows (a key twice) are copies of each other if their texts are equal, and are each answered; different texts
 under one key are classes of their own, though the key may name both. Very long texts are read in slices; a set takes
-eight bytes a shingle. Ties (pairs of just the threshold) are links. Sets hold 64-bit hashes made of BLAKE2b hashes of the
+eight bytes a shingle. Ties (pairs of just the threshold) are links. Sets hold 64-bit hashes made of SipHash values of the
 words. Extra columns may have any name. An empty table gives an empty result.
 """
 
@@ -38,9 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import cut, few
+from lexmill.llm.common import cut, few, small_batches
 from lexmill.llm.components import components
-from lexmill.llm.wordbytes import WordHashes, mix, text_shingles, text_words
+from lexmill.llm.wordbytes import mix, text_shingles, text_words
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -116,9 +116,9 @@ def set_marks(shingles: np.ndarray) -> tuple[int, int]:
         return int(mix(shingles).sum(dtype=np.uint64)), int(mix(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64))
 
 
-def shingle_sets(column: pa.Array, width: int, known: WordHashes) -> Iterator[np.ndarray]:
+def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingles of each text of a column."""
-    for words in text_words(column, known):
+    for words in text_words(column):
         yield text_shingles(words, width)
 
 
@@ -136,10 +136,10 @@ def signatures(docs: DataFrame, key: str, text: str, width: int, trees: int, dep
     kind = docs.schema[key].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, known = Hashes(trees, depth), WordHashes()
+        hashes = Hashes(trees, depth)
         for batch in batches:
             sizes, marks, paths = [], [], []
-            for s in shingle_sets(batch.column(1), width, known):
+            for s in shingle_sets(batch.column(1), width):
                 sizes.append(len(s))
                 marks.append(set_marks(s) if len(s) else (0, 0))
                 paths.append(hashes.signature(s).tobytes())
@@ -367,10 +367,10 @@ def _level(reps: DataFrame, docs: DataFrame, key: str, text: str, width: int, th
     wanted = cut(_by_unit(units).mapInArrow(_wanted(threshold, trees, trees * max_depth, depth, deeper), kept))
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, known, hashes = set(), WordHashes(), Hashes(trees, max_depth)
+        seen, hashes = set(), Hashes(trees, max_depth)
         for batch in batches:
             sets, paths, keep = [], [], []
-            for s, m0, m1, rep in zip(shingle_sets(batch.column(0), width, known), *(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+            for s, m0, m1, rep in zip(shingle_sets(batch.column(0), width), *(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
                 # A row may come several times, and a key with another text of equal hash: the marks tell which text is meant.
                 keep.append(rep not in seen and _signed(set_marks(s)).tolist() == [m0, m1])
                 sets.append(s.tobytes() if keep[-1] else None)
@@ -393,7 +393,7 @@ def _classed(docs: DataFrame, *, null_keys: bool = False, key: str = "doc_id", t
 
     Rows with a null key are left out, or with ``null_keys`` are texts as any other, after all keys.
     """
-    rows = cut(signatures(docs, key, text, width, trees, max_depth))
+    rows = cut(signatures(small_batches(docs), key, text, width, trees, max_depth))
     sets_of = rows.where("n > 0" if null_keys else "n > 0 and _key is not null").groupBy("m0", "m1", "n").agg(
         F.min("_key").alias("least"), F.coalesce(F.min_by("hash", "_key"), F.min("hash")).alias("hash"), F.count("*").alias("copies"), F.first("sig").alias("sig")
     )

@@ -6,8 +6,9 @@ one before it), so that the model also sees how a text is written. Each indicato
 class counts, rows are scaled to unit length, and weights minimise the L2-regularised hinge loss by dual coordinate
 descent. A logistic curve, fitted on labelled rows that the weights have not seen, turns margins into scores.
 
-The model is fitted on a sample of about ``max_rows`` labelled rows, chosen by a hash of the document key. It is fitted in one
-task, which the sample bounds; what reaches the driver is the model: 8 MB. Scoring is a map over all rows without a shuffle.
+The model is fitted on a sample of about ``max_rows`` labelled rows, chosen by a hash of the document key, and of those on as
+many as have ``max_places`` features in all (33 million; 10,000 rows of a thousand words have half of that). It is fitted in
+one task, which these bound; what reaches the driver is the model: 8 MB. Scoring is a map over all rows without a shuffle.
 
 Null texts count as empty; an empty text has no feature and the score of margin 0. Long texts are read in slices. Labels
 other than 0 and 1 and null keys are left out of the fit; a null key is not held out. Equal texts have equal scores, and a
@@ -21,16 +22,17 @@ from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.wordbytes import IS_WORD, LOWER, SLICE, WordHashes, apart, mix, slices, text_chunks
+from lexmill.llm.common import cut, small_batches
+from lexmill.llm.wordbytes import IS_WORD, LOWER, SLICE, apart, mix, slices, text_chunks, word_hashes
 
 BITS = 20
 SIZE = 1 << BITS
 MAX_ROWS = 10_000
+MAX_PLACES = 1 << 25
 THRESHOLD = 0.3
 # Tokens that a slice of a long text has from the one before it; n-grams have four at most.
 CARRIED = 16
@@ -53,7 +55,7 @@ NEW_LINE = 1
 TOKENS_ONLY = bytes(NEW_LINE if KIND[b] == 3 else int(LOWER[b]) if KIND[b] else 0x20 for b in range(256))
 
 
-def tokens_of(data: np.ndarray, offsets: np.ndarray, known: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Kind, hash and shape of each token, and for each text the index of its first token (one more at the end)."""
     kind = KIND[data]
     edge = np.zeros(len(data) + 1, bool)
@@ -65,7 +67,7 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray, known: WordHashes) -> tuple
     solid = kind[starts] > 0
     starts, ends = starts[solid], ends[solid]
     own, sizes = kind[starts], ends - starts
-    hashes = known.of(apart(np.frombuffer(data.tobytes().translate(TOKENS_ONLY), np.uint8), starts, ends).split(b" ")[:-1])
+    hashes = word_hashes(apart(np.frombuffer(data.tobytes().translate(TOKENS_ONLY), np.uint8), starts, ends).split(b" ")[:-1])
     upper = np.concatenate([[0], np.cumsum((data >= 0x41) & (data <= 0x5A), dtype=np.int32)])
     digit = np.concatenate([[0], np.cumsum((data >= 0x30) & (data <= 0x39), dtype=np.int32)])
     ups, digits = upper[ends] - upper[starts], digit[ends] - digit[starts]
@@ -93,11 +95,11 @@ def _places(grams: list[np.ndarray], a: int, b: int) -> np.ndarray:
     return np.concatenate([g[a : a + max(0, b - a - k)] for k, g in enumerate(grams)]) if b > a else np.zeros(0, np.int32)
 
 
-def features_of(data: np.ndarray, offsets: np.ndarray, known: WordHashes | None = None) -> list[np.ndarray]:
+def features_of(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """The feature places of each text, with repeats."""
     if not len(data):
         return [np.zeros(0, np.int32)] * (len(offsets) - 1)
-    own, hashes, shape, first = tokens_of(data, offsets, WordHashes() if known is None else known)
+    own, hashes, shape, first = tokens_of(data, offsets)
     grams = grams_of(own, hashes, shape)
     return [_places(grams, a, b) for a, b in pairwise(first.tolist())]
 
@@ -118,21 +120,21 @@ class Features:
     """The distinct feature places of texts, for one task."""
 
     def __init__(self) -> None:
-        self.known, self.distinct = WordHashes(), Distinct()
+        self.distinct = Distinct()
 
     def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
         for _, _, data, offsets in text_chunks(column):
             if len(data) > SLICE:
                 yield self.long(data)
             else:
-                yield from map(self.distinct, features_of(data, offsets, self.known))
+                yield from map(self.distinct, features_of(data, offsets))
 
     def long(self, data: np.ndarray) -> np.ndarray:
         """Those of one long text, in slices; a slice starts with the last tokens of the one before it."""
         seen, held = np.zeros(SIZE, bool), None
         for raw in slices(data, KIND):
             part = np.frombuffer(raw, np.uint8)
-            now = tokens_of(part, np.array([0, len(part)]), self.known)[:3]
+            now = tokens_of(part, np.array([0, len(part)]))[:3]
             held = now if held is None else tuple(np.concatenate([h[-CARRIED:], n]) for h, n in zip(held, now, strict=True))
             seen[_places(grams_of(*held), 0, len(held[0]))] = True
         return np.flatnonzero(seen).astype(np.int32)
@@ -228,9 +230,9 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS) -> tuple[bytes, float, float]:
-    """Model (weights as bytes, slope, intercept) from labelled rows that are not held out, about ``max_rows`` of them."""
-    usable = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("label")).where("_key is not null and label in (0, 1)").where(~held_out(F.col("_key"))).distinct()
+def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS, max_places: int = MAX_PLACES) -> tuple[bytes, float, float]:
+    """Model (weights as bytes, slope, intercept) from labelled rows that are not held out: about ``max_rows``, with at most ``max_places`` features in all."""
+    usable = small_batches(labels).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("label")).where("_key is not null and label in (0, 1)").where(~held_out(F.col("_key"))).distinct()
     n = usable.count()
     share = min(1.0, max_rows / n) if n else 1.0
     place = F.pmod(F.xxhash64("_key"), F.lit(1 << 20))
@@ -239,14 +241,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     met = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text")).join(F.broadcast(sample), "_key")
     # One text for each key, so that a key of very many rows does not grow the fit.
     once = met.groupBy("_key", "label", "calibrate").agg(F.min("_text").alias("_text"))
-    rows = once.select("label", "calibrate", "_text").mapInArrow(_feature_rows, "label int, calibrate boolean, places binary")
-
-    def train(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["places", "label"], ignore_index=True)
-        weights, slope, intercept = fit_rows([np.frombuffer(p, np.int32) for p in frame["places"]], frame["label"].to_numpy() == 1, frame["calibrate"].to_numpy(bool))
-        return pd.DataFrame({"weights": [weights.tobytes()], "slope": [slope], "intercept": [intercept]})
-
-    found = rows.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(train, "weights binary, slope double, intercept double").collect()
+    rows = cut(once.select("label", "calibrate", "_text").mapInArrow(_feature_rows, "label int, calibrate boolean, places binary").withColumn("_id", F.monotonically_increasing_id()))
+    # In the order of a hash of the features; the sample's rows are few, so one task may add up their sizes.
+    sizes = rows.select("_id", F.xxhash64("places").alias("_hash"), "label", F.octet_length("places").cast("long").alias("_bytes"))
+    upto = F.sum("_bytes").over(Window.orderBy("_hash", "label", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    bounded = rows.join(F.broadcast(sizes.withColumn("_upto", upto).where(F.col("_upto") <= 4 * max_places).select("_id")), "_id", "left_semi").drop("_id")
+
+    def train(table: pa.Table) -> pa.Table:
+        sample = sorted(zip(table.column("places").to_pylist(), table.column("label").to_pylist(), table.column("calibrate").to_pylist(), strict=True), key=lambda r: r[:2])
+        weights, slope, intercept = fit_rows([np.frombuffer(r[0], np.int32) for r in sample], np.array([r[1] == 1 for r in sample], bool), np.array([r[2] for r in sample], bool))
+        return pa.table({"weights": pa.array([weights.tobytes()], pa.binary()), "slope": pa.array([float(slope)]), "intercept": pa.array([float(intercept)])})
+
+    found = bounded.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(train, "weights binary, slope double, intercept double").collect()
     if not found:
         return np.zeros((2, SIZE), np.float32).tobytes(), 0.0, 0.0
     return bytes(found[0]["weights"]), found[0]["slope"], found[0]["intercept"]

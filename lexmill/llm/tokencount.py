@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.llm.common import small_batches
 from lexmill.llm.wordbytes import mix, text_chunks
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
@@ -387,7 +388,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text:
             n_bytes, n_tokens = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (sizes, totals))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())], ["_key", "n_bytes", "n_tokens"])
 
-    out = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text")).mapInArrow(scan, f"_key {kind}, n_bytes long, n_tokens long")
+    out = small_batches(docs).select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text")).mapInArrow(scan, f"_key {kind}, n_bytes long, n_tokens long")
     return out.select(F.col("_key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
@@ -402,7 +403,7 @@ def store_prefix_counts(docs: DataFrame, tokenizer: str, *, key: str = "doc_id",
                 own = held.prefix_counts(batch.column(1)[k].as_py() or "").astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1), pa.array([own], pa.list_(pa.int32()))], ["_key", "prefix_tokens"])
 
-    return docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text")).mapInArrow(scan, f"_key {kind}, prefix_tokens array<int>").withColumnRenamed("_key", key)
+    return small_batches(docs).select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text")).mapInArrow(scan, f"_key {kind}, prefix_tokens array<int>").withColumnRenamed("_key", key)
 
 
 def tokens_of_prefix(stored: DataFrame, n_chars, name: str = "n_tokens") -> DataFrame:

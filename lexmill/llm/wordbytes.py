@@ -6,11 +6,12 @@ byte of a multi-byte character is 0x80 or more, words can be found on bytes with
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 
 IS_WORD = np.zeros(256, np.uint8)
 IS_WORD[0x30:0x3A] = IS_WORD[0x41:0x5B] = IS_WORD[0x61:0x7B] = IS_WORD[0x80:] = 1
@@ -20,7 +21,6 @@ LOWER[0x41:0x5B] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 # Every byte that is in no word as a space, A-Z lower-cased.
 WORDS_ONLY = bytes(int(LOWER[b]) if IS_WORD[b] else 0x20 for b in range(256))
-KEPT_WORDS, LONGEST_KEPT = 100_000, 64
 SLICE = 1 << 20
 
 
@@ -31,19 +31,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """64-bit BLAKE2b hashes of words. Frequent words are worked out once; the table is bounded in words and in bytes."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        if len(word) <= LONGEST_KEPT:
-            if len(self) >= KEPT_WORDS:
-                self.clear()
-            self[word] = value
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words: Python's own, which is SipHash-1-3. Its key is the hash seed, which Spark sets for all workers alike."""
+    if TaskContext.get() is not None and os.environ.get("PYTHONHASHSEED", "random") == "random":
+        raise RuntimeError("PYTHONHASHSEED is not set for this worker: its hashes are not those of others")
+    return np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
 
 
 def text_chunks(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -80,14 +72,14 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return low, starts, ends, np.searchsorted(starts, offsets)
 
 
-def text_words(column: pa.Array, known: WordHashes) -> Iterator[np.ndarray]:
+def text_words(column: pa.Array) -> Iterator[np.ndarray]:
     """The hashes of each text's words, in order. Long texts are read in slices that end between words."""
     for _, _, data, offsets in text_chunks(column):
         for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             if b - a <= SLICE:
-                yield known.of(data[a:b].tobytes().translate(WORDS_ONLY).split())
+                yield word_hashes(data[a:b].tobytes().translate(WORDS_ONLY).split())
             else:
-                yield np.concatenate([known.of(s.translate(WORDS_ONLY).split()) for s in slices(data[a:b])])
+                yield np.concatenate([word_hashes(s.translate(WORDS_ONLY).split()) for s in slices(data[a:b])])
 
 
 def slices(data: np.ndarray, kinds: np.ndarray = IS_WORD, size: int = SLICE) -> Iterator[bytes]:
