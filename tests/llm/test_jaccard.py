@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -116,3 +117,73 @@ def test_components(spark):
                 root[a] = root[b] = min(root[a], root[b])
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r["node"]: r["root"] for r in got} == root and len(got) == len(root)
+
+
+@pytest.mark.parametrize(("rows", "shingles"), [(7, j.BLOCK_SHINGLES), (1, 1)])
+def test_units_of_any_size_give_the_same_links(docs_of, rows, shingles):
+    texts = corpus()
+    got = {r["doc_id"]: tuple(r)[1:] for r in j.classes(docs_of(texts), block_rows=rows, block_shingles=shingles).collect()}
+    assert [got[k] for k in range(len(texts))] == brute(texts)
+
+
+def near_group(n, size=60, seed=9):
+    """Texts that each lack some words of one base text: many pairs about the threshold."""
+    rng = random.Random(seed)
+    base = [f"v{k}" for k in range(size)]
+    return [" ".join(base[: size - rng.randrange(1 + size // 6)] + [f"own{k}"]) for k in range(n)]
+
+
+def test_recall_of_the_forest(docs_of):
+    """Links of groups of near copies and of unlike texts, counted by brute force; the recall is 0.9 at the least, and here 1."""
+    texts = near_group(120) + near_group(60, 40, 3) + corpus()
+    want = sum(links for _, links, _ in brute(texts))
+    got = sum(r["n_links"] for r in j.classes(docs_of(texts), block_rows=32).collect())
+    print(f"recall {got / want:.4f} of {want} links")
+    assert 0.999 * want <= got <= want
+
+
+def test_the_descent_ends_where_enough_is_found(spark, docs_of, monkeypatch):
+    """Copies with one changed word are all met at the deepest prefixes; pairs about the threshold call for shorter ones."""
+    seen = []
+    level = j._level
+    monkeypatch.setattr(j, "_level", lambda *args: seen.append((args[8], args[9])) or level(*args))
+    alike = [" ".join(f"a{g}x{k}" for k in range(400)) + f" end{c}" for g in range(6) for c in range(20)]
+    j.classes(docs_of(alike)).count()
+    first, seen[:] = list(seen), []
+    j.classes(docs_of(near_group(60))).count()
+    assert first[0] == seen[0] == (j.MAX_DEPTH, None) and seen[-1][0] < first[-1][0] <= j.MAX_DEPTH and seen[-1][0] >= j.prefix_depth()
+    assert j.measured_recall(0, 0.0, 0.8, 8, 24) < 0.99 and j.measured_recall(10**7, 0.0, 0.8, 8, 24) > 0.99999
+
+
+def test_units_of_many_short_sets_are_bounded(spark):
+    """A unit of two blocks of near copies: the arrays for its pairs take little memory."""
+    import pyarrow as pa
+
+    rng, n = np.random.default_rng(1), 2 * j.BLOCK_ROWS
+    hashes, pool = j.Hashes(j.TREES, j.MAX_DEPTH), np.unique(rng.integers(0, 1 << 63, 14, np.uint64))
+    sets = [np.sort(np.concatenate([pool[:12], rng.integers(0, 1 << 63, 1, np.uint64)])) for _ in range(n)]
+    rows = {
+        "unit": pa.array([5] * n, pa.int64()), "half": pa.array([1] * (n // 2) + [2] * (n // 2), pa.int32()), "tree": pa.array([0] * n, pa.int32()), "rep": pa.array(range(n), pa.int64()),
+        "n": pa.array([len(s) for s in sets], pa.int32()), "copies": pa.array([1] * n, pa.int64()), "sig": pa.array([hashes.signature(s).tobytes() for s in sets], pa.binary()), "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
+    }
+    table = pa.RecordBatch.from_pydict(rows)
+    tracemalloc.start()
+    out = list(j._verify(0.8, j.TREES, j.TREES * j.MAX_DEPTH, 1, None, [8, 7, 6, 5])(iter([table])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    links = {r: k for b in out for r, k in zip(b.column("rep").to_pylist(), b.column("links").to_pylist(), strict=True)}
+    met = sum(links.values()) // 2
+    assert 0.5 * (n // 2) ** 2 < met <= (n // 2) ** 2 and peak < 300 << 20
+
+
+def test_words_whose_polynomial_hashes_are_equal_are_told_apart(docs_of):
+    word = lambda n, a, b: "".join((a, b)[bin(k).count("1") % 2] for k in range(n))
+    texts = [w for n in (1024, 2048, 4096) for w in (word(n, "a", "b"), word(n, "b", "a"))]
+    got = [tuple(r) for r in j.classes(docs_of(texts)).collect()]
+    assert sorted(got) == [(k, k, 0, 1) for k in range(6)]
+
+
+def test_long_texts_are_read_in_slices(docs_of):
+    long = " ".join(f"w{k}" for k in range(400_000))
+    got = {r["doc_id"]: tuple(r)[1:] for r in j.classes(docs_of([long, long + " more", "x" * 3_000_000 + " y", long.upper()])).collect()}
+    assert got == {0: (0, 2, 2), 1: (0, 2, 1), 2: (2, 0, 1), 3: (0, 2, 2)}
