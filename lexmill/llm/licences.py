@@ -1,7 +1,8 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
 A file's candidate headers are its lines that hold a cue word (licence, copyright, ...), each run of such lines joined
-with the lines between two cues at most three lines apart, and the whole text of a licence file. So that line breaks do not
+with the lines between two cues at most three lines apart, and the whole text of a licence file, which is also held against
+whole texts of short licences, and its first words against the beginnings of long ones. So that line breaks do not
 matter, a template of ``NOTICE_WORDS`` or more is also held against windows of words: each of its sentences is laid over the
 text by every cue word they share, and the best windows together are its candidate, if they hold the names and numbers of
 the template. Where it matches, a template that is only some of its sentences does not count. A candidate and a template are sparse
@@ -14,7 +15,9 @@ directory that has one. Directories, not files, are joined with their ancestors,
 distinct paths, and files meet their directory's answer in one join that adaptive execution can split where a directory
 is hot. A directory with several licence files has the one of the highest score, then of the first path.
 
-Null texts have no licence of their own; null paths have no directory. Repeated rows are each answered.
+Null texts have no licence of their own; null paths have no directory. Texts may be of any length. Of templates with one score
+the last by name counts. Repeated rows are each answered, extra columns may have any name, and an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import cut
+from lexmill.llm.common import cut, small_batches
 
 # The usual short notices of public licences.
 TEMPLATES = (
@@ -53,6 +56,29 @@ TEMPLATES = (
     ("ISC", "Released under the ISC License."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+_MIT_REST = "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+_AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS'
+_BSD_TWO = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_THREE = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_END = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'
+# Whole texts of short licences, as they stand in licence files.
+WHOLE_TEXTS = (
+    ("MIT", f"MIT License. Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, {_MIT_REST} {_AS_IS} OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("BSD-2-Clause", f"{_BSD_TWO} {_BSD_END}"),
+    ("BSD-3-Clause", f"{_BSD_TWO} {_BSD_THREE} {_BSD_END}"),
+    ("ISC", 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'),
+    ("Unlicense", f'This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. {_AS_IS} BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
+)
+_VERBATIM = "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+# How the texts of long licences begin.
+TITLES = (
+    ("GPL-3.0", f"GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_VERBATIM}"),
+    ("GPL-2.0", f"GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc. {_VERBATIM}"),
+    ("LGPL-3.0", f"GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_VERBATIM}"),
+    ("AGPL-3.0", f"GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_VERBATIM}"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions 1.1. Contributor means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software."),
+)
 CUES = frozenset("license licence licenses licences licensed licensing copyright copying copyleft permission redistribution unencumbered gnu cc0 spdx".split())
 THRESHOLD = 0.75
 FILE_WORDS = 60
@@ -81,6 +107,8 @@ class Matcher:
         self.idf, self.threshold = idf, threshold
         self.other = sum(idf.values()) / len(idf)
         self.templates = [(name, self.vector(words(t))) for name, t in TEMPLATES]
+        self.wholes = [(name, self.vector(words(t))) for name, t in WHOLE_TEXTS]
+        self.titles = [(name, self.vector(words(t)), len(words(t))) for name, t in TITLES]
         self.notices = []
         for (name, t), (_, vector) in zip(TEMPLATES, self.templates, strict=True):
             parts = [words(p) for p in SENTENCE.split(t)]
@@ -97,7 +125,16 @@ class Matcher:
 
     def best(self, text: str) -> tuple[str | None, float]:
         own = self.vector(words(text))
-        score, name = max(((sum(x * own.get(w, 0.0) for w, x in t.items()), n) for n, t in self.templates), key=lambda p: (round(p[0], 9), p[1]))
+        return self._best([(self.cosine(t, own), n) for n, t in self.templates])
+
+    def of_file(self, text: str) -> tuple[str | None, float]:
+        """Licence whose whole text the file is, or with whose first words it begins."""
+        tokens = words(text)
+        own = self.vector(tokens)
+        return self._best([*[(self.cosine(t, own), n) for n, t in self.wholes], *[(self.cosine(t, self.vector(tokens[:size])), n) for n, t, size in self.titles]])
+
+    def _best(self, scores: list[tuple[float, str]]) -> tuple[str | None, float]:
+        score, name = max(scores, key=lambda p: (round(p[0], 9), p[1]))
         return (name, round(score, 6)) if score >= self.threshold else (None, round(score, 6))
 
     @staticmethod
@@ -142,7 +179,7 @@ class Matcher:
             spans.add(run)
         found = [self.best("\n".join(lines[a : b + 1])) for a, b in sorted(spans)]
         if licence_file:
-            found.append(self.best(text))
+            found += [self.best(text), self.of_file(text)]
         whole, inner = self.windows(text)
         found = [f for f in found if f[0] not in inner] + whole
         return max(found, key=lambda f: (f[0] is not None, f[1], f[0] or ""))
@@ -161,7 +198,7 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, dict
         names = ["", *seen]
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([total, *[seen[w] for w in names[1:]]], pa.int64())], ["word", "n"])
 
-    rows = docs.select(F.col(text).cast("string").alias("_text")).mapInArrow(scan, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = small_batches(docs).select(F.col(text).cast("string").alias("_text")).mapInArrow(scan, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     counts = {r["word"]: r["n"] for r in rows}
     return counts.pop("", 0), counts
 
@@ -210,7 +247,8 @@ def inherit(files: DataFrame) -> DataFrame:
     named = files.where("licence_file and _dir is not null").groupBy("_dir").agg(F.min(F.struct((-F.col("own_score")).alias("s"), "path", "own_licence")).alias("m")).select(F.col("_dir").alias("_up"), F.col("m.own_licence").alias("_licence"))
     directories = files.where("_dir is not null").groupBy("_dir").agg(F.count("*").alias("_n")).select("_dir", F.explode(ancestors_of(F.col("_dir"))).alias("_up"))
     nearest = directories.join(named, "_up").groupBy("_dir").agg(F.max(F.struct(F.length("_up").alias("n"), F.col("_up").alias("up"), F.col("_licence").alias("licence"))).alias("a"))
-    joined = files.join(nearest, "_dir", "left")
+    # The second key keeps the join from reusing the aggregation's partitions, so adaptive execution may split a hot directory.
+    joined = files.withColumn("_k", F.xxhash64("_dir")).join(nearest.withColumn("_k", F.xxhash64("_dir")), ["_dir", "_k"], "left").drop("_k")
     return joined.withColumn("licence", F.coalesce("own_licence", "a.licence")).withColumn("licence_from", F.when(F.col("own_licence").isNotNull(), F.lit("own")).otherwise(F.col("a.up"))).drop("a", "_dir")
 
 

@@ -1,6 +1,9 @@
 import math
+import re
+import textwrap
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +116,44 @@ def test_windows_need_the_names_of_their_template():
     matcher = lic.Matcher({w: 1.0 for w in lic.template_words()})
     for other in (GPL_NOTICE.replace("version 3", "version 2"), GPL_NOTICE.replace("GNU General", "GNU Lesser General")):
         assert matcher.windows(other)[0] == []
+
+
+def wrapped(text, width=70, lead=""):
+    return "\n".join(lead + x for x in textwrap.wrap(text, width))
+
+
+@pytest.mark.parametrize("name, text", lic.WHOLE_TEXTS + lic.TITLES)
+def test_licence_files_are_known_by_their_whole_text_or_beginning(name, text):
+    """With a copyright line in front and, for the long licences, much text behind; elsewhere the same words decide nothing."""
+    matcher = lic.Matcher({w: 1.0 + k % 3 for k, w in enumerate(lic.template_words())})
+    rest = "" if (name, text) in lic.WHOLE_TEXTS else " Preamble. The following terms hold for all that stands here." * 300
+    for lead in ("", "Copyright (c) 2020 Some Author\n\n" if not rest else "   "):
+        assert matcher.file(lead + wrapped(text + rest), True)[0] == name
+    assert matcher.file("prose " * 500 + "license", True)[0] is None
+
+
+def test_scores_are_those_of_a_plain_cosine(spark):
+    """TF-IDF and cosine by NumPy over one-line headers, whose only candidate is the line itself."""
+    lines = ["Released under the MIT License.", "Released under some other license today", "Licensed under CC BY 4.0. and more words", "this software has a GNU license, version 3, so we say", "license", "no cue at all", "Released under the MIT License. Released under the MIT License."]
+    got = {r["doc_id"]: r for r in lic.own_licences(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), F.lit("a/b.txt")).withColumnRenamed("_key", "doc_id").collect()}
+    split = lambda t: re.findall(r"[0-9a-z]+", t.lower())
+    templates = [(n, split(t)) for n, t in lic.TEMPLATES]
+    known = sorted({w for _, t in templates for w in t})
+    idf = {w: math.log((len(lines) + 1) / (sum(w in split(x) for x in lines) + 1)) + 1 for w in known}
+    mean = float(np.mean([idf[w] for w in known]))
+
+    def cosine(a, b):
+        every = sorted({*a, *b})
+        x, y = (np.array([t.count(w) * idf.get(w, mean) for w in every]) for t in (a, b))
+        return float(x @ y / np.sqrt((x @ x) * (y @ y)))
+
+    for k, line in enumerate(lines):
+        score, name = max((round(cosine(split(line), t), 9), n) for n, t in templates)
+        cue = any(c in split(line) for c in lic.CUES)
+        assert got[k]["own_score"] == (pytest.approx(score, abs=2e-6) if cue else 0.0) and got[k]["own_licence"] == (name if cue and score >= lic.THRESHOLD else None), line
+
+
+def test_a_hot_directory_is_one_answer_for_all_its_files(spark):
+    rows = [(k, f"hot/f{k}.py", "code") for k in range(500)] + [(900, "hot/LICENSE", MIT), (901, "LICENSE", GPL), (902, "x.py", None)]
+    got = {r["doc_id"]: (r["licence"], r["licence_from"]) for r in lic.scan_licences(spark.createDataFrame(rows, "doc_id long, file string, text string"), F.col("file")).collect()}
+    assert {got[k] for k in range(500)} == {("MIT", "hot")} and got[902] == ("GPL-3.0", "")
