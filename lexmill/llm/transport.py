@@ -8,6 +8,9 @@ packets and keeps their time stamps and random-access points.
 
 The stream depends on the payload alone, so equal texts have equal media. Nothing is kept beyond one text at a time,
 and a text may be as long as a value can be.
+
+Null and empty texts are 64 zero bytes; null media have null features. Repeated rows are each stored, ties do not arise, extra
+columns may have any name, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
