@@ -47,7 +47,9 @@ def squeeze(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(rx(r"\S+")))
+    """Words are what stands between white space: one more than the single spaces that are left when it is squeezed."""
+    spaces = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
+    return let(squeeze(c), lambda x: F.when(x.isNotNull(), F.when(x == "", F.lit(0)).otherwise(spaces(x) + 1)))
 
 
 def approx_tokens(words: Column) -> Column:
@@ -73,14 +75,12 @@ def find_distinct(c: Column, pattern: str) -> Column:
 
 
 def title_case(c: Column) -> Column:
-    """A letter after a letter in lower case, any other letter in upper case (``initcap`` only looks at spaces)."""
-    start = F.struct(F.lit("").alias("out"), F.lit(False).alias("inside"))
+    """A letter after a letter in lower case, any other letter in upper case.
 
-    def step(acc: Column, x: Column) -> Column:
-        shown = F.when(acc["inside"], F.lower(x)).otherwise(F.upper(x))
-        return F.struct(F.concat(acc["out"], shown).alias("out"), x.rlike(r"^\p{L}$").alias("inside"))
-
-    return F.when(c.isNotNull(), F.aggregate(F.split(c, ""), start, step)["out"])
+    ``initcap`` only looks at spaces, so one is put behind every other mark that a letter follows, after a byte that marks it.
+    """
+    apart = F.regexp_replace(c, r"([^\p{L} ])(?=\p{L})", "$1\u0000 ")
+    return F.replace(F.initcap(apart), F.lit("\u0000 "), F.lit(""))
 
 
 @F.pandas_udf(T.StringType())

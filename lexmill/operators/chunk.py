@@ -93,11 +93,12 @@ def word_chunks(text: Column, size: int = SIZE, overlap: int = OVERLAP) -> Colum
     return F.when(n == 0, F.array().cast("array<string>")).when(fits, F.array(strip(text))).otherwise(packed)
 
 
-def numbered(docs: DataFrame, chunks: Column, *, key: str = "case_id", least_words: int = LEAST_WORDS) -> DataFrame:
-    """A row for each chunk of ``least_words`` or more: key, chunk_index from 0, text, char_count, approx_token_count, total_chunks."""
-    kept = docs.select(key, chunks.alias("_chunks")).select(key, F.filter("_chunks", lambda c: word_count(c) >= least_words).alias("_chunks"))
-    spread = kept.select(key, F.size("_chunks").alias("total_chunks"), F.posexplode("_chunks").alias("chunk_index", "text"))
-    return spread.select(key, "chunk_index", "text", F.length("text").alias("char_count"), approx_tokens(word_count(F.col("text"))).alias("approx_token_count"), "total_chunks")
+def numbered(docs: DataFrame, chunks: Column, *, key: str = "case_id", least_words: int = LEAST_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each chunk of ``least_words`` or more: key, chunk_index from 0, text, char_count, approx_token_count, total_chunks, and the columns to ``carry``."""
+    counted = docs.select(key, *carry, chunks.alias("_chunks")).withColumn("_chunks", F.transform("_chunks", lambda c: F.struct(c.alias("text"), word_count(c).alias("words"))))
+    kept = counted.withColumn("_chunks", F.filter("_chunks", lambda c: c["words"] >= least_words))
+    spread = kept.select(key, *carry, F.size("_chunks").alias("total_chunks"), F.posexplode("_chunks").alias("chunk_index", "_c"))
+    return spread.select(key, "chunk_index", F.col("_c.text").alias("text"), F.length("_c.text").alias("char_count"), approx_tokens(F.col("_c.words")).alias("approx_token_count"), "total_chunks", *carry)
 
 
 def chunk(docs: DataFrame, *, key: str = "case_id", text: str = "clean_text", size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:

@@ -416,12 +416,11 @@ def vector_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def semantic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One question over all documents: clean, chunk, embed, rank, join back."""
     docs = clean.clean(_t(spark, sf_dir, "documents"), "text")
-    made = chunk.numbered(docs, chunk.recursive_chunks(F.col("clean_text")), key="doc_id")
+    made = chunk.numbered(docs, chunk.recursive_chunks(F.col("clean_text")), key="doc_id", carry=("lang", "source"))
     embedded = embed.embed(made)
     near = embedded.withColumn("score", index.inner_product(F.col("embedding"), index.literal_vector(embed.query_vector(spark, "licensed under the general public license"))))
     best = near.orderBy(F.desc("score"), "doc_id", "chunk_index").limit(K)
-    about = docs.select("doc_id", "lang", "source")
-    return about.join(F.broadcast(best.select("doc_id", "chunk_index", F.round("score", 4).alias("score"), "text")), "doc_id")
+    return best.select("doc_id", "lang", "source", "chunk_index", F.round("score", 4).alias("score"), "text")
 
 
 query()(semantic_search)
@@ -431,17 +430,22 @@ query()(semantic_search)
 _FILTERS = searching.Filters(year_from=1993, year_to=1999, case_type="petition", outcome="allow", act_cited="act")
 
 
-def _cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata of all judgments, with a rank that ties them to vectors: vector n belongs to the n-th order."""
-    done = metadata.extract(judgments(spark, sf_dir), text="text", as_of=AS_OF)
+def _cases(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    """Metadata of all judgments (``only``: of those whose doc_id is there), with a rank that ties them to vectors: vector n belongs to the n-th order."""
+    texts = judgments(spark, sf_dir)
+    done = metadata.extract(texts if only is None else texts.join(only, "doc_id", "left_semi"), text="text", as_of=AS_OF)
     return done.withColumn("file_name", F.substring_index("file_path", "/", -1)).withColumn("case_id", F.concat(F.lit("case"), F.col("doc_id")))
 
 
 def _search(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    rows = _index(spark, sf_dir).select("vec_id", F.concat(F.lit("case"), F.col("vec_id") + 1).alias("case_id"), F.lit(0).alias("chunk_index"), "embedding")
+    """Only cases that can be hits are read for metadata: those of the nearest vectors, or before filtering those of all vectors."""
+    vectors, asked = _index(spark, sf_dir), _query(spark, sf_dir)
+    rows = vectors.select("vec_id", F.concat(F.lit("case"), F.col("vec_id") + 1).alias("case_id"), F.lit(0).alias("chunk_index"), "embedding")
     chunks = rows.select("vec_id", "case_id", "chunk_index", F.concat(F.lit("chunk "), F.col("vec_id")).alias("text"))
     request = searching.Request("a question", K, _FILTERS, mode=mode)
-    hits = searching.search(rows, chunks, materialise(_cases(spark, sf_dir)), request, _query(spark, sf_dir))
+    can_be = index.top_k(rows, asked, K * searching.OVERSAMPLE) if mode == "post" else rows
+    cases = materialise(_cases(spark, sf_dir, can_be.select((F.col("vec_id") + 1).alias("doc_id"))))
+    hits = searching.search(rows, chunks, cases, request, asked)
     return hits.select("rank", "score", F.col("case.case_id").alias("case_id"), F.col("case.case_type").alias("case_type"), F.col("case.outcome").alias("outcome"), F.col("case.year").alias("year"), "chunk_text")
 
 

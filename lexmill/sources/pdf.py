@@ -1,8 +1,9 @@
 """PDF files as a source: discovery, content hashes and text by a cascade of extractors.
 
 An extractor is a function from a file's bytes to (text, pages). The first one that does not raise and gives enough text
-wins; later ones, which cost more, only see the files on which those before them failed. One needs no library: it reads
-uncompressed and Flate-compressed content streams and their text operators. The others are used where installed.
+wins; later ones only see the files on which those before them failed. Two libraries come first, where they are installed. The
+next needs none: it reads uncompressed and Flate-compressed content streams and their text operators, but no font maps, so it
+only stands in for them. Character recognition costs most and comes last.
 """
 
 from __future__ import annotations
@@ -98,7 +99,7 @@ def tesseract_text(content: bytes) -> tuple[str, int]:
         return "\n".join(pytesseract.image_to_string(s, lang="eng") for s in shots), len(shots)
 
 
-CASCADE: tuple[tuple[str, Extractor], ...] = (("pymupdf", pymupdf_text), ("builtin", builtin_text), ("pdfplumber", pdfplumber_text), ("tesseract", tesseract_text))
+CASCADE: tuple[tuple[str, Extractor], ...] = (("pymupdf", pymupdf_text), ("pdfplumber", pdfplumber_text), ("builtin", builtin_text), ("tesseract", tesseract_text))
 
 
 def sufficient(text: str) -> bool:

@@ -53,7 +53,7 @@ def test_hyphens_punctuation_space(spark):
 
 def test_noise_goes_and_the_number_stays(spark):
     got = run(spark, clean.clean_text, NOISY)[0]
-    assert "Kanoon" not in got and "Page 1" not in got and "JURISDICTION" not in got and "CIVIL APPEAL NO. 5 OF 2011" in got
+    assert "Kanoon" not in got and "Page 1" not in got and "JURISDICTION" not in got and "Criminal Appeal No. 5 of 2011" in got and "Page 3" not in got and "18" not in got and "example.org" not in got
 
 
 def test_counts_and_empty_flag(spark):
