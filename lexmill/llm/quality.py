@@ -19,6 +19,7 @@ score of just the threshold is good. Extra columns may have any name. Repeated r
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import pairwise
 
 import numpy as np
@@ -140,28 +141,43 @@ class Features:
         return np.flatnonzero(seen).astype(np.int32)
 
 
-def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], signs: np.ndarray, costs: np.ndarray, *, epochs: int = 12, tolerance: float = 1e-3, seed: int = 7) -> np.ndarray:
+def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray] | UnitRows, signs: np.ndarray, costs: np.ndarray, *, epochs: int = 12, tolerance: float = 1e-3, seed: int = 7) -> np.ndarray:
     """Weights that minimise |w|^2 / 2 + sum of cost * hinge loss. A row: places and values; its dual variable stays in [0, cost]."""
     weights, alpha = np.zeros(SIZE), np.zeros(len(rows))
-    squares = np.array([float(v @ v) for v in values])
+    squares = np.array([float(v @ v) for v in (values[i] for i in range(len(rows)))])
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         worst = 0.0
         for i in rng.permutation(len(rows)).tolist():
             if squares[i] == 0:
                 continue
-            gradient = signs[i] * float(weights[rows[i]] @ values[i]) - 1
+            own = values[i]
+            gradient = signs[i] * float(weights[rows[i]] @ own) - 1
             projected = min(gradient, 0) if alpha[i] == 0 else max(gradient, 0) if alpha[i] == costs[i] else gradient
             worst = max(worst, abs(projected))
             if projected:
                 new = min(max(alpha[i] - gradient / squares[i], 0.0), costs[i])
-                weights[rows[i]] += (new - alpha[i]) * signs[i] * values[i]
+                weights[rows[i]] += (new - alpha[i]) * signs[i] * own
                 alpha[i] = new
         if worst < tolerance:
             break
     return weights
 
 
+class UnitRows:
+    """Rows of scaled indicators with unit length, each made when it is asked for: only the features' places are kept."""
+
+    def __init__(self, rows: list[np.ndarray], ratio: np.ndarray):
+        self.rows, self.ratio = rows, ratio
+        self.norms = np.array([float(np.sqrt(ratio[r] @ ratio[r])) or 1.0 for r in rows])
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.ratio[self.rows[i]] / self.norms[i]
+
+
 def log_ratios(rows: list[np.ndarray], positive: np.ndarray, smooth: float = 1.0) -> np.ndarray:
     """Per feature: log of (count in class 1 / all of class 1) / (count in class 0 / all of class 0), counts smoothed."""
     count = [np.full(SIZE, smooth), np.full(SIZE, smooth)]
@@ -200,12 +216,10 @@ def fit_rows(rows: list[np.ndarray], positive: np.ndarray, calibrate: np.ndarray
     curve = calibrate if not fit.all() and 0 < positive[calibrate].sum() < calibrate.sum() else fit
     used = [r for r, f in zip(rows, fit.tolist(), strict=True) if f]
     ratio = log_ratios(used, positive[fit])
-    values = [ratio[r] for r in used]
-    values = [v / (np.sqrt(float(v @ v)) or 1.0) for v in values]
     signs = np.where(positive[fit], 1.0, -1.0)
     n1, n0 = (signs > 0).sum(), (signs < 0).sum()
     costs = np.where(signs > 0, cost * len(signs) / (2 * n1), cost * len(signs) / (2 * n0))
-    weights = dual_coordinate_descent(used, values, signs, costs)
+    weights = dual_coordinate_descent(used, UnitRows(used, ratio), signs, costs)
     margins = np.array([margin(r, ratio, weights * ratio) for r, c in zip(rows, curve.tolist(), strict=True) if c])
     return np.stack([ratio, weights * ratio]).astype(np.float32), *logistic_curve(margins, positive[curve])
 
@@ -248,8 +262,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     bounded = rows.join(F.broadcast(sizes.withColumn("_upto", upto).where(F.col("_upto") <= 4 * max_places).select("_id")), "_id", "left_semi").drop("_id")
 
     def train(table: pa.Table) -> pa.Table:
-        sample = sorted(zip(table.column("places").to_pylist(), table.column("label").to_pylist(), table.column("calibrate").to_pylist(), strict=True), key=lambda r: r[:2])
-        weights, slope, intercept = fit_rows([np.frombuffer(r[0], np.int32) for r in sample], np.array([r[1] == 1 for r in sample], bool), np.array([r[2] for r in sample], bool))
+        # The rows stay where Arrow has them; their order is that of a digest, so that it is the same in every run.
+        places, labels = table.column("places").combine_chunks(), table.column("label").to_numpy()
+        ends, raw = np.frombuffer(places.buffers()[1], np.int32)[places.offset : places.offset + len(places) + 1] // 4, places.buffers()[2]
+        every = np.frombuffer(raw, np.int32) if raw is not None and len(raw) else np.zeros(0, np.int32)
+        rows = [every[a:b] for a, b in pairwise(ends.tolist())]
+        order = sorted(range(len(rows)), key=lambda k: (blake2b(rows[k], digest_size=16).digest(), labels[k]))
+        weights, slope, intercept = fit_rows([rows[k] for k in order], labels[order] == 1, table.column("calibrate").to_numpy()[order].astype(bool))
         return pa.table({"weights": pa.array([weights.tobytes()], pa.binary()), "slope": pa.array([float(slope)]), "intercept": pa.array([float(intercept)])})
 
     found = bounded.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(train, "weights binary, slope double, intercept double").collect()

@@ -173,3 +173,9 @@ def test_the_fit_is_bounded_by_its_features(tables):
     docs, labels, _ = tables
     assert q.fit(docs, labels, max_places=1 << 30) == q.fit(docs, labels) != q.fit(docs, labels, max_places=3000)
     assert q.fit(docs, labels, max_places=0)[1:] == (0.0, 0.0)
+
+
+def test_a_fit_without_any_feature(docs_of, spark):
+    docs = docs_of(["", None, "", "", " "] * 6)
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(30)], "doc_id long, quality int, toxic int")
+    assert len({r["score"] for r in q.score(docs, labels).collect()}) == 1
