@@ -398,14 +398,37 @@ def vector_self_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.top_k_each(rows, asked, K).select("query_id", "vec_id", F.round("score", 4).alias("score"), "rank")
 
 
+N_LISTS, IVF_RECALL = 256, 0.95
+
+
+def _inverted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[list[float]]]:
+    """The vectors by list, the query set (numbers divisible by 100), and the lists' centres."""
+    rows = _index(spark, sf_dir)
+    centres = index.train_lists(rows, N_LISTS)
+    listed = materialise(index.assign_lists(rows, centres))
+    return listed, listed.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), centres
+
+
 @query()
 def vector_ivf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists by trained centres, the nearest lists probed."""
-    rows = _index(spark, sf_dir)
-    centres = index.train_lists(rows, 16)
-    listed = index.assign_lists(rows, centres)
-    q = _query(spark, sf_dir)
-    return index.top_k(listed, q, K, index.probed_lists(centres, q, 8)).select("vec_id", "list_id", F.round("score", 4).alias("score"))
+    """The nearest vectors of the query set in as many lists as give the recall, measured by an exact search."""
+    listed, asked, centres = _inverted(spark, sf_dir)
+    n_probe = index.probes_for(listed, centres, asked, K, IVF_RECALL) if centres else 0
+    return index.top_k_each(listed, asked, K, centres=centres, n_probe=n_probe).select("query_id", "vec_id", F.round("score", 4).alias("score"), "rank")
+
+
+@query(ORACLE_SQL["vector_self_hit"])
+def vector_ivf_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lists probed: the exact answer by way of the lists."""
+    listed, asked, centres = _inverted(spark, sf_dir)
+    return index.top_k_each(listed, asked, K, centres=centres, n_probe=len(centres)).select("query_id", "vec_id", F.round("score", 4).alias("score"), "rank")
+
+
+@query("SELECT vec_id, true AS listed FROM embeddings")
+def vector_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector is in one list."""
+    listed, _, centres = _inverted(spark, sf_dir)
+    return listed.select("vec_id", F.col("list_id").between(0, max(len(centres) - 1, 0)).alias("listed"))
 
 
 @query("SELECT CAST(row_number() OVER (ORDER BY doc_id, total, label) - 1 AS BIGINT) AS vec_id, doc_id FROM (SELECT doc_id, n_chars AS total, source AS label FROM documents)")
@@ -538,6 +561,12 @@ def vector_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.fill_vector_ids(chunks, ids)
 
 
+@query("SELECT l_orderkey AS case_id, l_linenumber AS chunk_index, l_partkey AS vec_id FROM lineitem WHERE l_partkey IN (1, 5, 77, 1000000007)")
+def chunks_by_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").alias("chunk_index"), F.col("l_partkey").alias("vec_id"))
+    return keyed.chunks_by_vector(rows, [1, 5, 77, 1000000007])
+
+
 _TRANSITIONS_SQL = "SELECT 'user/' || user_id AS file_path, CASE event_type WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'failed' ELSE 'in_progress' END AS status, event_id, ts FROM events"
 _LATEST_SQL = f"SELECT file_path, status, event_id FROM (SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY ts DESC, event_id DESC) AS r FROM ({_TRANSITIONS_SQL})) WHERE r = 1"
 

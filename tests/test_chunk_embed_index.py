@@ -107,3 +107,34 @@ def test_inverted_lists(spark, rows):
     assert [r["vec_id"] for r in everywhere] == [r["vec_id"] for r in index.top_k(flat, q, 5).collect()]
     assert index.top_k(listed, q, 1, index.probed_lists(centres, q, 1)).first()["vec_id"] == 11
     assert index.assign_lists(flat, []).select("list_id").distinct().collect()[0][0] == 0
+
+
+def test_inverted_lists_reach_their_recall(spark):
+    """Of many queries, by the lists that a measurement asks for; all lists give the exact answer."""
+    rng = np.random.default_rng(8)
+    m = rng.normal(size=(1500, 24))
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    flat = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(m)], "vec_id long, embedding array<float>")
+    centres = index.train_lists(flat, 32)
+    listed = index.assign_lists(flat, centres)
+    asked = flat.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    n = index.probes_for(listed, centres, asked, 10, 0.95)
+    exact = {(r["query_id"], r["rank"]): r["vec_id"] for r in index.top_k_each(flat, asked, 10).collect()}
+    want = {(int(q) * 20, k + 1): int(v) for q in range(75) for k, v in enumerate(np.argsort(-(m.astype(np.float32) @ m[q * 20].astype(np.float32)), kind="stable")[:10])}
+    assert sum(exact[x] == want[x] for x in want) >= len(want) - 4  # sums of floats may differ in the last place
+    some = {(r["query_id"], r["vec_id"]) for r in index.top_k_each(listed, asked, 10, centres=centres, n_probe=n).collect()}
+    recall = sum((q, v) in some for (q, _), v in exact.items()) / len(exact)
+    print(f"recall {recall:.3f} with {n} of 32 lists")
+    assert 0.9 <= recall and n < 32
+    full = {(r["query_id"], r["rank"]): r["vec_id"] for r in index.top_k_each(listed, asked, 10, centres=centres, n_probe=32).collect()}
+    assert full == exact
+
+
+def test_many_equal_vectors_and_blocks_of_queries(spark, monkeypatch):
+    flat = spark.createDataFrame([(k, [1.0, 0.0]) for k in range(300)] + [(900, None)], "vec_id long, embedding array<float>")
+    asked = spark.createDataFrame([(f"q{k}", [1.0, 0.0]) for k in range(5)], "query_id string, query array<float>")
+    for most in (10_000, 2):
+        monkeypatch.setattr(index, "MAX_BROADCAST_QUERIES", most)
+        got = index.top_k_each(flat.repartition(3), asked, 4).collect()
+        assert sorted((r["query_id"], r["vec_id"], r["rank"]) for r in got) == [(f"q{q}", k, k + 1) for q in range(5) for k in range(4)]
+    assert index.top_k_each(flat, asked.limit(0), 4).count() == 0 == index.top_k_each(flat.limit(0), asked, 4).count()
