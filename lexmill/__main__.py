@@ -1,4 +1,4 @@
-"""Command line: ``init``, ``ingest`` and ``search``."""
+"""Command line: ``init``, ``ingest``, ``lists`` and ``search``."""
 
 from __future__ import annotations
 
@@ -23,6 +23,8 @@ def main(args: list[str] | None = None) -> None:
     take.add_argument("--limit", type=int, default=0)
     take.add_argument("--retry-failed", action="store_true")
     take.add_argument("--embedding-batch-size", type=int)
+    lists = commands.add_parser("lists", help="store the index by inverted lists")
+    lists.add_argument("--n-lists", type=int)
     look = commands.add_parser("search", help="find chunks")
     look.add_argument("query")
     look.add_argument("--top-k", type=int, default=10)
@@ -31,13 +33,15 @@ def main(args: list[str] | None = None) -> None:
     given = top.parse_args(args)
     settings = Settings.load()
     spark = get_session()
-    if given.command == "ingest" and given.embedding_batch_size:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", given.embedding_batch_size)
+    if given.command == "ingest":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", given.embedding_batch_size or settings.embedding_batch_size)
     engine = Engine(spark, given.store, settings)
     if given.command == "init":
         engine.store.create(drop=given.drop_all)
     elif given.command == "ingest":
         print(json.dumps(ingest.run(spark, engine.store, given.pdf_dir or settings.pdf_dir, settings, limit=given.limit or None, retry_failed=given.retry_failed)))
+    elif given.command == "lists":
+        print(json.dumps({"lists": ingest.rebuild_lists(engine.store, given.n_lists or settings.n_lists or 256)}))
     else:
         filters = Filters(given.year_from, given.year_to, given.case_type, given.outcome, given.judge_name, given.act_cited)
         print(engine.search(Request(given.query, given.top_k, filters)).toJSON().first())

@@ -1,8 +1,8 @@
 """Ingest: files to cases, chunks and vectors, resumable by file, committed at once.
 
 One run: discover, cut to a limit, drop what the checkpoint says is done, extract, clean, read metadata, keep the first file
-of each case, chunk, embed, index; then cases, chunks, index, checkpoint and run are published together. A file is "done"
-only with its vectors. Content that was ingested before, under any path, replaces its case's chunks and vectors.
+of each case, chunk, embed, index; then what changed of cases, chunks, index and checkpoint is published together. A file is
+"done" only with its vectors. Content that was ingested before, under any path, replaces its case's chunks and vectors.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from lexmill.config import Settings
 from lexmill.operators import chunk, clean, embed, index, keyed, metadata, runs
 from lexmill.session import materialise
 from lexmill.sources import pdf
-from lexmill.sources.store import Store
+from lexmill.sources.store import Change, Store
 
 NOW = "timestamp_ntz"
 
@@ -44,20 +44,17 @@ def process(store: Store, raw: DataFrame, settings: Settings, *, run_id: str, em
     fresh = materialise(fresh)
 
     value_columns = [c for c in cases_now.columns if c not in ("created_at", "updated_at")]
-    cases = keyed.upsert(cases_now, fresh.select(*value_columns), "file_hash", now=now)
+    # Only rows that change are written: those of files that were there before keep their time of creation.
+    cases = keyed.upsert(keyed.existing(cases_now, fresh, "file_hash"), fresh.select(*value_columns), "file_hash", now=now)
     made = chunk.chunk(fresh, size=settings.chunk_size, overlap=settings.chunk_overlap).withColumn("created_at", now)
     # A file whose content has changed its case's name leaves the old name's chunks behind: they go as well.
     renamed = cases_now.join(fresh.select("file_hash"), "file_hash", "left_semi").select("case_id")
-    gone = fresh.select("case_id").unionByName(renamed).distinct()
+    gone = materialise(fresh.select("case_id").unionByName(renamed).distinct())
     embedded = embed.embed(made, embedding=embedding)
-    old_index = keyed.missing(store.read("index"), gone, "case_id")
-    first = old_index.agg(F.coalesce(F.max("vec_id") + 1, F.lit(0).cast("long")).alias("n")).first()["n"]
-    new_index = index.build_flat(embedded, first)
+    first = store.read("index").agg(F.coalesce(F.max("vec_id") + 1, F.lit(0).cast("long")).alias("n")).first()["n"]
     centres = [r["centre"] for r in store.read("centres").orderBy("list_id").collect()]
-    all_index = materialise(old_index.unionByName(index.assign_lists(new_index, centres)))
+    new_index = materialise(index.assign_lists(index.build_flat(embedded, first).drop("list_id"), centres))
     new_chunks = keyed.fill_vector_ids(made, new_index)
-    old_chunks = keyed.missing(store.read("chunks"), gone, "case_id")
-    chunks = old_chunks.unionByName(new_chunks.select(*old_chunks.columns))
 
     failed = docs.where("reason is not null").select("file_path", F.col("reason").alias("error"))
     clash = lambda rows: rows.select("file_path", F.concat(F.lit("case_id of another file: "), F.col("case_id")).alias("error"))
@@ -65,10 +62,14 @@ def process(store: Store, raw: DataFrame, settings: Settings, *, run_id: str, em
     done = fresh.select("file_path", "case_id").unionByName(twins.select("file_path", "case_id"))
     states = runs.transitions(done, runs.DONE, case_id=F.col("case_id")).unionByName(runs.transitions(failed, runs.FAILED, error=F.col("error")))
     states = materialise(states)
-    checkpoint = runs.merge_checkpoint(store.read("checkpoint"), states)
-    store.commit({"cases": cases, "chunks": chunks, "index": all_index, "checkpoint": checkpoint})
+    store.commit({
+        "cases": Change(materialise(cases), "file_hash", fresh), "chunks": Change(new_chunks, "case_id", gone), "index": Change(new_index, "case_id", gone),
+        "checkpoint": Change(states, "file_path", states),
+    })
+    if settings.n_lists and not centres:
+        rebuild_lists(store, settings.n_lists)
     row = states.agg(F.count(F.when(F.col("status") == runs.DONE, 1)).alias("processed"), F.count(F.when(F.col("status") == runs.FAILED, 1)).alias("failed")).first()
-    return {"processed": row["processed"], "failed": row["failed"], "vectors": all_index.count()}
+    return {"processed": row["processed"], "failed": row["failed"], "vectors": store.read("index").count()}
 
 
 def _run_row(spark: SparkSession, run_id: str, status: str, total: int, processed: int = 0, failed: int = 0, skipped: int = 0, error: str | None = None) -> DataFrame:
@@ -88,7 +89,7 @@ def record_run(store: Store, *args, **values) -> None:
     events = store.read("runs")
     begun = events.where(F.col("run_id") == args[0]).agg(F.min("started_at").alias("_begun"))
     row = row.join(F.broadcast(begun)).withColumn("started_at", F.coalesce("started_at", "_begun")).drop("_begun")
-    store.commit({"runs": materialise(events.unionByName(row))})
+    store.commit({"runs": Change(materialise(row))})
 
 
 def run(spark: SparkSession, store: Store, pdf_dir: str, settings: Settings | None = None, *, limit: int | None = None, retry_failed: bool = False, run_id: str | None = None, cascade=pdf.CASCADE, embedding: Callable[[Column], Column] = embed.hashed_embedding) -> dict:
@@ -114,9 +115,14 @@ def run(spark: SparkSession, store: Store, pdf_dir: str, settings: Settings | No
 
 
 def rebuild_lists(store: Store, n_lists: int) -> int:
-    """Train inverted lists on the whole index and store it by list; the number of lists (0: too few vectors, flat)."""
+    """Train inverted lists on the whole index and store it by list; the number of lists (0: too few vectors, flat).
+
+    An ingest does this by itself once there are ``Settings.n_lists`` vectors; later vectors join the lists that are there.
+    """
     rows = store.read("index")
     centres = index.train_lists(rows, n_lists)
+    if not centres:
+        return 0
     table = store.spark.createDataFrame([(k, c) for k, c in enumerate(centres)], "list_id int, centre array<double>")
     store.commit({"index": materialise(index.assign_lists(rows, centres)), "centres": table})
     return len(centres)

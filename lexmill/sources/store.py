@@ -1,14 +1,18 @@
 """A store of Parquet tables with whole-store commits, on any file system that Spark reaches.
 
-A commit writes new versions of some tables to folders of their own, then publishes all of them at once by creating the
-next manifest file, which fails if another commit was faster. Readers see the tables of one manifest, so a crash between
-writes leaves nothing half-done, and a search never sees chunks without their vectors.
+A table is a list of changes, each a folder of its own: rows that were added, and keys whose rows (of the changes before)
+are gone. A commit writes the folders of its changes and then publishes all of them at once by creating the next manifest
+file, which fails if another commit was faster. So a commit writes what is new, not the tables. Readers see the tables of
+one manifest, so a crash between writes leaves nothing half-done, and a search never sees chunks without their vectors. A
+table of more than ``MOST_CHANGES`` changes is written as one again by the next commit, and ``vacuum`` removes folders that
+no manifest of the last few names.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +27,16 @@ TABLES = {
     "runs": RUNS,
 }
 PARTITIONED = {"index": ["list_id"]}
+MOST_CHANGES = 20
+
+
+@dataclass
+class Change:
+    """Rows to add, after those whose ``key`` is in ``gone`` (a table of that column) have left."""
+
+    add: DataFrame | None = None
+    key: str | None = None
+    gone: DataFrame | None = None
 
 
 class CommitConflict(RuntimeError):
@@ -48,37 +62,74 @@ class Store:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
 
-    def manifest(self) -> tuple[int, dict[str, str]]:
+    def manifest(self) -> tuple[int, dict[str, list[dict]]]:
+        """Number of the latest manifest, and the changes of each table: {"folder", "gone"}, where gone is a key's name or null."""
         names = self._manifests()
-        if not names:
-            return 0, {}
-        stream = self._fs.open(self._path(f"{self.root}/manifests/{names[-1]}"))
+        return self._manifest(names[-1]) if names else (0, {})
+
+    def _manifest(self, name: str) -> tuple[int, dict[str, list[dict]]]:
+        stream = self._fs.open(self._path(f"{self.root}/manifests/{name}"))
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return int(names[-1].split(".")[0]), json.loads(text)
+        return int(name.split(".")[0]), json.loads(text)
 
     def read(self, table: str) -> DataFrame:
         """The table as the latest manifest has it; empty if it was never written."""
-        version = self.manifest()[1].get(table)
-        schema = TABLES[table]
-        if version is None:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/{version}")
-
-    def commit(self, tables: dict[str, DataFrame]) -> int:
-        """Write the tables and publish them together; the number of the manifest."""
+        return self._read(table, self.manifest()[1].get(table, []))
+
+    def _read(self, table: str, changes: list[dict]) -> DataFrame:
+        """Runs of added folders are one scan each; a folder of keys takes its rows out of what came before."""
+        schema, rows, added = TABLES[table], None, []
+
+        def flushed(rows: DataFrame | None) -> DataFrame | None:
+            if not added:
+                return rows
+            own = [self.spark.read.schema(schema).option("basePath", f).parquet(f) for f in added] if table in PARTITIONED else [self.spark.read.schema(schema).parquet(*added)]
+            added.clear()
+            for o in own:
+                rows = o if rows is None else rows.unionByName(o)
+            return rows
+
+        for c in changes:
+            folder = f"{self.root}/{table}/{c['folder']}"
+            if c["gone"] is None:
+                added.append(folder)
+                continue
+            rows = flushed(rows)
+            if rows is not None:
+                rows = rows.join(self.spark.read.parquet(folder), c["gone"], "left_anti")
+        rows = flushed(rows)
+        columns = self._columns(table)
+        return self.spark.createDataFrame([], schema) if rows is None else rows.select(*columns)
+
+    def _columns(self, table: str) -> list[str]:
+        return [f.name for f in self.spark.createDataFrame([], TABLES[table]).schema.fields]
+
+    def _write(self, table: str, rows: DataFrame, keys: bool = False) -> str:
+        version = uuid.uuid4().hex
+        writer = (rows if keys else rows.select(*self._columns(table))).write
+        if table in PARTITIONED and not keys:
+            writer = writer.partitionBy(*PARTITIONED[table])
+        writer.parquet(f"{self.root}/{table}/{version}")
+        return version
+
+    def commit(self, tables: dict[str, DataFrame | Change]) -> int:
+        """Write the changes, or whole tables in place of what they were, and publish them together; the number of the manifest."""
         number, held = self.manifest()
-        held = dict(held)
-        for name, rows in tables.items():
-            version = uuid.uuid4().hex
-            columns = [f.name for f in self.spark.createDataFrame([], TABLES[name]).schema.fields]
-            writer = rows.select(*columns).write
-            if name in PARTITIONED:
-                writer = writer.partitionBy(*PARTITIONED[name])
-            writer.parquet(f"{self.root}/{name}/{version}")
-            held[name] = version
+        held = {k: list(v) for k, v in held.items()}
+        for name, change in tables.items():
+            if not isinstance(change, Change):
+                held[name] = [{"folder": self._write(name, change), "gone": None}]
+                continue
+            if len(held.get(name, [])) > MOST_CHANGES:
+                held[name] = [{"folder": self._write(name, self._read(name, held[name])), "gone": None}]
+            own = held.setdefault(name, [])
+            if change.gone is not None and own:
+                own.append({"folder": self._write(name, change.gone.select(change.key).distinct(), keys=True), "gone": change.key})
+            if change.add is not None:
+                own.append({"folder": self._write(name, change.add), "gone": None})
         target = self._path(f"{self.root}/manifests/{number + 1:09d}.json")
         self._fs.mkdirs(target.getParent())
         try:
@@ -91,6 +142,21 @@ class Store:
             stream.close()
         return number + 1
 
+    def vacuum(self, keep: int = 3) -> int:
+        """Delete folders that none of the last ``keep`` manifests names, and the older manifests; the number of folders. Not while a commit runs."""
+        names = self._manifests()
+        used = {(t, c["folder"]) for n in names[-keep:] for t, changes in self._manifest(n)[1].items() for c in changes}
+        gone = 0
+        for table in TABLES:
+            folder = self._path(f"{self.root}/{table}")
+            for status in self._fs.listStatus(folder) if self._fs.exists(folder) else ():
+                if (table, status.getPath().getName()) not in used:
+                    self._fs.delete(status.getPath(), True)
+                    gone += 1
+        for n in names[:-keep]:
+            self._fs.delete(self._path(f"{self.root}/manifests/{n}"), False)
+        return gone
+
     def export_jdbc(self, table: str, url: str, name: str | None = None, **options: str) -> None:
         """Write a table to a database; lists go as JSON text."""
         from pyspark.sql import functions as F

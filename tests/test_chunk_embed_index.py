@@ -138,3 +138,25 @@ def test_many_equal_vectors_and_blocks_of_queries(spark, monkeypatch):
         got = index.top_k_each(flat.repartition(3), asked, 4).collect()
         assert sorted((r["query_id"], r["vec_id"], r["rank"]) for r in got) == [(f"q{q}", k, k + 1) for q in range(5) for k in range(4)]
     assert index.top_k_each(flat, asked.limit(0), 4).count() == 0 == index.top_k_each(flat.limit(0), asked, 4).count()
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("a b c d e f g h", ["a b c d e f", "e f g h"]),
+        ("one two three four.\n\nfive six seven eight nine ten eleven twelve\n\nend here now", ["one two three four.", "five six seven eight nine ten", "nine ten eleven twelve", "end here now"]),
+        ("a b. c. d e. f g h. i", ["a b. c. d e", "d e. f g h", "i"]),
+        ("a b! c d! e f g! h", ["a b! c d", "c d! e f g", "h"]),
+        ("k l, m n\n\n\n\no p q r s t\nu v, w x y", ["k l, m n", "o p q r s t", "u v, w x y"]),
+        ("a\tb\tc\td\te\tf\tg", ["a\tb\tc\td\te\tf\tg"]),
+        ("\t".join(f"w{k}" for k in range(20)), ["w0\tw1\tw2\tw3\tw4\tw5\tw6\tw7\tw8\tw9", "w7\tw8\tw9\tw10\tw11\tw12\tw13\tw14", "2\tw13\tw14\tw15\tw16\tw17\tw18\tw19", "7\tw18\tw19"]),
+        ("five words fit in here", ["five words fit in here"]),
+        ("  ", []),
+    ],
+)
+def test_chunks_worked_out_by_hand(spark, text, want):
+    """Six tokens a chunk (a piece of one word costs one, of five words six), two of overlap."""
+    assert chunk.split(text, 6, 2) == want
+    rows = spark.createDataFrame([("c", text)], "case_id string, clean_text string")
+    got = chunk.numbered(rows, chunk.recursive_chunks(F.col("clean_text"), 6, 2), least_words=1).orderBy("chunk_index").collect()
+    assert [r["text"] for r in got] == want and {r["total_chunks"] for r in got} <= {len(want)}

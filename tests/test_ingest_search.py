@@ -169,3 +169,39 @@ def test_settings(monkeypatch, tmp_path):
     monkeypatch.setenv("LEXMILL_TOP_K", "8")
     s = Settings.load(str(tmp_path / ".env"))
     assert s.top_k == 8 and s.chunk_size == 99 and s.chunk_overlap == 64
+
+
+def test_a_commit_writes_what_is_new(spark, store, folder, tmp_path, monkeypatch):
+    """One more file adds its own rows only; long lists of changes become one again; old folders go with their manifests."""
+    from lexmill.sources import store as stores
+
+    ingest.run(spark, store, str(folder), SMALL)
+    before = {t: store.manifest()[1][t] for t in ("cases", "chunks", "index", "checkpoint")}
+    old = sorted(map(tuple, store.read("chunks").collect()))
+    more = tmp_path / "more"
+    more.mkdir()
+    (more / "z.pdf").write_bytes(pdf_of(variant(9, "a lease")))
+    ingest.run(spark, store, str(more), SMALL)
+    held = store.manifest()[1]
+    for t, changes in before.items():
+        assert held[t][: len(changes)] == changes
+        added = [c for c in held[t][len(changes) :] if c["gone"] is None]
+        rows = spark.read.schema(stores.TABLES[t]).parquet(*[f"{store.root}/{t}/{c['folder']}" for c in added])
+        own = {"cases": "case_number like '% 9 %'", "chunks": "case_id like '%no_9_%'", "index": "case_id like '%no_9_%'", "checkpoint": "file_path like '%z.pdf'"}[t]
+        assert len(added) == 1 and rows.count() == rows.where(own).count() > 0
+    assert set(old) < set(map(tuple, store.read("chunks").collect())) and store.read("cases").count() == 3
+    now = {t: sorted(map(str, store.read(t).collect())) for t in before}
+    monkeypatch.setattr(stores, "MOST_CHANGES", 1)
+    store.commit({t: stores.Change() for t in before})
+    assert {t: len(store.manifest()[1][t]) for t in before} == dict.fromkeys(before, 1)
+    assert store.vacuum(keep=1) > 0 and {t: sorted(map(str, store.read(t).collect())) for t in before} == now
+
+
+def test_lists_are_made_by_an_ingest_that_is_asked_to(spark, store, folder):
+    import dataclasses
+
+    ingest.run(spark, store, str(folder), dataclasses.replace(SMALL, n_lists=2))
+    assert store.read("centres").count() == 2 and store.read("index").select("list_id").distinct().count() <= 2
+    hits = Engine(spark, store.root, dataclasses.replace(SMALL, n_probe=2)).search(Request("anticipatory bail", 3)).first()
+    assert hits["total_hits"] > 0
+    assert ingest.rebuild_lists(store, 10**6) == 0 and store.read("centres").count() == 2
