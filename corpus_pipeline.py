@@ -1,13 +1,20 @@
 """A corpus pipeline of five operators: quality, near duplicates, decontamination, secrets, mixing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet in the shared
-folder and rereads it as the next stage's documents. All stages but the last return the columns of ``documents``.
-The last adds ``mix_epochs`` (whole copies) and ``mix_tokens`` (tokens of all copies and the part).
+folder and rereads it as the next stage's documents, so a lost executor costs a stage's tasks at most. All stages but the
+last return the columns of ``documents``. The last adds ``mix_epochs`` (whole copies) and ``mix_tokens`` (tokens of all
+copies and the part), in place of columns of these names; texts stay whole, and ``mixing.epoch_texts`` makes the stream of
+copies and prefixes that the two numbers stand for. The folder of the last stage is the result and stays; those before it
+are deleted.
+
+Null and empty texts pass every stage but mixing, where a document without tokens is in no prefix. Rows with a null key are
+scored, compared and mixed as any other. Repeated rows are copies, of which one stays. Extra columns are kept, whatever
+their names. Empty tables give an empty result with all columns; without labels the classifier keeps all documents, and
+without a benchmark all are clean.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +23,7 @@ from pyspark.sql import functions as F
 from lexmill.llm import decontaminate, jaccard, mixing, quality, secretscan
 from lexmill.llm.common import table
 from lexmill.llm.queries import domain_of
+from lexmill.session import shared_folder
 
 # Languages to target weights, domains and sources by their tokens; nine tenths of the words that come in are taken.
 WEIGHTS = {"lang": {"en": 5.5, "de": 1.5, "fr": 1.5, "es": 1.5}}
@@ -63,9 +71,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexmill-pipeline-")
     docs = table(spark, sf_dir, "documents")
-    base = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}-{name}")
         docs = spark.read.parquet(f"{base}/{k}-{name}")

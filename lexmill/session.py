@@ -16,12 +16,22 @@ def get_session(name: str = "lexmill", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``; only a local session may do without, and has a temporary one."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if not given and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return (given or tempfile.mkdtemp(prefix="lexmill-checkpoint-")).rstrip("/")
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder: read again as it is, also after the loss of an executor."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    """``df`` written to the shared checkpoint folder: read again as it is, also after the loss of an executor.
+
+    Spark deletes it with the last use of the result where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexmill-checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
