@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.session import materialise
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder, so later reads survive a lost executor.
 
-    The folder is the session's ``spark.checkpoint.dir``; a temporary one is set only where that is unset (tests).
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexmill-checkpoint-"))
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the session's shared checkpoint folder, so later reads survive a lost executor."""
+    return materialise(df)
 
 
 FEW_ROWS = 100_000
