@@ -344,12 +344,47 @@ def chunk_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunk.word_chunks(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")))).alias("chunk_index", "text"))
 
 
-@query()
+def _packed(pieces: str, separator: str) -> str:
+    """The chunks that packing makes of a list of texts: a fold that holds the open chunk's pieces and their costs."""
+    costed = f"list_transform({pieces}, lambda e: {{'t': e, 'c': CAST({_words('e')} * 135 // 100 AS BIGINT)}})"
+    glued = lambda x: _strip(f"array_to_string(list_transform({x}, lambda e: e.t), {_lit(separator)})")
+    full = f"(acc.held + x.c > {chunk.SIZE} AND len(acc.cur) > 0)"
+    # Of a full chunk the next one keeps the longest end that costs no more than the overlap.
+    start = f"list_filter(range(1, len(acc.cur) + 2), lambda i: coalesce(list_sum(list_transform(acc.cur[i:], lambda e: e.c)), 0) <= {chunk.OVERLAP})[1]"
+    kept = f"CASE WHEN {full} THEN acc.cur[{start}:] ELSE acc.cur END"
+    step = f"""(SELECT {{'out': CASE WHEN {full} THEN list_append(acc.out, {glued('acc.cur')}) ELSE acc.out END, 'cur': list_append({kept}, x), 'held': CAST(coalesce(list_sum(list_transform({kept}, lambda e: e.c)), 0) + x.c AS BIGINT)}})"""
+    begin = "{'out': CAST([] AS VARCHAR[]), 'cur': CAST([] AS STRUCT(t VARCHAR, c BIGINT)[]), 'held': CAST(0 AS BIGINT)}"
+    done = f"list_reduce({costed}, lambda acc, x: {step[8:-1]}, {begin})"
+    return f"list_filter(list_transform([{done}], lambda f: list_append(f.out, {glued('f.cur')}))[1], lambda e: e <> '')"
+
+
+def _split_sql(x: str, level: int = 0) -> str:
+    """The chunks of a text that costs more than a chunk, by the separators from ``level`` on."""
+    if not chunk.SEPARATORS[level]:
+        step = (chunk.SIZE - chunk.OVERLAP) * chunk.CHARACTERS_A_TOKEN
+        return f"list_filter(list_transform(range(1, length({x}) + 1, {step}), lambda i: {_strip(f'substr({x}, i, {_HARD})')}), lambda e: e <> '')"
+    sep, part = _lit(chunk.SEPARATORS[level]), f"p{level}"
+    pieces = f"list_filter(string_split({x}, {sep}), lambda e: {_words('e')} > 0)"
+    finer = f"flatten(list_transform({pieces}, lambda {part}: CASE WHEN {_words(part)} * 135 // 100 <= {chunk.SIZE} THEN [{part}] ELSE {_split_sql(part, level + 1)} END))"
+    return f"list_transform([{finer}], lambda l{level}: CASE WHEN contains({x}, {sep}) THEN {_packed(f'l{level}', chunk.SEPARATORS[level])} ELSE l{level} END)[1]"
+
+
+_CHUNKS_SQL = f"""SELECT doc_id, list_filter(CASE WHEN {_words('t')} = 0 THEN [] WHEN {_words('t')} * 135 // 100 <= {chunk.SIZE} THEN [{_strip('t')}] ELSE {_split_sql('t')} END, lambda e: {_words('e')} >= {chunk.LEAST_WORDS}) AS l
+    FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)"""
+
+
+@query(
+    f"""SELECT doc_id, CAST(i - 1 AS INT) AS chunk_index, l[i] AS text, CAST(length(l[i]) AS INT) AS char_count, CAST({_words('l[i]')} * 135 // 100 AS INT) AS approx_token_count, CAST(len(l) AS INT) AS total_chunks
+    FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM ({_CHUNKS_SQL}))"""
+)
 def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk.chunk(_t(spark, sf_dir, "documents"), key="doc_id", text="text")
 
 
-@query()
+@query(
+    f"""SELECT doc_id, CAST(len(l) AS BIGINT) AS chunks, CAST(list_max(list_transform(l, lambda e: {_words('e')} * 135 // 100)) AS INT) AS largest, CAST(list_sum(list_transform(l, lambda e: length(e))) AS BIGINT) AS chars
+    FROM ({_CHUNKS_SQL}) WHERE len(l) > 0"""
+)
 def chunk_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = chunk.chunk(_t(spark, sf_dir, "documents"), key="doc_id", text="text")
     return made.groupBy("doc_id").agg(F.count("*").alias("chunks"), F.max("approx_token_count").alias("largest"), F.sum("char_count").alias("chars"))
