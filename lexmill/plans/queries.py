@@ -399,6 +399,15 @@ def embed_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", F.size("embedding").alias("dim"), F.round(embed.norm(F.col("embedding")), 4).alias("norm"))
 
 
+@query("SELECT doc_id, regexp_matches(coalesce(text, ''), '[\\p{L}\\p{Nd}]') AS is_query FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents)")
+def embed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vector of a question is that of a chunk with its words: their inner product is 1."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    first = docs.join(docs.agg(F.min("doc_id").alias("doc_id")), "doc_id", "left_semi")
+    vector = embed.query_vector(spark, first.first()["text"] or "")
+    return embed.embed(first).select("doc_id", (F.abs(index.inner_product(F.col("embedding"), index.literal_vector(vector)) - 1) < 1e-5).alias("is_query"))
+
+
 def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
 
@@ -525,6 +534,21 @@ def search_pre_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _search(spark, sf_dir, "pre")
 
 
+@query(
+    f"""SELECT 'a question' AS query, count(*) AS total_hits, coalesce(string_agg(case_id || ':' || score || ':' || chunk_text, '|' ORDER BY rank), '') AS results
+    FROM (SELECT rank, case_id, printf('%.4f', score) AS score, chunk_text FROM ({_search_sql("post")}))"""
+)
+def search_response(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: the question, the number of hits and the hits in order."""
+    vectors, asked = _index(spark, sf_dir), _query(spark, sf_dir)
+    rows = vectors.select("vec_id", F.concat(F.lit("case"), F.col("vec_id") + 1).alias("case_id"), F.lit(0).alias("chunk_index"), "embedding")
+    chunks = rows.select("vec_id", "case_id", "chunk_index", F.concat(F.lit("chunk "), F.col("vec_id")).alias("text"))
+    near = index.top_k(rows, asked, K * searching.OVERSAMPLE).select((F.col("vec_id") + 1).alias("doc_id"))
+    hits = searching.search(rows, chunks, materialise(_cases(spark, sf_dir, near)), searching.Request("a question", K, _FILTERS), asked)
+    shown = F.transform("results", lambda r: F.concat_ws(":", r["case"]["case_id"], F.format_number(r["score"], 4), r["chunk_text"]))
+    return searching.response("a question", hits).select("query", "total_hits", F.array_join(shown, "|").alias("results"))
+
+
 @query(f"SELECT doc_id, number AS case_number, {_TYPE} AS case_type, y AS year, {_PETITIONER} AS petitioner, {_RESPONDENT} AS respondent, {_OUTCOME} AS outcome, {_distinct('text', metadata.CITATION)} AS citations, ks.f AS file_name FROM {_N} n, LATERAL (SELECT doc_id || '.pdf' AS f) ks")
 def case_snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = _cases(spark, sf_dir).select("doc_id", searching.snippet().alias("c"))
@@ -618,6 +642,24 @@ def checkpoint_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.unprocessed(files, state).select("c_custkey")
 
 
+@query(
+    f"""WITH old AS (SELECT file_path, status, event_id FROM (SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY ts DESC, event_id DESC) AS r FROM ({_TRANSITIONS_SQL}) WHERE event_id % 2 = 0) WHERE r = 1),
+    new AS (SELECT file_path, status, event_id FROM (SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY ts DESC, event_id DESC) AS r FROM ({_TRANSITIONS_SQL}) WHERE event_id % 3 = 0) WHERE r = 1)
+    SELECT * FROM new UNION ALL SELECT * FROM old WHERE file_path NOT IN (SELECT file_path FROM new)"""
+)
+def checkpoint_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of one set of events put over those of another."""
+    of = lambda k: runs.latest(_transitions(spark, sf_dir).where(F.col("event_id") % k == 0), "file_path", ["ts", "event_id"]).select("file_path", "status", "event_id")
+    return runs.merge_checkpoint(of(2), of(3))
+
+
+@query(f"SELECT file_path AS run_id, status, event_id FROM ({_LATEST_SQL}) WHERE file_path = (SELECT min(file_path) FROM ({_TRANSITIONS_SQL}))")
+def run_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state that one run has come to by its transitions."""
+    events = _transitions(spark, sf_dir).select(F.col("file_path").alias("run_id"), "status", "event_id", F.struct("ts", "event_id").alias("at"))
+    return runs.run_state(events, events.agg(F.min("run_id")).first()[0]).select("run_id", "status", "event_id")
+
+
 @query(f"SELECT status, count(*) AS n FROM ({_LATEST_SQL}) GROUP BY status")
 def checkpoint_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.status_counts(runs.latest(_transitions(spark, sf_dir), "file_path", ["ts", "event_id"]))
