@@ -157,3 +157,9 @@ def test_a_hot_directory_is_one_answer_for_all_its_files(spark):
     rows = [(k, f"hot/f{k}.py", "code") for k in range(500)] + [(900, "hot/LICENSE", MIT), (901, "LICENSE", GPL), (902, "x.py", None)]
     got = {r["doc_id"]: (r["licence"], r["licence_from"]) for r in lic.scan_licences(spark.createDataFrame(rows, "doc_id long, file string, text string"), F.col("file")).collect()}
     assert {got[k] for k in range(500)} == {("MIT", "hot")} and got[902] == ("GPL-3.0", "")
+
+
+def test_repeated_rows_and_null_keys_are_each_answered(spark):
+    rows = [(1, "a/LICENSE", MIT), (1, "a/LICENSE", MIT), (None, "a/x.py", "code"), (None, "a/x.py", "code")]
+    got = sorted((str(r["doc_id"]), r["own_licence"], r["licence"]) for r in lic.scan_licences(spark.createDataFrame(rows, "doc_id long, file string, text string"), F.col("file")).collect())
+    assert got == [("1", "MIT", "MIT")] * 2 + [("None", None, "MIT")] * 2

@@ -114,3 +114,12 @@ def test_many_siblings_share_as_water_does(spark):
         got = {r["source"]: r["_share"] for r in m.fill(table.withColumn("_budget", F.lit(budget)), ["domain"]).collect()}
         want = water(budget, [(c, w) for _, _, c, w in nodes])
         assert [got[s] for _, s, _, _ in nodes] == pytest.approx(want, rel=1e-9, abs=1e-9)
+
+
+def test_very_long_texts_and_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "w " * 1_000_000), (2, "x" * 2_000_000)], "doc_id long, text string").withColumns({c: F.lit("s") for c in ("lang", "source", "mix_epochs", "_tokens", "_row", "domain")})
+    kept = m.mixed_documents(docs, domain=F.lit("d"), budget_share=0.5, weights={})
+    rows = {r["doc_id"]: r for r in kept.collect()}
+    assert sum(r["mix_tokens"] for r in rows.values()) == 500_000 and kept.columns == ["doc_id", "text", "lang", "source", "_tokens", "_row", "domain", "mix_epochs", "mix_tokens"]
+    texts = {r["doc_id"]: r["text"] for r in m.epoch_texts(kept).collect()}
+    assert sum(len(t.split()) for t in texts.values()) == 500_000

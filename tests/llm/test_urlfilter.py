@@ -107,3 +107,10 @@ def test_repeats_of_a_long_url_are_mined_at_once(spark, n):
 def test_null_labels_do_not_block(spark):
     labelled = spark.createDataFrame([("http://a.example.com/x", None)] * 20, "url string, bad boolean")
     assert u.mine_groups(labelled, "url", F.col("bad")).count() == 0
+
+
+def test_repeated_rows_and_null_keys_are_each_judged(spark):
+    rows = [(1, "http://com/en/a"), (1, "http://com/en/a"), (None, "http://com/en/a"), (1, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = sorted((str(r["page_id"]), r["host"], r["rule"], r["verdict"]) for r in u.judge(pages, spark.createDataFrame([], "url string"), F.lit(True), explicit=URL_RULES).collect())
+    assert got == [("1", "", None, "allow"), ("1", "com", "com/en/", "block"), ("1", "com", "com/en/", "block"), ("None", "com", "com/en/", "block")]
