@@ -40,7 +40,7 @@ WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0              
 ONE_LETTER_ENDINGS, TWO_LETTER_ENDINGS = "stmd", ("re", "ve", "ll")
 LONGEST_VECTOR_PIECE = 32
 LONGEST_KEPT_PIECE = 256
-KEPT_PIECES = 300_000
+KEPT_PIECES = 800_000
 PIECES_AT_ONCE, SOLVED_AT_ONCE = 1 << 18, 1 << 15
 NEVER = 1 << 40
 GROUP_BYTES = 8 << 20
