@@ -17,9 +17,10 @@ def get_session(name: str = "lexmill", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``; only a local session may do without, and has a temporary one."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if not given and not spark.sparkContext.master.startswith("local["):
+    """The folder that driver and executors share, from ``spark.checkpoint.dir`` or the one that was set for checkpoints; only a local session may do without, and has a temporary one."""
+    sc = spark.sparkContext
+    given = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not given and not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return (given or tempfile.mkdtemp(prefix="lexmill-checkpoint-")).rstrip("/")
 
