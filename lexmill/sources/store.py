@@ -15,6 +15,8 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexmill.operators.runs import CHECKPOINT, RUNS
 
@@ -157,11 +159,35 @@ class Store:
             self._fs.delete(self._path(f"{self.root}/manifests/{n}"), False)
         return gone
 
-    def export_jdbc(self, table: str, url: str, name: str | None = None, **options: str) -> None:
-        """Write a table to a database; lists go as JSON text."""
-        from pyspark.sql import functions as F
-        from pyspark.sql import types as T
+    def export_jdbc(self, table: str, url: str, name: str | None = None, key: str | None = None, **options: str) -> None:
+        """Write a table to a database; lists go as JSON text. With ``key``, rows that are there already are replaced.
 
-        rows = self.read(table)
+        Tasks write to a table of their own first; the database then moves its rows in one transaction.
+        """
+        name, rows = name or table, self.read(table)
         flat = rows.select(*[F.to_json(f.name).alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name) for f in rows.schema.fields])
-        flat.write.format("jdbc").options(url=url, dbtable=name or table, **options).mode("append").save()
+        flat = flat.select(*[F.col(f.name).cast("timestamp").alias(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name) for f in flat.schema.fields])
+        if key is None:
+            flat.write.format("jdbc").options(url=url, dbtable=name, **options).mode("append").save()
+            return
+        staged = f"{name}_new"
+        flat.write.format("jdbc").options(url=url, dbtable=staged, **options).mode("overwrite").save()
+        columns = ", ".join(f'"{c}"' for c in flat.columns)
+        connection = self.spark._jvm.java.sql.DriverManager.getConnection(url, options.get("user"), options.get("password")) if "user" in options else self.spark._jvm.java.sql.DriverManager.getConnection(url)
+        try:
+            if not connection.getMetaData().getTables(None, None, name.upper() if connection.getMetaData().storesUpperCaseIdentifiers() else name, None).next():
+                flat.limit(0).write.format("jdbc").options(url=url, dbtable=name, **options).mode("append").save()
+            connection.setAutoCommit(False)
+            statement = connection.createStatement()
+            for sql in (f'DELETE FROM {name} WHERE "{key}" IN (SELECT "{key}" FROM {staged})', f"INSERT INTO {name} ({columns}) SELECT {columns} FROM {staged}", f"DROP TABLE {staged}"):
+                statement.executeUpdate(sql)
+            connection.commit()
+        finally:
+            connection.close()
+
+    def import_jdbc(self, table: str, url: str, name: str | None = None, **options: str) -> DataFrame:
+        """A table of a database in this store's columns; lists come from JSON text."""
+        rows = self.spark.read.format("jdbc").options(url=url, dbtable=name or table, **options).load()
+        given = {c.lower(): c for c in rows.columns}
+        fields = self.spark.createDataFrame([], TABLES[table]).schema.fields
+        return rows.select(*[(F.from_json(given[f.name], f.dataType.simpleString()) if isinstance(f.dataType, T.ArrayType) else F.col(given[f.name]).cast(f.dataType)).alias(f.name) for f in fields])

@@ -205,3 +205,17 @@ def test_lists_are_made_by_an_ingest_that_is_asked_to(spark, store, folder):
     hits = Engine(spark, store.root, dataclasses.replace(SMALL, n_probe=2)).search(Request("anticipatory bail", 3)).first()
     assert hits["total_hits"] > 0
     assert ingest.rebuild_lists(store, 10**6) == 0 and store.read("centres").count() == 2
+
+
+def test_a_database_gets_and_gives_back_a_table(spark, store, folder):
+    """By Spark's own embedded database: append, replace by key, read."""
+    ingest.run(spark, store, str(folder), SMALL)
+    url = "jdbc:derby:memory:lexmill;create=true"
+    string = {"createTableColumnTypes": "file_path VARCHAR(4000), case_id VARCHAR(200), file_hash VARCHAR(100)"}
+    store.export_jdbc("cases", url, key="file_hash", **string)
+    store.export_jdbc("cases", url, key="file_hash", **string)
+    back = store.import_jdbc("cases", url)
+    same = lambda rows: sorted(str(r) for r in rows.drop("created_at", "updated_at").collect())
+    assert same(back) == same(store.read("cases")) and back.count() == 2
+    store.export_jdbc("cases", url, **string)
+    assert store.import_jdbc("cases", url).count() == 4
