@@ -219,3 +219,28 @@ def test_a_database_gets_and_gives_back_a_table(spark, store, folder):
     assert same(back) == same(store.read("cases")) and back.count() == 2
     store.export_jdbc("cases", url, **string)
     assert store.import_jdbc("cases", url).count() == 4
+
+
+def test_command_line_and_health(spark, folder, tmp_path, capsys, monkeypatch):
+    import json
+
+    from lexmill.__main__ import main
+
+    monkeypatch.chdir(tmp_path)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    at = ["--store", f"file://{tmp_path}/cli"]
+    shown = lambda: json.loads(capsys.readouterr().out.strip().split("\n")[-1])
+    try:
+        main([*at, "init", "--drop-all"])
+        main([*at, "ingest", "--pdf-dir", str(folder), "--limit", "2"])
+        assert shown()["processed"] == 2
+        main([*at, "ingest", "--pdf-dir", str(folder), "--embedding-batch-size", "7"])
+        assert shown()["skipped"] == 2 and spark.conf.get(batch) == "7"
+        main([*at, "lists", "--n-lists", "2"])
+        assert shown() == {"lists": 2}
+        main([*at, "search", "anticipatory bail", "--top-k", "1", "--year-from", "2000"])
+        found = shown()
+        assert found["total_hits"] == 1 and found["results"][0]["case"]["year"] == 2018
+    finally:
+        spark.conf.unset(batch)
+    assert Engine(spark, f"file://{tmp_path}/cli", SMALL).health() == {"status": "ok"}
