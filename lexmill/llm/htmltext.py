@@ -7,9 +7,9 @@ ratios). Lines inside menus, headers, footers, sidebars, notices, adverts, forms
 elements; the lines of the upper cluster that are not are the seeds of the content, and without seeds there is none.
 
 The content region is the innermost element that holds nearly all text of the seeds. In an article it is that article, and
-around articles it is those with seeds: all lines that are not noise are the text, so that short paragraphs of an article
-stay. On pages without articles it runs from the first seed to the last and on in both directions, as long as lines are
-more text than links.
+around articles it is those with seeds, or else the main part: all lines that are not noise are the text, so that short
+paragraphs of an article stay. On pages without either it runs from the first seed to the last and on in both directions, as
+long as lines are more text than links, with a heading that stands right before it.
 
 Null and empty pages have no text; a page without tags is one line. Damaged markup is read as browsers do, as far as the
 parser can; a reference cut off at the end of a page stays as it is. Work and memory are linear in a page's length and
@@ -212,6 +212,7 @@ def seeds_of(lines: list[Line], sigma: float = 1.0) -> list[int]:
 
 REGION_SHARE = 0.9
 LINKED_SHARE = 0.5
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements too small to be a region.
 PARTS = frozenset("p li dt dd h1 h2 h3 h4 h5 h6 td th tr b i a span em strong".split())
 
@@ -232,15 +233,16 @@ def content_lines(reader: PageReader, seeds: list[int]) -> list[Line]:
     if not seeds:
         return []
     region, weight = region_of(reader, seeds)
-    holder, e = None, region
+    around: dict[str, int] = {}  # the outermost element of each tag that holds the region
+    e = region
     while e:
-        holder = e if reader.tags[e] == "article" else holder
+        around[reader.tags[e]] = e
         e = reader.parents[e]
-    if holder is not None:
-        articles = [holder]
+    within = lambda tag: [e for e in range(region, reader.last[region] + 1) if reader.tags[e] == tag]
+    if "article" in around:
+        articles = [around["article"]]
     else:
-        articles = [e for e in range(region, reader.last[region] + 1) if reader.tags[e] in ("article", "main")]
-        articles = [e for e in articles if weight[e]] or articles
+        articles = [e for e in within("article") if weight[e]] or ([around["main"]] if "main" in around else within("main") or within("article"))
     if articles:
         ends, kept = 0, []
         for e in articles:  # in page order: one that begins before the last one's end is inside it
@@ -249,6 +251,9 @@ def content_lines(reader: PageReader, seeds: list[int]) -> list[Line]:
                 kept.append((e, ends))
         return [x for x in reader.lines if not x.noise and (k := bisect_right(kept, (x.element, len(reader.tags)))) and x.element <= kept[k - 1][1]]
     inside = [i for i, x in enumerate(reader.lines) if not x.noise and region <= x.element <= reader.last[region]]
+    # A heading right before the region is that of the content.
+    if inside[0] and not reader.lines[inside[0] - 1].noise and reader.tags[reader.lines[inside[0] - 1].element] in HEADINGS:
+        inside.insert(0, inside[0] - 1)
     own = set(seeds)
     first = next(k for k, i in enumerate(inside) if i in own)
     last = next(k for k in range(len(inside) - 1, -1, -1) if inside[k] in own)

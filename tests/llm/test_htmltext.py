@@ -87,3 +87,15 @@ def test_a_megabyte_of_nesting_takes_linear_time(page):
     began = time.process_time()
     assert h.main_text(page)
     assert time.process_time() - began < 6
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<body><main><h1>Head</h1><div class=text><p>{LONG}</p><p>Short.</p></div><aside>no</aside></main></body>", f"Head\n{LONG.strip()}\nShort."),
+        (f"<body><ul><li><a href=/>Home</a></ul><h1>Head</h1><div class=text><p>{LONG}</p><p>Short.</p></div><footer>no</footer></body>", f"Head\n{LONG.strip()}\nShort."),
+        (f"<main><p>Intro</p><article><p>{LONG}</p></article></main>", LONG.strip()),
+    ],
+)
+def test_main_parts_and_headings(page, want):
+    assert h.main_text(page) == want
