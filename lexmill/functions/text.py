@@ -36,14 +36,17 @@ def rx(pattern: str, flags: str = "") -> str:
     return (f"(?{flags}{'d' if 'm' in flags else ''})" if flags else "") + "".join(out)
 
 
+WHITE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
 def strip(c: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(c, rx(r"^\s+|\s+\z"), "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def squeeze(c: Column) -> Column:
     """Each run of white space as one space, none at the ends."""
-    return strip(F.regexp_replace(c, rx(r"\s+"), " "))
+    return F.trim(F.regexp_replace(c, rx(r"\s+"), " "))
 
 
 def word_count(c: Column) -> Column:
