@@ -41,32 +41,42 @@ ONE_LETTER_ENDINGS, TWO_LETTER_ENDINGS = "stmd", ("re", "ve", "ll")
 LONGEST_VECTOR_PIECE = 32
 LONGEST_KEPT_PIECE = 256
 KEPT_PIECES = 800_000
-PIECES_AT_ONCE, SOLVED_AT_ONCE = 1 << 18, 1 << 15
+BLOCK_BYTES, SOLVED_AT_ONCE = 1 << 22, 1 << 16
 NEVER = 1 << 40
 GROUP_BYTES = 8 << 20
 
 
 PLAIN = np.zeros(256, bool)
 PLAIN[[*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]] = True
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+# The lowest 0 to 8 bytes of a number.
+LOWEST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
-class SpanHasher:
-    """64-bit hashes of short non-empty spans of one byte array; equal bytes have equal hashes.
-
-    For spans of at most LONGEST_VECTOR_PIECE bytes, of an array of some megabytes: its tables take 24 bytes a byte, and sums
-    of powers of an odd number modulo 2^64 are only known to clash for spans of 1,024 bytes and more.
-    """
+class Packed:
+    """Short spans of a byte array as numbers: eight bytes each, so that equal numbers and sizes are equal spans."""
 
     def __init__(self, data: np.ndarray):
-        n = len(data)
-        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _BASE)]), dtype=np.uint64)
-        self.inverses = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(pow(int(_BASE), -1, 1 << 64)))]), dtype=np.uint64)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:n], out=self.sums[1:])
+        padded = np.concatenate([data, np.zeros(LONGEST_VECTOR_PIECE + 8, np.uint8)]).astype(np.uint64)
+        n = len(data) + LONGEST_VECTOR_PIECE
+        self.eight = padded[:n].copy()
+        for k in range(1, 8):
+            self.eight |= padded[k : k + n] << np.uint64(8 * k)
+
+    def word(self, at: np.ndarray, size, k: int = 0) -> np.ndarray:
+        """The k-th eight bytes of each span, 0 beyond its end."""
+        return self.eight[at + 8 * k] & LOWEST[np.clip(size - 8 * k, 0, 8)]
+
+    def words(self, at: np.ndarray, size) -> np.ndarray:
+        return np.stack([self.word(at, size, k) for k in range(LONGEST_VECTOR_PIECE // 8)])
 
-    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))
+
+def _mixed(words: np.ndarray) -> np.ndarray:
+    """One number for the words of each span; different spans may share one, so what has the number is compared."""
+    out = np.zeros(words.shape[1], np.uint64)
+    for w in words:
+        out = mix(out * _STEP + w)
+    return out
 
 
 @lru_cache(1)
@@ -122,18 +132,21 @@ class PrefixCounter:
         self.tokens = sorted({raw(s) for s in spec["model"]["vocab"] if all(c in back for c in s) and s not in self.specials})
         self.ids = {t: k for k, t in enumerate(self.tokens)}
         self.longest = max(map(len, self.tokens))
-        # Tokens that are longer than a piece of the vector path are only looked up by their bytes.
-        short = [k for k, t in enumerate(self.tokens) if len(t) <= LONGEST_VECTOR_PIECE]
-        ends = np.cumsum([len(self.tokens[k]) for k in short])
-        hashes = SpanHasher(np.frombuffer(b"".join(self.tokens[k] for k in short), np.uint8))(ends - [len(self.tokens[k]) for k in short], ends)
-        order = np.argsort(hashes)
-        self._token_hashes, self._token_ids = hashes[order], np.array(short, np.int32)[order]
-        self._maybe = np.zeros(1 << 22, bool)
-        self._maybe[hashes >> np.uint64(42)] = True
+        # By size, for the vector path: their numbers in order, their words, their ids. Longer tokens are only looked up by their bytes.
+        self._by_size = {}
+        for size in range(1, LONGEST_VECTOR_PIECE + 1):
+            own = [k for k, t in enumerate(self.tokens) if len(t) == size]
+            if own:
+                words = Packed(np.frombuffer(b"".join(self.tokens[k] for k in own), np.uint8)).words(np.arange(len(own)) * size, size)
+                keys = words[0] if size <= 8 else _mixed(words)
+                order = np.argsort(keys, kind="stable")
+                maybe = np.zeros(1 << 16, bool)
+                maybe[mix(keys) >> np.uint64(48)] = True
+                self._by_size[size] = keys[order], words[:, order], np.array(own, np.int32)[order], maybe
         self.made_of = {a + b: (a, b) for (a, b) in reversed(self.ranks)}
         self._spines: tuple[dict, dict] = {}, {}
         self._pair_keys, self._pair_fits = np.zeros(0, np.int64), np.zeros(0, bool)
-        self._kept: dict[bytes, int] = {}
+        self._kept: dict[int | bytes, int] = {}  # up to seven bytes: their number and size; else the bytes
 
     def encode(self, word: bytes) -> list[bytes]:
         """Plain BPE of one piece: merge the pair of lowest rank until none is left."""
@@ -203,7 +216,31 @@ class PrefixCounter:
                     break
         return counts
 
-    def pieces_prefixes(self, hasher: SpanHasher, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def tokens_at(self, packed: Packed, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the spans of one size that end at ``at`` are tokens, and the tokens' ids."""
+        held = self._by_size.get(size)
+        if held is None:
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
+        keys, words, ids, maybe = held
+        own = packed.word(at - size, size) if size <= 8 else _mixed(packed.words(at - size, size))
+        near = np.flatnonzero(maybe[mix(own) >> np.uint64(48)])
+        place = np.searchsorted(keys, own[near])
+        place[place == len(keys)] = 0
+        hit = keys[place] == own[near]
+        near, place = near[hit], place[hit]
+        if size > 8 and len(near):
+            # Tokens that share a number stand side by side: the first is compared, and all of them where that is not it.
+            mine = packed.words(at[near] - size, size)
+            same = (words[:, place] == mine).all(axis=0)
+            for k in np.flatnonzero(~same).tolist():
+                j = place[k]
+                while j < len(keys) and keys[j] == own[near[k]] and not same[k]:
+                    same[k], place[k] = (words[:, j] == mine[:, k]).all(), j
+                    j += 1
+            near, place = near[same], place[same]
+        return near, ids[place]
+
+    def pieces_prefixes(self, packed: Packed, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The recurrence for many short pieces at once: a row of prefix counts for each."""
         order = np.argsort(starts - ends, kind="stable")  # longest first: those that reach position i are a front part
         begin, size = starts[order], (ends - starts)[order]
@@ -215,14 +252,10 @@ class PrefixCounter:
             for width in range(min(i, self.longest), 0, -1):
                 if not len(todo):
                     break
-                at = begin[todo] + i
-                hashes = hasher(at - width, at)
-                near = np.flatnonzero(self._maybe[hashes >> np.uint64(42)])
-                place = np.minimum(np.searchsorted(self._token_hashes, hashes[near]), len(self._token_hashes) - 1)
-                hit = self._token_hashes[place] == hashes[near]
-                if not hit.any():
+                near, token = self.tokens_at(packed, begin[todo] + i, width)
+                if not len(near):
                     continue
-                rows, token = todo[near[hit]], self._token_ids[place[hit]]
+                rows = todo[near]
                 good = self._all_fit(last[rows, i - width], token)
                 rows, token = rows[good], token[good]
                 counts[rows, i], last[rows, i] = counts[rows, i - width] + 1, token
@@ -233,26 +266,49 @@ class PrefixCounter:
         out[order] = counts
         return out
 
-    def piece_totals(self, pieces: list[bytes]) -> np.ndarray:
-        """Token count of each piece; each distinct piece is solved once, and known by its bytes."""
-        kept = self._kept
-        new = [p for p in set(pieces) if p not in kept]
-        if len(kept) + len(new) > KEPT_PIECES:
-            kept.clear()
-            new = list(set(pieces))
-        # A very long piece is not kept: its total is worked out where it stands.
-        totals = {p: int(self.piece_prefixes(p)[-1]) for p in new if len(p) > LONGEST_VECTOR_PIECE}
-        kept.update((p, n) for p, n in totals.items() if len(p) <= LONGEST_KEPT_PIECE)
-        short = [p for p in new if len(p) <= LONGEST_VECTOR_PIECE]
-        for at in range(0, len(short), SOLVED_AT_ONCE):
-            part = short[at : at + SOLVED_AT_ONCE]
+    def _solved(self, keys: list, pieces: list[bytes]) -> None:
+        """Work out pieces of at most LONGEST_VECTOR_PIECE bytes and keep their counts."""
+        for at in range(0, len(pieces), SOLVED_AT_ONCE):
+            part = pieces[at : at + SOLVED_AT_ONCE]
             sizes = np.array([len(p) for p in part])
             ends = np.cumsum(sizes)
-            table = self.pieces_prefixes(SpanHasher(np.frombuffer(b"".join(part), np.uint8)), ends - sizes, ends)
-            kept.update(zip(part, table[np.arange(len(part)), sizes].tolist(), strict=True))
-        if len(totals) > 0:
-            return np.fromiter((kept[p] if p in kept else totals[p] for p in pieces), np.int64, len(pieces))
-        return np.fromiter(map(kept.__getitem__, pieces), np.int64, len(pieces))
+            table = self.pieces_prefixes(Packed(np.frombuffer(b"".join(part), np.uint8)), ends - sizes, ends)
+            self._kept.update(zip(keys[at : at + SOLVED_AT_ONCE], table[np.arange(len(part)), sizes].tolist(), strict=True))
+
+    def _totals(self, keys: list, piece_of) -> np.ndarray:
+        """Counts of distinct short pieces, by the keys they are kept under. ``piece_of``: the bytes of the k-th."""
+        kept = self._kept
+        if len(kept) + len(keys) > KEPT_PIECES:
+            kept.clear()
+        new = [k for k, key in enumerate(keys) if key not in kept]
+        if new:
+            self._solved([keys[k] for k in new], [piece_of(k) for k in new])
+        return np.fromiter(map(kept.__getitem__, keys), np.int64, len(keys))
+
+    def piece_totals(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Token count of each piece; each distinct piece is solved once. Pieces are told apart by all their bytes."""
+        totals, sizes, raw = np.zeros(len(starts), np.int64), ends - starts, data.tobytes()
+        packed = Packed(data)
+        small = np.flatnonzero(sizes <= 7)
+        keys, where, back = np.unique(packed.word(starts[small], sizes[small]) | sizes[small].astype(np.uint64) << np.uint64(56), return_index=True, return_inverse=True)
+        first = small[where].tolist()
+        totals[small] = self._totals(keys.tolist(), lambda k: raw[starts[first[k]] : ends[first[k]]])[back]
+        middle = np.flatnonzero((sizes > 7) & (sizes <= LONGEST_VECTOR_PIECE))
+        words = packed.words(starts[middle], sizes[middle])
+        _, where, back = np.unique(_mixed(words) + sizes[middle].astype(np.uint64), return_index=True, return_inverse=True)
+        pieces = [raw[a:b] for a, b in zip(starts[middle[where]].tolist(), ends[middle[where]].tolist(), strict=True)]
+        totals[middle] = self._totals(pieces, pieces.__getitem__)[back]
+        # A piece that only shares the number of the first one that has it stands for itself.
+        odd = middle[(words != words[:, where[back]]).any(axis=0) | (sizes[middle] != sizes[middle[where[back]]])]
+        others = [raw[a:b] for a, b in zip(starts[odd].tolist(), ends[odd].tolist(), strict=True)]
+        totals[odd] = [self._totals([p], lambda k, p=p: p)[0] for p in others]
+        for k in np.flatnonzero(sizes > LONGEST_VECTOR_PIECE).tolist():
+            piece = raw[starts[k] : ends[k]]
+            known = self._kept.get(piece)
+            totals[k] = int(self.piece_prefixes(piece)[-1]) if known is None else known
+            if known is None and len(piece) <= LONGEST_KEPT_PIECE:
+                self._kept[piece] = int(totals[k])
+        return totals
 
     def _split(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Byte position of each piece's start, and for each text the index of its first piece (one more at the end)."""
@@ -273,11 +329,13 @@ class PrefixCounter:
         if not len(data):
             return np.zeros(len(offsets) - 1, np.int64)
         starts, first = self._split(data, offsets)
-        raw, bounds = data.tobytes(), np.append(starts, len(data)).tolist()
-        sums = np.zeros(len(starts) + 1, np.int64)
-        for at in range(0, len(starts), PIECES_AT_ONCE):
-            own = bounds[at : at + PIECES_AT_ONCE + 1]
-            sums[at + 1 : at + len(own)] = self.piece_totals([raw[a:b] for a, b in pairwise(own)])
+        ends = np.append(starts[1:], len(data))
+        sums, at = np.zeros(len(starts) + 1, np.int64), 0
+        while at < len(starts):
+            to = max(at + 1, int(np.searchsorted(ends, starts[at] + BLOCK_BYTES, "right")))
+            low = starts[at]
+            sums[at + 1 : to + 1] = self.piece_totals(data[low : ends[to - 1]], starts[at:to] - low, ends[at:to] - low)
+            at = to
         np.cumsum(sums, out=sums)
         return sums[first[1:]] - sums[first[:-1]]
 

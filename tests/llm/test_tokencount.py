@@ -93,3 +93,11 @@ def test_a_very_long_text_is_counted_within_bounds(docs_of):
 def test_repeated_and_null_keys(docs_of):
     docs = docs_of(["one two", "one two", "three"]).withColumn("doc_id", F.when(F.col("doc_id") < 2, F.lit(None)).otherwise(9).cast("long"))
     assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in tc.count_tokens(docs, PATH).collect()) == [("9", count("three"))] + [("None", count("one two"))] * 2
+
+
+def test_pieces_that_share_a_number_are_told_apart(monkeypatch):
+    """With a mixing that gives all longer spans one number, counts stay those of the library."""
+    monkeypatch.setattr(tc, "_mixed", lambda words: np.zeros(words.shape[1], np.uint64))
+    held = tc.PrefixCounter(PATH)
+    texts = ["internationalization straightforwardness", "electroencephalograph internationalization", " counterrevolutionary" * 3 + " straightforwardly", "responsibilities acknowledgements"]
+    assert held.text_counts(texts) == [count(t) for t in texts]
