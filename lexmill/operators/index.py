@@ -63,12 +63,12 @@ def train_lists(index: DataFrame, n_lists: int, *, seed: int = 1, sample: int =
     return [[float(x) for x in c] for c in model.clusterCenters()]
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """The vectors of an Arrow column as rows of doubles; a null one is a row of zeros."""
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    """The vectors of an Arrow column as rows of doubles; a null one is a row of zeros. ``width``: the dimension if all are null."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     sizes = np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]) if len(column) else np.zeros(0, np.int32)
-    dim = int(sizes.max(initial=0))
+    dim = int(sizes.max(initial=0)) or width
     if column.null_count or (sizes != dim).any():
         return np.array([x if x is not None else [0.0] * dim for x in column.to_pylist()], np.float64).reshape(len(column), dim)
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), dim)
@@ -86,7 +86,7 @@ def assign_lists(index: DataFrame, centres: list[list[float]]) -> DataFrame:
     @F.arrow_udf("int")
     def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
-            yield pa.array((_matrix(column) @ held.value.T).argmax(axis=1) if len(column) else [], pa.int32())
+            yield pa.array((_matrix(column, held.value.shape[1]) @ held.value.T).argmax(axis=1) if len(column) else [], pa.int32())
 
     return index.withColumn("list_id", nearest(F.col("embedding")))
 
@@ -97,10 +97,22 @@ def probed_lists(centres: list[list[float]], query: list[float], n_probe: int) -
     return sorted(range(len(centres)), key=lambda k: (score(centres[k]), k))[:n_probe] or [0]
 
 
+def scores_of(index: DataFrame, query: list[float]) -> Column:
+    """Inner products of the index's vectors with one query, a batch at a time."""
+    held = index.sparkSession.sparkContext.broadcast(np.array(query, np.float64))
+
+    @F.arrow_udf("double")
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            yield pa.array(_matrix(column, len(held.value)) @ held.value if len(column) else [], pa.float64())
+
+    return scores(F.col("embedding"))
+
+
 def top_k(index: DataFrame, query: list[float], k: int, lists: list[int] | None = None) -> DataFrame:
     """The k index rows of greatest inner product with ``score``, best first (ties: smaller vec_id). ``lists``: probe these only."""
     rows = index if lists is None else index.where(F.col("list_id").isin(lists))
-    scored = rows.withColumn("score", inner_product(F.col("embedding"), literal_vector(query)))
+    scored = rows.withColumn("score", scores_of(rows, query))
     return scored.orderBy(F.desc("score"), "vec_id").limit(k)
 
 
@@ -144,7 +156,7 @@ def top_k_each(index: DataFrame, queries: DataFrame, k: int, *, query_id: str =
                 if not ids or not batch.num_rows:
                     continue
                 batch = batch.take(pa.array(np.argsort(batch.column(0).to_numpy(), kind="stable")))
-                numbers, vectors, found = batch.column(0).to_numpy(), _matrix(batch.column(1)), []
+                numbers, vectors, found = batch.column(0).to_numpy(), _matrix(batch.column(1), matrix.shape[1]), []
                 if probes is None:
                     parts = [(np.arange(len(ids)), np.arange(len(numbers)))]
                 else:

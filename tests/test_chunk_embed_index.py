@@ -160,3 +160,10 @@ def test_chunks_worked_out_by_hand(spark, text, want):
     rows = spark.createDataFrame([("c", text)], "case_id string, clean_text string")
     got = chunk.numbered(rows, chunk.recursive_chunks(F.col("clean_text"), 6, 2), least_words=1).orderBy("chunk_index").collect()
     assert [r["text"] for r in got] == want and {r["total_chunks"] for r in got} <= {len(want)}
+
+
+def test_vectors_that_are_null(spark):
+    none = spark.createDataFrame([(k, None) for k in range(3)], "vec_id long, embedding array<float>")
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, query array<float>")
+    assert [r["score"] for r in index.top_k(none, [1.0, 0.0], 2).collect()] == [0.0, 0.0]
+    assert index.top_k_each(none, asked, 2).count() == 2 and index.assign_lists(none, [[1.0, 0.0], [0.0, 1.0]]).where("list_id = 0").count() == 3
