@@ -10,8 +10,8 @@ documents are linked if the Jaccard similarity of their sets is ``threshold`` or
 3. The join starts at the deepest nodes and shortens the matched prefixes until the recall is met. A pair of similarity s
    is met at depth d in some tree with chance p(s, d) = 1 - (1 - s^d)^trees, so the links found so far say how many are
    still unseen: each stands for 1 / p(s, d) - 1 others, and one more of just ``threshold`` is assumed. The next depth is
-   the greatest one at which that leaves no more than the recall allows; the least depth, at which p(threshold, d)
-   itself reaches ``recall`` whatever the data (``prefix_depth``), ends the descent at the latest.
+   the greatest one at which that leaves no more than the recall allows, and not half a link; the least depth, at which
+   p(threshold, d) itself reaches ``recall`` whatever the data (``prefix_depth``), ends the descent at the latest.
 4. Pairs are compared inside trie nodes only, each pair in one place: where it has shared a longer prefix in any tree, or
    one of this length in an earlier tree, it was met before. Two steps do this. The first has signatures only and tells
    which members of a node have anyone new that can be linked to them (set sizes, and at least ``LEAST_SHARED`` of the
@@ -47,8 +47,8 @@ THRESHOLD = 0.8
 TREES = 24
 MAX_DEPTH = 8
 RECALL = 0.9999
-# The measured recall has to leave a tenth of what the wanted recall allows, as it is an estimate.
-MARGIN = 0.1
+# The measured recall has to leave a tenth of what the wanted recall allows, as it is an estimate, and no more than half a link unseen.
+MARGIN, MOST_UNSEEN = 0.1, 0.5
 BLOCK_ROWS = 1_024
 BLOCK_SHINGLES = 1 << 19
 COLUMNS = 2_048
@@ -318,6 +318,11 @@ def measured_recall(pairs: int, unseen: float, threshold: float, depth: int, tre
     return (pairs + chance(threshold, depth, trees)) / (pairs + unseen + 1)
 
 
+def enough(pairs: int, unseen: float, threshold: float, depth: int, trees: int, recall: float) -> bool:
+    """Whether a join that stops at this depth should miss no more than ``MOST_UNSEEN`` links and a small share of all."""
+    return unseen + 1 - chance(threshold, depth, trees) <= MOST_UNSEEN and measured_recall(pairs, unseen, threshold, depth, trees) >= 1 - MARGIN * (1 - recall)
+
+
 def _by_unit(rows: DataFrame) -> DataFrame:
     return rows.repartition("unit").sortWithinPartitions("unit", "half", "rep")
 
@@ -332,7 +337,7 @@ def forest_links(reps: DataFrame, docs: DataFrame, key: str, text: str, width: i
         found.append(new)
         sums = [r for r in (f.agg(F.sum("pairs").alias("pairs"), *[F.sum(F.col("unseen")[k]).alias(f"u{k}") for k in range(len(depths))]).first() for f in found)]
         pairs = sum(r["pairs"] or 0 for r in sums)
-        reached = {d: measured_recall(pairs, sum(r[f"u{k}"] or 0.0 for r in sums), threshold, d, trees) >= 1 - MARGIN * (1 - recall) for k, d in enumerate(depths)}
+        reached = {d: enough(pairs, sum(r[f"u{k}"] or 0.0 for r in sums), threshold, d, trees, recall) for k, d in enumerate(depths)}
         if depth == floor or reached[depth]:
             break
         depth, deeper = next((d for d in depths if d < depth and reached[d]), floor), depth

@@ -152,6 +152,7 @@ def test_the_descent_ends_where_enough_is_found(spark, docs_of, monkeypatch):
     first, seen[:] = list(seen), []
     j.classes(docs_of(near_group(60))).count()
     assert first[0] == seen[0] == (j.MAX_DEPTH, None) and seen[-1][0] < first[-1][0] <= j.MAX_DEPTH and seen[-1][0] >= j.prefix_depth()
+    assert not j.enough(10**9, 0.6, 0.8, 8, 24, j.RECALL) and j.enough(10**9, 0.4, 0.8, 8, 24, j.RECALL) and not j.enough(100, 0.0, 0.8, 8, 24, j.RECALL)
     assert j.measured_recall(0, 0.0, 0.8, 8, 24) < 0.99 and j.measured_recall(10**7, 0.0, 0.8, 8, 24) > 0.99999
 
 
