@@ -29,13 +29,14 @@ BOILERPLATE = (
     rx(r"^\s*(?:NON[\s-])?REPORTABLE\s*$", "im"),
     rx(r"IN\s+THE\s+SUPREME\s+COURT\s+OF\s+INDIA\s*\n(?:CIVIL|CRIMINAL|ORIGINAL|APPELLATE|WRIT)?\s*(?:APPELLATE\s+)?JURISDICTION", "i"),
 )
-# Runs of a mark from this length on become so many of it.
+# Runs of a mark from this length on become so many of it.
 RUNS = ((r"\.{4,}", "..."), (r"-{3,}", "--"), (r"_{3,}", "__"), (r"\*{3,}", "***"))
 EMPTY_BELOW = 50
 _LINE_SPACE = SPACE.replace(r"\n", "")
 LINE_ENDS = f"(?md)^{_LINE_SPACE}+|{_LINE_SPACE}+$"
 
 
+# Control characters, line ends, and hyphens between two letters or digits at a line's end.
 def strip_controls(c: Column) -> Column:
     return F.regexp_replace(c, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "")
 
