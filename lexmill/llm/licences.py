@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.common import cut, small_batches
+from lexmill.llm.wordbytes import WORDS_ONLY
 
 # The usual short notices of public licences.
 TEMPLATES = (
@@ -87,11 +88,17 @@ NOTICE_WORDS = 12
 # Words that name a licence: a window needs those of its template; of the kinds of one licence, it has no others.
 NAMING = frozenset("apache mit gnu bsd mozilla cc cc0 isc".split())
 KINDS = frozenset("lesser library affero".split())
+RAW_CUES = frozenset(c.encode() for c in CUES)
 SENTENCE = re.compile(r"\.\s+(?=[A-Z])")
 WORD = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
 CUE = re.compile(r"(?<![0-9A-Za-z\x80-\U0010ffff])(?:" + "|".join(sorted(CUES, key=len, reverse=True)) + r")(?![0-9A-Za-z\x80-\U0010ffff])", re.IGNORECASE | re.ASCII)
 
 
+def raw_words(text: str | None) -> list[bytes]:
+    """The words of a text as bytes: quicker, where no more than their presence is asked for."""
+    return (text or "").encode().translate(WORDS_ONLY).split()
+
+
 def words(text: str) -> list[str]:
     return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text))
 
@@ -169,7 +176,7 @@ class Matcher:
 
     def file(self, text: str | None, licence_file: bool) -> tuple[str | None, float]:
         """Licence and score of a whole text: its best candidate header."""
-        if not text or not (licence_file or CUE.search(text)):
+        if not text or not (licence_file or not RAW_CUES.isdisjoint(raw_words(text))):
             return None, 0.0
         lines = text.split("\n")
         at = [i for i, x in enumerate(lines) if CUE.search(x)]
@@ -187,16 +194,15 @@ class Matcher:
 
 def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[int, dict[str, int]]:
     """Number of documents, and of those with each template word, over all documents. The words are few and fixed."""
-    wanted = frozenset(template_words())
+    wanted = frozenset(w.encode() for w in template_words())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = 0, Counter()
         for batch in batches:
             for t in batch.column(0).to_pylist():
                 total += 1
-                seen.update(wanted.intersection(words(t or "")))
-        names = ["", *seen]
-        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([total, *[seen[w] for w in names[1:]]], pa.int64())], ["word", "n"])
+                seen.update(wanted.intersection(raw_words(t)))
+        yield pa.RecordBatch.from_arrays([pa.array(["", *[w.decode() for w in seen]]), pa.array([total, *seen.values()], pa.int64())], ["word", "n"])
 
     rows = small_batches(docs).select(F.col(text).cast("string").alias("_text")).mapInArrow(scan, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     counts = {r["word"]: r["n"] for r in rows}
