@@ -408,6 +408,34 @@ def embed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.embed(first).select("doc_id", (F.abs(index.inner_product(F.col("embedding"), index.literal_vector(vector)) - 1) < 1e-5).alias("is_query"))
 
 
+def _mixed_sql(h: str) -> str:
+    """The embedding's mixing of 64-bit numbers; products are taken modulo 2^64."""
+    return f"list_transform([CAST((CAST(xor({h}, {h} >> 29) AS UHUGEINT) * 11400714819323198485) % 18446744073709551616 AS UBIGINT)], lambda m: xor(m, m >> 32))[1]"
+
+
+_LETTERS = "list_transform(range(1, length(w) + 1), lambda i: CAST(unicode(w[i]) AS UHUGEINT))"
+_LETTER_HASHES = f"list_transform(range(1, len(c) + 1), lambda i: {_mixed_sql('CAST((c[i] * 1000003 + CAST(i - 1 AS UHUGEINT) * 11400714819323198485) % 18446744073709551616 AS UBIGINT)')})"
+_GRAM_HASHES = f"list_transform(range(1, len(c) - 1), lambda i: {_mixed_sql('CAST((c[i] * 31 + c[i + 1]) * 1000033 + c[i + 2] + 7 AS UBIGINT)')} % {embed.DIM})"
+
+
+@query(
+    f"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+')) AS w FROM documents),
+    v AS (SELECT w, {_LETTERS} AS c FROM (SELECT DISTINCT w FROM t)),
+    h AS (SELECT w, CAST(list_sum(list_transform({_LETTER_HASHES}, lambda x: CAST(x AS HUGEINT))) % 18446744073709551616 AS UBIGINT) AS whole, {_GRAM_HASHES} AS grams FROM v),
+    p AS (SELECT w, {_mixed_sql('whole')} % {embed.DIM} AS place, {embed.WORD_WEIGHT} AS n FROM h UNION ALL SELECT w, unnest(grams), {embed.GRAM_WEIGHT} FROM h),
+    n AS (SELECT doc_id, place, sum(n) AS n FROM t JOIN p ON t.w = p.w GROUP BY doc_id, place)
+    SELECT doc_id, count(*) AS n_places, sha256(string_agg(CAST(place AS VARCHAR), ',' ORDER BY place)) AS places_sha256, CAST(arg_max(place, n * 1000 - place) AS INT) AS largest, round(CAST(max(n) AS DOUBLE) / sqrt(CAST(sum(n * n) AS DOUBLE)), 2) AS size
+    FROM n GROUP BY doc_id"""
+)
+def embed_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which places of each vector are filled, and the largest of them."""
+    done = embed.embed(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+    places = F.filter(F.transform("embedding", lambda x, i: F.struct(x.alias("x"), (-i).alias("i"))), lambda e: e["x"] > 0)
+    own = done.select("doc_id", places.alias("p")).where(F.size("p") > 0)
+    ids = F.array_join(F.transform("p", lambda e: (-e["i"]).cast("string")), ",")
+    return own.select("doc_id", F.size("p").cast("long").alias("n_places"), F.sha2(ids, 256).alias("places_sha256"), (-F.array_max("p")["i"]).alias("largest"), F.round(F.array_max("p")["x"].cast("double"), 2).alias("size"))
+
+
 def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
 
