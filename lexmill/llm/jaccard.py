@@ -6,7 +6,8 @@ documents are linked if the Jaccard similarity of their sets is ``threshold`` or
 1. Documents with equal sets are one representative with a number of copies, so copies are never paired. It has a number
    of its own, as a key may stand for several texts; numbers follow the smallest keys.
 2. The forest has ``trees`` prefix tries. A representative's path in a trie is ``max_depth`` MinHash values; the paths of
-   all trees are its signature. Representatives that share the first d values of a tree share its node of depth d.
+   all trees are its signature. Representatives that share the first d values of a tree share its node of depth d. A node
+   is known by a hash of these values, and its members meet by grouping on it: no sorted path array is kept.
 3. The join starts at the deepest nodes and shortens the matched prefixes until the recall is met. A pair of similarity s
    is met at depth d in some tree with chance p(s, d) = 1 - (1 - s^d)^trees, so the links found so far say how many are
    still unseen: each stands for 1 / p(s, d) - 1 others, and one more of just ``threshold`` is assumed. The next depth is
