@@ -6,6 +6,7 @@ Patterns are written for both Java's and RE2's syntax, so that the same string r
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Callable
 
@@ -36,12 +37,22 @@ def rx(pattern: str, flags: str = "") -> str:
     return (f"(?{flags}{'d' if 'm' in flags else ''})" if flags else "") + "".join(out)
 
 
+def at(pattern: str, first: str) -> str:
+    """``pattern`` behind a look at the one character it begins with (``first``: all of them), which is all that most places of a text need.
+
+    Without this, a word boundary or each of many branches is tried at every place.
+    """
+    flags = re.match(r"(?:\(\?[a-z]+\))?", pattern)[0]
+    return f"{flags}(?=[{first}])(?:{pattern[len(flags):]})"
+
+
 WHITE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def strip(c: Column) -> Column:
     """Without white space at both ends."""
-    return F.btrim(c, F.lit(WHITE_SPACE))
+    outer = lambda x, k: F.lit(WHITE_SPACE).contains(F.substring(x, k, 1))
+    return changed(c, lambda x: outer(x, 1) | outer(x, -1), lambda x: F.btrim(x, F.lit(WHITE_SPACE)))
 
 
 def squeeze(c: Column) -> Column:
@@ -60,6 +71,16 @@ def approx_tokens(words: Column) -> Column:
     return F.floor(words * 135 / 100).cast("int")
 
 
+def ascii_only(c: Column) -> Column:
+    """Whether every character is one byte."""
+    return F.octet_length(c) == F.length(c)
+
+
+def changed(c: Column, there: Callable[[Column], Column], change: Callable[[Column], Column]) -> Column:
+    """``change`` of ``c`` where ``there`` finds something to change; other values are passed on without a search by pattern."""
+    return let(c, lambda x: F.when(there(x), change(x)).otherwise(x))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once, however often the body names it."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -67,10 +88,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def find(c: Column, pattern: str, group: int = 0) -> Column:
     """First match (or a group of it, which must not be empty), null without one."""
-    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
+    return let(F.regexp_extract(c, pattern, group), lambda x: F.when(x != "", x))
 
 
-def find_distinct(c: Column, pattern: str) -> Column:
+def find_distinct(c: Column, pattern: str | Column) -> Column:
     """All matches with white space squeezed, each spelling once regardless of case, as first seen."""
     found = F.transform(F.regexp_extract_all(c, F.lit(pattern), 0), squeeze)
     fresh = lambda acc, x: F.when(F.exists(acc, lambda y: F.upper(y) == F.upper(x)), acc).otherwise(F.array_append(acc, x))
@@ -93,5 +114,5 @@ def _composed(texts: pd.Series) -> pd.Series:
 
 def nfc(c: Column) -> Column:
     """Canonical composition. Only texts beyond Latin-1 without combining marks cross to Python: all others are composed as they are."""
-    decomposed = c.rlike(r"[^\x00-\x{2ff}]")
+    decomposed = ~ascii_only(c) & c.rlike(r"[^\x00-\x{2ff}]")
     return F.coalesce(_composed(F.when(decomposed, c)), c)

@@ -579,8 +579,9 @@ def search_response(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, number AS case_number, {_TYPE} AS case_type, y AS year, {_PETITIONER} AS petitioner, {_RESPONDENT} AS respondent, {_OUTCOME} AS outcome, {_distinct('text', metadata.CITATION)} AS citations, ks.f AS file_name FROM {_N} n, LATERAL (SELECT doc_id || '.pdf' AS f) ks")
 def case_snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shown = _cases(spark, sf_dir).select("doc_id", searching.snippet().alias("c"))
-    return shown.select("doc_id", *[f"c.{n}" for n in ("case_number", "case_type", "year", "petitioner", "respondent", "outcome")], F.array_join("c.citations", "|").alias("citations"), "c.file_name")
+    """The fields as columns, not as a struct, so that those which are not returned are not worked out."""
+    shown = _cases(spark, sf_dir).select("doc_id", *searching.snippet_fields())
+    return shown.select("doc_id", "case_number", "case_type", "year", "petitioner", "respondent", "outcome", F.array_join("citations", "|").alias("citations"), "file_name")
 
 
 # --- keyed tables and state -------------------------------------------------------------------------------------
