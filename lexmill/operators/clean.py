@@ -6,12 +6,13 @@ runs of punctuation, white space. All but the composition are built-in functions
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import SPACE, nfc, rx, strip, word_count
+from lexmill.functions.text import SPACE, WHITE_SPACE, ascii_only, at, changed, let, nfc, rx, strip, word_count
 
 # Special characters and what they become.
 SPECIAL = {
@@ -34,6 +35,11 @@ RUNS = ((r"\.{4,}", "..."), (r"-{3,}", "--"), (r"_{3,}", "__"), (r"\*{3,}", "***
 EMPTY_BELOW = 50
 _LINE_SPACE = SPACE.replace(r"\n", "")
 LINE_ENDS = f"(?md)^{_LINE_SPACE}+|{_LINE_SPACE}+$"
+# The same patterns for Spark, the first behind a look at its first character.
+_BOILERPLATE = (at(BOILERPLATE[0], "P"), *BOILERPLATE[1:])
+_RARE_SPACES = [s for s in WHITE_SPACE if ord(s) < 128 and s not in " \n"]
+# The shortest run that changes, for each of RUNS.
+_SHORTEST = ("....", "---", "___", "****")
 
 
 # Control characters, line ends, and hyphens between two letters or digits at a line's end.
@@ -49,32 +55,47 @@ def fold_special(c: Column) -> Column:
     single = {a: b for a, b in SPECIAL.items() if len(b) < 2}
     gone = [a for a, b in single.items() if not b]
     kept = [a for a, b in single.items() if b]
-    c = F.translate(c, "".join(kept + gone), "".join(single[a] for a in kept))
-    return reduce(lambda x, a: F.replace(x, F.lit(a), F.lit(SPECIAL[a])), [a for a, b in SPECIAL.items() if len(b) > 1], c)
+
+    def folded(x: Column) -> Column:
+        x = F.translate(x, "".join(kept + gone), "".join(single[a] for a in kept))
+        return reduce(lambda y, a: F.replace(y, F.lit(a), F.lit(SPECIAL[a])), [a for a, b in SPECIAL.items() if len(b) > 1], x)
+
+    return changed(c, lambda x: ~ascii_only(x), folded)
 
 
 def strip_boilerplate(c: Column) -> Column:
-    return reduce(lambda x, p: F.regexp_replace(x, p, " "), BOILERPLATE, c)
+    return reduce(lambda x, p: F.regexp_replace(x, p, " "), _BOILERPLATE, c)
 
 
 def join_hyphens(c: Column) -> Column:
-    return F.regexp_replace(c, r"([\p{L}\p{Nd}_])-\n([\p{L}\p{Nd}_])", "$1$2")
+    return changed(c, lambda x: x.contains("-\n"), lambda x: F.regexp_replace(x, r"([\p{L}\p{Nd}_])-\n([\p{L}\p{Nd}_])", "$1$2"))
 
 
 def collapse_punctuation(c: Column) -> Column:
-    return reduce(lambda x, r: F.regexp_replace(x, r[0], r[1]), RUNS, c)
+    for (run, to), shortest in zip(RUNS, _SHORTEST, strict=True):
+        c = changed(c, lambda x, s=shortest: x.contains(s), lambda x, r=run, t=to: F.regexp_replace(x, r, t))
+    return c
 
 
 def normalise_space(c: Column) -> Column:
-    c = F.regexp_replace(c, r"[ \t]+", " ")
-    c = F.regexp_replace(c, LINE_ENDS, "")
-    return strip(F.regexp_replace(c, r"\n{3,}", "\n\n"))
+    """Single spaces are most of the white space and stay as they are. Where no other white space is left, one space at most stands at the end of a line."""
+    spaces_alone = lambda x: reduce(lambda a, s: a & ~x.contains(s), _RARE_SPACES, ascii_only(x))
+    by_replacing = lambda x: F.replace(F.replace(x, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
+    c = changed(c, lambda x: x.contains("  ") | x.contains("\t"), lambda x: F.regexp_replace(x, r"[ \t]{2,}|\t", " "))
+    c = let(c, lambda x: F.when(spaces_alone(x), by_replacing(x)).otherwise(F.regexp_replace(x, LINE_ENDS, "")))
+    return strip(changed(c, lambda x: x.contains("\n\n\n"), lambda x: F.regexp_replace(x, r"\n{3,}", "\n\n")))
+
+
+_BEFORE = (strip_controls, unify_newlines)
+_AFTER = (fold_special, strip_boilerplate, join_hyphens, collapse_punctuation, normalise_space)
+
+
+def _all(steps: tuple[Callable[[Column], Column], ...], c: Column) -> Column:
+    return reduce(lambda x, step: step(x), steps, c)
 
 
 def clean_text(c: Column) -> Column:
-    for step in (strip_controls, unify_newlines, nfc, fold_special, strip_boilerplate, join_hyphens, collapse_punctuation, normalise_space):
-        c = step(c)
-    return c
+    return _all(_AFTER, nfc(_all(_BEFORE, c)))
 
 
 def usable(raw: DataFrame) -> DataFrame:
@@ -84,5 +105,7 @@ def usable(raw: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, text: str = "raw_text") -> DataFrame:
     """Adds clean_text, word_count, char_count and is_empty (fewer than 50 words). A null text counts as empty."""
-    cleaned = docs.withColumn("clean_text", clean_text(F.coalesce(F.col(text), F.lit(""))))
+    # In steps, as composition names its input several times.
+    cleaned = docs.withColumn("clean_text", _all(_BEFORE, F.coalesce(F.col(text), F.lit("")))).withColumn("clean_text", nfc(F.col("clean_text")))
+    cleaned = cleaned.withColumn("clean_text", _all(_AFTER, F.col("clean_text")))
     return cleaned.withColumn("word_count", word_count(F.col("clean_text"))).withColumn("char_count", F.length("clean_text")).withColumn("is_empty", F.col("word_count") < EMPTY_BELOW)

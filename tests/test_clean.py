@@ -78,3 +78,26 @@ def test_title_case(spark):
 def test_only_successful_documents_are_used(spark):
     rows = spark.createDataFrame([("a", True), ("", True), ("b", False)], "raw_text string, success boolean")
     assert [r["raw_text"] for r in clean.usable(rows).collect()] == ["a"]
+
+
+def test_steps_that_look_first_give_what_the_patterns_give(spark):
+    from functools import reduce
+
+    import pyspark.sql.functions as F
+
+    from lexmill.functions.text import WHITE_SPACE
+    from lexmill.operators import clean
+
+    pieces = ["a", " ", "  ", "\t", "\n", "\n\n\n", " \n", "\n ", "-\n", "....", "---", "___", "****", "..", " ", " \n", "\x1c\n", "\x0b", "Page 3 of 9 ", "é", "‘ﬁ…"]
+    texts = [a + b + c for a in pieces for b in pieces for c in pieces] + [None, ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").repartition(4)
+    t = F.col("t")
+    spaced = reduce(lambda x, p: F.regexp_replace(x, *p), [(r"[ \t]+", " "), (clean.LINE_ENDS, ""), (r"\n{3,}", "\n\n")], t)
+    plain = {
+        "space": (clean.normalise_space(t), F.btrim(spaced, F.lit(WHITE_SPACE))),
+        "hyphens": (clean.join_hyphens(t), F.regexp_replace(t, r"([\p{L}\p{Nd}_])-\n([\p{L}\p{Nd}_])", "$1$2")),
+        "runs": (clean.collapse_punctuation(t), reduce(lambda x, r: F.regexp_replace(x, r[0], r[1]), clean.RUNS, t)),
+        "boilerplate": (clean.strip_boilerplate(t), reduce(lambda x, p: F.regexp_replace(x, p, " "), clean.BOILERPLATE, t)),
+    }
+    wrong = rows.select(*[F.sum((~a.eqNullSafe(b)).cast("int")).alias(n) for n, (a, b) in plain.items()]).first()
+    assert wrong.asDict() == dict.fromkeys(plain, 0)
