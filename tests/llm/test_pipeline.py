@@ -147,3 +147,22 @@ def mixed_by_hand(rows, share, weights, epochs):
         return test_mixing.brute(rows, share, epochs)
     finally:
         test_mixing.WEIGHTS = before
+
+
+def test_small_plans_hold_inside_a_stage_and_no_longer(spark, monkeypatch):
+    import corpus_pipeline
+    from lexmill.llm import jaccard, mixing
+
+    def settings(*_):
+        return [spark.conf.get(k, None) for k in corpus_pipeline.SMALL_PLANS]
+
+    seen, before = [], settings()
+    monkeypatch.setattr(jaccard, "one_of_each", lambda *a, **b: seen.append(settings()))
+    monkeypatch.setattr(mixing, "mixed_documents", lambda *a, **b: seen.append(settings()) or 1 / 0)
+    corpus_pipeline.deduplicate(spark, None, "")
+    docs = spark.createDataFrame([], "source string")
+    try:
+        corpus_pipeline.mix(spark, docs, "")
+    except ZeroDivisionError:
+        pass
+    assert seen == [list(corpus_pipeline.SMALL_PLANS.values())] * 2 and settings() == before
